@@ -50,6 +50,62 @@ def q_genre_top10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return statistics.genre_top_n_flat(fixtures.movies(spark, sf_dir), avg)
 
 
+# ------------------------------------------------------- loader / tables ---
+
+def q_tags_by_movie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from recoengine.operators import etl
+    prepare(spark)
+    return etl.tags_by_movie(fixtures.tags(spark, sf_dir))
+
+
+def q_search_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from recoengine.operators import etl
+    from recoengine.sources.sinks import dedup_by_key
+    prepare(spark)
+    docs = etl.search_documents(fixtures.movies(spark, sf_dir), fixtures.tags(spark, sf_dir))
+    return dedup_by_key(docs, "mid").select(*etl.SEARCH_DOC_COLUMNS)
+
+
+def _roundtrip(spark: SparkSession, df: DataFrame, columns: list[str], sep: str, loader, name: str):
+    from recoengine.session import scratch_path
+    from recoengine.sources.text import to_lines
+    path = scratch_path(spark, name)
+    to_lines(df, columns, sep).write.mode("overwrite").text(path)
+    return loader(spark, path, mode="failfast")
+
+
+def q_load_movies_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from recoengine import schemas
+    from recoengine.sources.text import load_movies
+    prepare(spark)
+    return _roundtrip(spark, fixtures.movies(spark, sf_dir), schemas.MOVIE_FIELDS, "^",
+                      load_movies, "movies-text")
+
+
+def q_load_ratings_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from recoengine.sources.text import load_ratings
+    prepare(spark)
+    return _roundtrip(spark, fixtures.ratings(spark, sf_dir), ["uid", "mid", "score", "timestamp"],
+                      ",", load_ratings, "ratings-text")
+
+
+def q_load_tags_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from recoengine.sources.text import load_tags
+    prepare(spark)
+    return _roundtrip(spark, fixtures.tags(spark, sf_dir), ["uid", "mid", "tag", "timestamp"],
+                      ",", load_tags, "tags-text")
+
+
+def q_write_read_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from recoengine import schemas
+    from recoengine.session import scratch_path
+    from recoengine.sources.tables import read_table, write_table
+    prepare(spark)
+    path = scratch_path(spark, "rating-table")
+    write_table(fixtures.ratings(spark, sf_dir), path, sort_by=["uid", "mid"])
+    return read_table(spark, path, schemas.RATING)
+
+
 def queries() -> dict[str, Query]:
     return {
         "rate_more": q_rate_more,
@@ -57,4 +113,10 @@ def queries() -> dict[str, Query]:
         "change_date_sql_udf": q_change_date_sql_udf,
         "average_scores": q_average_scores,
         "genre_top10": q_genre_top10,
+        "tags_by_movie": q_tags_by_movie,
+        "search_documents": q_search_documents,
+        "load_movies_roundtrip": q_load_movies_roundtrip,
+        "load_ratings_roundtrip": q_load_ratings_roundtrip,
+        "load_tags_roundtrip": q_load_tags_roundtrip,
+        "write_read_table": q_write_read_table,
     }

@@ -73,4 +73,14 @@ j AS (SELECT g.genre AS genres, m.mid, a.avg FROM movies m JOIN avgs a ON m.mid
 r AS (SELECT genres, row_number() OVER (PARTITION BY genres ORDER BY avg DESC, mid ASC)::INTEGER AS rank,
              mid, avg FROM j)
 SELECT genres, rank, mid, avg FROM r WHERE rank <= 10"""
+    q["tags_by_movie"] = _with(TAGS) + (
+        "SELECT mid, string_agg(DISTINCT tag, '|' ORDER BY tag) AS tags FROM tags GROUP BY mid")
+    q["search_documents"] = _with(MOVIES, TAGS) + """,
+t AS (SELECT mid, string_agg(DISTINCT tag, '|' ORDER BY tag) AS tags FROM tags GROUP BY mid)
+SELECT m.mid, name, descri, timelong, issue, shoot, language, genres, actors, directors, t.tags
+FROM movies m LEFT JOIN t ON m.mid = t.mid"""
+    q["load_movies_roundtrip"] = _with(MOVIES) + "SELECT * FROM movies"
+    q["load_ratings_roundtrip"] = _with(RATINGS) + "SELECT * FROM ratings"
+    q["load_tags_roundtrip"] = _with(TAGS) + "SELECT * FROM tags"
+    q["write_read_table"] = _with(RATINGS) + "SELECT * FROM ratings"
     return q
