@@ -106,6 +106,54 @@ def q_write_read_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, path, schemas.RATING)
 
 
+# ----------------------------------------------------- factor products ---
+
+def _rounded(df: DataFrame, col: str = "r", digits: int = 4) -> DataFrame:
+    from pyspark.sql import functions as F
+    return df.withColumn(col, F.round(col, digits))
+
+
+def q_item_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from recoengine.operators import similarity
+    prepare(spark)
+    return _rounded(similarity.item_similarity(fixtures.item_factors(spark, sf_dir)))
+
+
+def q_item_similarity_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+    from recoengine.operators import similarity
+    prepare(spark)
+    lists = similarity.item_similarity_lists(
+        similarity.item_similarity(fixtures.item_factors(spark, sf_dir)))
+    return lists.select("mid", F.size("recs").alias("n"),
+                        F.round(F.col("recs")[0]["r"], 4).alias("max_r"))
+
+
+def _factor_top10(spark: SparkSession, sf_dir: str, exclude_seen: bool) -> DataFrame:
+    from recoengine.operators import blocks
+    prepare(spark)
+    ratings = fixtures.ratings(spark, sf_dir)
+    users = fixtures.user_factors(spark, sf_dir).join(
+        ratings.select(F_col("uid").alias("id")).distinct(), "id", "left_semi")
+    items = fixtures.item_factors(spark, sf_dir).join(
+        fixtures.movies(spark, sf_dir).select(F_col("mid").alias("id")), "id", "left_semi")
+    seen = ratings.select("uid", "mid") if exclude_seen else None
+    return _rounded(blocks.top_n_products(users, items, 10, seen=seen))
+
+
+def F_col(name: str):
+    from pyspark.sql import functions as F
+    return F.col(name)
+
+
+def q_factor_top10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _factor_top10(spark, sf_dir, exclude_seen=False)
+
+
+def q_factor_top10_unseen(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _factor_top10(spark, sf_dir, exclude_seen=True)
+
+
 def queries() -> dict[str, Query]:
     return {
         "rate_more": q_rate_more,
@@ -119,4 +167,8 @@ def queries() -> dict[str, Query]:
         "load_ratings_roundtrip": q_load_ratings_roundtrip,
         "load_tags_roundtrip": q_load_tags_roundtrip,
         "write_read_table": q_write_read_table,
+        "item_similarity": q_item_similarity,
+        "item_similarity_lists": q_item_similarity_lists,
+        "factor_top10": q_factor_top10,
+        "factor_top10_unseen": q_factor_top10_unseen,
     }

@@ -39,14 +39,14 @@ _GENRE_VALUES = ", ".join(f"('{g}')" for g in GENRES)
 
 def _f(lo: int, hi: int, name: str) -> str:
     return (f"{name} AS (SELECT vec_id::INTEGER AS id, "
-            f"list_transform(embedding[{lo}:{hi}], x -> x::DOUBLE) AS v FROM embeddings)")
+            f"list_transform(embedding[{lo}:{hi}], lambda x: x::DOUBLE) AS v FROM embeddings)")
 
 
 IFACT = _f(ITEM_DIMS[0], ITEM_DIMS[1], "ifact")
 UFACT = _f(USER_DIMS[0], USER_DIMS[1], "ufact")
 
 # cosine > 0.6 over all item factors, no self pairs, both directions
-ITEM_SIM = """inorm AS (SELECT id, v, sqrt(list_sum(list_transform(v, x -> x * x))) AS nrm FROM ifact),
+ITEM_SIM = """inorm AS (SELECT id, v, sqrt(list_sum(list_transform(v, lambda x: x * x))) AS nrm FROM ifact),
 isim AS (
   SELECT a.id AS mid, b.id AS sim_mid, list_dot_product(a.v, b.v) / (a.nrm * b.nrm) AS r
   FROM inorm a JOIN inorm b ON a.id <> b.id
@@ -83,4 +83,21 @@ FROM movies m LEFT JOIN t ON m.mid = t.mid"""
     q["load_ratings_roundtrip"] = _with(RATINGS) + "SELECT * FROM ratings"
     q["load_tags_roundtrip"] = _with(TAGS) + "SELECT * FROM tags"
     q["write_read_table"] = _with(RATINGS) + "SELECT * FROM ratings"
+    q["item_similarity"] = _with(IFACT, ITEM_SIM) + "SELECT mid, sim_mid, round(r, 4) AS r FROM isim"
+    q["item_similarity_lists"] = _with(IFACT, ITEM_SIM) + (
+        "SELECT mid, count(*) AS n, round(max(r), 4) AS max_r FROM isim GROUP BY mid")
+    q["factor_top10"] = _factor_top10(False)
+    q["factor_top10_unseen"] = _factor_top10(True)
     return q
+
+
+def _factor_top10(exclude_seen: bool) -> str:
+    anti = ("WHERE NOT EXISTS (SELECT 1 FROM ratings s WHERE s.uid = u.id AND s.mid = i.id)"
+            if exclude_seen else "")
+    return _with(RATINGS, MOVIES, IFACT, UFACT) + f""",
+u AS (SELECT * FROM ufact WHERE id IN (SELECT uid FROM ratings)),
+i AS (SELECT * FROM ifact WHERE id IN (SELECT mid FROM movies)),
+p AS (SELECT u.id AS uid, i.id AS mid, list_dot_product(u.v, i.v) AS r FROM u CROSS JOIN i {anti}),
+k AS (SELECT uid, row_number() OVER (PARTITION BY uid ORDER BY r DESC, mid ASC)::INTEGER AS rank, mid, r
+      FROM p WHERE r > 0)
+SELECT uid, rank, mid, round(r, 4) AS r FROM k WHERE rank <= 10"""
