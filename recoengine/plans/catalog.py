@@ -154,6 +154,65 @@ def q_factor_top10_unseen(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _factor_top10(spark, sf_dir, exclude_seen=True)
 
 
+# ------------------------------------------------------------------ ALS ---
+
+def _als_model(spark: SparkSession, sf_dir: str):
+    from recoengine.operators import als
+    return als.train(fixtures.ratings(spark, sf_dir), rank=als.RANK, iterations=als.ITERATIONS,
+                     reg=als.REG, seed=42)
+
+
+def q_als_recommend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from recoengine.operators import als
+    prepare(spark)
+    model = _als_model(spark, sf_dir)
+    return als.recommend_flat(model, fixtures.ratings(spark, sf_dir), fixtures.movies(spark, sf_dir))
+
+
+def q_als_recommend_unseen(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from recoengine.operators import als
+    prepare(spark)
+    model = _als_model(spark, sf_dir)
+    return als.recommend_flat(model, fixtures.ratings(spark, sf_dir), fixtures.movies(spark, sf_dir),
+                              exclude_seen=True)
+
+
+def q_als_item_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from recoengine.operators import als
+    prepare(spark)
+    return als.item_similarity_from_model(_als_model(spark, sf_dir))
+
+
+def q_als_predict_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from recoengine.operators import als
+    prepare(spark)
+    ratings = fixtures.ratings(spark, sf_dir)
+    return als.predict_pairs(_als_model(spark, sf_dir), ratings).select("uid", "mid")
+
+
+def q_rmse_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """RMSE join on a deterministic prediction: every rating row predicted
+    by its movie's average score (duplicates multiply as in the original)."""
+    from pyspark.sql import functions as F
+    from recoengine.operators import als
+    prepare(spark)
+    ratings = fixtures.ratings(spark, sf_dir)
+    avg = statistics.average_scores(ratings).withColumnRenamed("avg", "prediction")
+    predicted = ratings.select("uid", "mid").join(avg, "mid")
+    out = als.rmse(ratings, predicted)
+    return out.select(F.round("rmse", 6).alias("rmse"), "n")
+
+
+def q_als_grid_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+    from recoengine.operators import als
+    prepare(spark)
+    grid = als.grid_search(fixtures.ratings(spark, sf_dir)).cache()
+    best = als.best_params(grid).select("grid_pos", F.lit(True).alias("is_best"))
+    return grid.join(F.broadcast(best), "grid_pos", "left") \
+        .withColumn("is_best", F.coalesce("is_best", F.lit(False)))
+
+
 def queries() -> dict[str, Query]:
     return {
         "rate_more": q_rate_more,
@@ -171,4 +230,10 @@ def queries() -> dict[str, Query]:
         "item_similarity_lists": q_item_similarity_lists,
         "factor_top10": q_factor_top10,
         "factor_top10_unseen": q_factor_top10_unseen,
+        "als_recommend": q_als_recommend,
+        "als_recommend_unseen": q_als_recommend_unseen,
+        "als_item_similarity": q_als_item_similarity,
+        "als_predict_pairs": q_als_predict_pairs,
+        "rmse_join": q_rmse_join,
+        "als_grid_search": q_als_grid_search,
     }

@@ -88,6 +88,12 @@ FROM movies m LEFT JOIN t ON m.mid = t.mid"""
         "SELECT mid, count(*) AS n, round(max(r), 4) AS max_r FROM isim GROUP BY mid")
     q["factor_top10"] = _factor_top10(False)
     q["factor_top10_unseen"] = _factor_top10(True)
+    q["als_predict_pairs"] = _with(RATINGS) + "SELECT uid, mid FROM ratings"
+    q["rmse_join"] = _with(RATINGS) + """,
+avgs AS (SELECT mid, avg(score) AS prediction FROM ratings GROUP BY mid),
+pred AS (SELECT r.uid, r.mid, a.prediction FROM ratings r JOIN avgs a ON r.mid = a.mid)
+SELECT round(sqrt(avg((a.score - p.prediction) * (a.score - p.prediction))), 6) AS rmse, count(*) AS n
+FROM ratings a JOIN pred p ON a.uid = p.uid AND a.mid = p.mid"""
     return q
 
 
