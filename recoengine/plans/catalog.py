@@ -213,6 +213,93 @@ def q_als_grid_search(spark: SparkSession, sf_dir: str) -> DataFrame:
         .withColumn("is_best", F.coalesce("is_best", F.lit(False)))
 
 
+# ------------------------------------------------------------ streaming ---
+
+def _stream_tables(spark: SparkSession, sf_dir: str):
+    """Static side of the stream: item similarity (all item factors),
+    rated items ('view' events) and recent ratings ('click' events)."""
+    from recoengine.operators import similarity
+    from recoengine.streaming import recommender as rec
+    item_sim = similarity.item_similarity(fixtures.item_factors(spark, sf_dir))
+    rated = fixtures.seen(spark, sf_dir)
+    recent = rec.recent_ratings(fixtures.recent_log(spark, sf_dir))
+    return item_sim, rated, recent
+
+
+def _stream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fixtures.stream_input(spark, sf_dir).select("uid", "mid", "score", "timestamp")
+
+
+def q_decode_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from recoengine.sources.text import to_lines
+    from recoengine.streaming import recommender as rec
+    prepare(spark)
+    lines = to_lines(fixtures.rating_events(spark, sf_dir), ["uid", "mid", "score", "timestamp"], "|")
+    return rec.decode_ratings(lines, mode="failfast")
+
+
+def q_recent_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from recoengine.streaming import recommender as rec
+    prepare(spark)
+    return rec.recent_ratings(fixtures.recent_log(spark, sf_dir))
+
+
+def q_parse_recent_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per-user newest-first 'mid:score' lists (as the list store holds
+    them), parsed back by the list reader."""
+    from pyspark.sql import functions as F
+    from recoengine.streaming import recommender as rec
+    prepare(spark)
+    head = rec.recent_ratings(fixtures.recent_log(spark, sf_dir))
+    item = F.concat(F.col("mid").cast("string"), F.lit(":"), F.col("score").cast("string"))
+    lists = head.groupBy("uid").agg(F.sort_array(F.collect_list(F.struct("pos", item.alias("it"))))
+                                    .alias("_l")).select("uid", F.col("_l.it").alias("items"))
+    return rec.parse_recent_list(lists)
+
+
+def q_stream_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from recoengine.streaming import recommender as rec
+    prepare(spark)
+    item_sim, rated, _ = _stream_tables(spark, sf_dir)
+    latest = rec.latest_per_user(_stream_events(spark, sf_dir))
+    return _rounded(rec.candidates(latest, item_sim, rated))
+
+
+def q_stream_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from recoengine.streaming import recommender as rec
+    prepare(spark)
+    item_sim, rated, recent = _stream_tables(spark, sf_dir)
+    latest = rec.latest_per_user(_stream_events(spark, sf_dir))
+    cands = rec.candidates(latest, item_sim, rated)
+    return _rounded(rec.score_candidates(cands, recent, item_sim))
+
+
+def q_stream_recommend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """End to end: incoming ratings written as 'uid|mid|score|epoch' text
+    files, read by the file stream source, processed by foreachBatch with
+    an availableNow trigger, upserted per user, read back."""
+    from pyspark.sql import functions as F
+    from recoengine.session import scratch_path
+    from recoengine.sources.sinks import read_upserted
+    from recoengine.sources.tables import write_table
+    from recoengine.sources.text import to_lines
+    from recoengine.streaming import recommender as rec
+    prepare(spark)
+    item_sim, rated, recent = _stream_tables(spark, sf_dir)
+    sim_path, inbox = scratch_path(spark, "item-sim"), scratch_path(spark, "stream-in")
+    out, ckpt = scratch_path(spark, "stream-out"), scratch_path(spark, "stream-ckpt")
+    write_table(item_sim, sim_path, sort_by="mid")
+    to_lines(_stream_events(spark, sf_dir), ["uid", "mid", "score", "timestamp"], "|") \
+        .write.mode("overwrite").text(inbox)
+    stream = rec.decode_ratings(rec.rating_stream(spark, inbox))
+    q = rec.start(stream, spark.read.parquet(sim_path), rated, recent, out, ckpt,
+                  trigger={"availableNow": True})
+    q.awaitTermination()
+    res = read_upserted(spark, out)
+    shown = F.transform("recs", lambda x: F.format_string("%d:%.4f", x["mid"], F.round(x["r"], 4)))
+    return res.select("uid", F.concat_ws("|", shown).alias("recs"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "rate_more": q_rate_more,
@@ -236,4 +323,10 @@ def queries() -> dict[str, Query]:
         "als_predict_pairs": q_als_predict_pairs,
         "rmse_join": q_rmse_join,
         "als_grid_search": q_als_grid_search,
+        "decode_ratings": q_decode_ratings,
+        "recent_ratings": q_recent_ratings,
+        "parse_recent_list": q_parse_recent_list,
+        "stream_candidates": q_stream_candidates,
+        "stream_scores": q_stream_scores,
+        "stream_recommend": q_stream_recommend,
     }

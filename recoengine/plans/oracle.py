@@ -34,6 +34,12 @@ REVENTS = """revents AS (
          floor(epoch(ts))::BIGINT AS "timestamp", event_type
   FROM events)"""
 
+RECENT = """recent AS (
+  SELECT uid, pos, mid, score FROM (
+    SELECT uid, mid, score,
+           (row_number() OVER (PARTITION BY uid ORDER BY ts DESC, event_id DESC) - 1)::INTEGER AS pos
+    FROM revents WHERE event_type = 'click') WHERE pos <= 20)"""
+
 _GENRE_VALUES = ", ".join(f"('{g}')" for g in GENRES)
 
 
@@ -53,6 +59,25 @@ isim AS (
   WHERE a.nrm > 0 AND b.nrm > 0 AND list_dot_product(a.v, b.v) / (a.nrm * b.nrm) > 0.6)"""
 
 
+STREAM = (REVENTS, RECENT, IFACT, ITEM_SIM + """,
+inp AS (SELECT uid, mid, score, "timestamp" FROM revents WHERE event_type = 'purchase'),
+latest AS (SELECT uid, mid FROM (
+  SELECT uid, mid, row_number() OVER (PARTITION BY uid ORDER BY "timestamp" DESC, mid DESC) AS rn FROM inp)
+  WHERE rn = 1),
+rated AS (SELECT DISTINCT uid, mid FROM revents WHERE event_type = 'view'),
+c0 AS (SELECT l.uid, s.sim_mid AS mid, s.r FROM latest l JOIN isim s ON s.mid = l.mid
+       WHERE NOT EXISTS (SELECT 1 FROM rated x WHERE x.uid = l.uid AND x.mid = s.sim_mid)),
+cands AS (SELECT * FROM (
+  SELECT uid, row_number() OVER (PARTITION BY uid ORDER BY r DESC, mid ASC)::INTEGER AS rank, mid, r FROM c0)
+  WHERE rank <= 20),
+j AS (SELECT c.uid, c.mid, s.r AS sim, rc.score FROM cands c JOIN recent rc ON rc.uid = c.uid
+      JOIN isim s ON s.mid = c.mid AND s.sim_mid = rc.mid WHERE s.r > 0.6),
+scored AS (SELECT uid, mid, avg(sim * score)
+                 + log2(greatest(count(*) FILTER (WHERE score > 3), 1))
+                 - log2(greatest(count(*) FILTER (WHERE score <= 3), 1)) AS r
+           FROM j GROUP BY uid, mid)""")
+
+
 def _with(*ctes: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n"
 
@@ -94,6 +119,16 @@ avgs AS (SELECT mid, avg(score) AS prediction FROM ratings GROUP BY mid),
 pred AS (SELECT r.uid, r.mid, a.prediction FROM ratings r JOIN avgs a ON r.mid = a.mid)
 SELECT round(sqrt(avg((a.score - p.prediction) * (a.score - p.prediction))), 6) AS rmse, count(*) AS n
 FROM ratings a JOIN pred p ON a.uid = p.uid AND a.mid = p.mid"""
+    q["decode_ratings"] = _with(REVENTS) + 'SELECT uid, mid, score, "timestamp" FROM revents'
+    q["recent_ratings"] = _with(REVENTS, RECENT) + "SELECT uid, pos, mid, score FROM recent"
+    q["parse_recent_list"] = q["recent_ratings"]
+    q["stream_candidates"] = _with(*STREAM) + "SELECT uid, rank, mid, round(r, 4) AS r FROM cands"
+    q["stream_scores"] = _with(*STREAM) + "SELECT uid, mid, round(r, 4) AS r FROM scored"
+    q["stream_recommend"] = _with(*STREAM) + """,
+users AS (SELECT DISTINCT uid FROM inp)
+SELECT u.uid, coalesce(string_agg(printf('%d:%.4f', s.mid, round(s.r, 4)), '|' ORDER BY s.r DESC, s.mid ASC), '')
+       AS recs
+FROM users u LEFT JOIN scored s ON s.uid = u.uid GROUP BY u.uid"""
     return q
 
 
