@@ -216,11 +216,17 @@ def q_als_grid_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ------------------------------------------------------------ streaming ---
 
 def _stream_tables(spark: SparkSession, sf_dir: str):
-    """Static side of the stream: item similarity (all item factors),
-    rated items ('view' events) and recent ratings ('click' events)."""
+    """Static side of the stream: item similarity over all item factors,
+    written as a table first (the offline job's output, read by the
+    stream), rated items ('view' events) and recent ratings ('click'
+    events)."""
     from recoengine.operators import similarity
+    from recoengine.session import scratch_path
+    from recoengine.sources.tables import write_table
     from recoengine.streaming import recommender as rec
-    item_sim = similarity.item_similarity(fixtures.item_factors(spark, sf_dir))
+    sim_path = scratch_path(spark, "item-sim")
+    write_table(similarity.item_similarity(fixtures.item_factors(spark, sf_dir)), sim_path, sort_by="mid")
+    item_sim = spark.read.parquet(sim_path)
     rated = fixtures.seen(spark, sf_dir)
     recent = rec.recent_ratings(fixtures.recent_log(spark, sf_dir))
     return item_sim, rated, recent
@@ -281,18 +287,16 @@ def q_stream_recommend(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pyspark.sql import functions as F
     from recoengine.session import scratch_path
     from recoengine.sources.sinks import read_upserted
-    from recoengine.sources.tables import write_table
     from recoengine.sources.text import to_lines
     from recoengine.streaming import recommender as rec
     prepare(spark)
     item_sim, rated, recent = _stream_tables(spark, sf_dir)
-    sim_path, inbox = scratch_path(spark, "item-sim"), scratch_path(spark, "stream-in")
+    inbox = scratch_path(spark, "stream-in")
     out, ckpt = scratch_path(spark, "stream-out"), scratch_path(spark, "stream-ckpt")
-    write_table(item_sim, sim_path, sort_by="mid")
     to_lines(_stream_events(spark, sf_dir), ["uid", "mid", "score", "timestamp"], "|") \
         .write.mode("overwrite").text(inbox)
     stream = rec.decode_ratings(rec.rating_stream(spark, inbox))
-    q = rec.start(stream, spark.read.parquet(sim_path), rated, recent, out, ckpt,
+    q = rec.start(stream, item_sim, rated, recent, out, ckpt,
                   trigger={"availableNow": True})
     q.awaitTermination()
     res = read_upserted(spark, out)
