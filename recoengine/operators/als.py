@@ -9,9 +9,10 @@ similarity of item factors through the blocked cosine kernel.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from itertools import product
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -104,30 +105,56 @@ def rmse(actual: DataFrame, predicted: DataFrame, dedup: bool = False) -> DataFr
                                          F.count(F.lit(1)).alias("n"))
 
 
+def model_rmse(model: ALSModel, ratings: DataFrame, dedup: bool = False) -> DataFrame:
+    """``rmse(ratings, predict_pairs(model, ratings), dedup)`` without the
+    self-join: predictions are made on the rating rows themselves, and a
+    pair rated k times (one prediction p per pair) contributes
+    k * sum_i (score_i - p)^2 over k*k terms, exactly what the join gives."""
+    m = model.copy().setColdStartStrategy("drop").setPredictionCol("prediction")
+    scored = m.transform(_training_frame(ratings).withColumn("score", F.col("score").cast("double")))
+    err2 = (F.col("score") - F.col("prediction").cast("double")) ** 2
+    per_pair = scored.groupBy("uid", "mid").agg(F.count(F.lit(1)).alias("k"), F.sum(err2).alias("se"))
+    w = F.lit(1) if dedup else F.col("k")
+    return per_pair.agg(F.sqrt(F.sum(w * F.col("se")) / F.sum(w * F.col("k"))).alias("rmse"),
+                        F.sum(w * F.col("k")).alias("n"))
+
+
 def grid_search(ratings: DataFrame, ranks: Sequence[int] = GRID_RANKS, regs: Sequence[float] = GRID_REGS,
                 iterations: int = ITERATIONS, seed: int = 42, holdout: float = 0.0,
-                dedup: bool = False) -> DataFrame:
+                dedup: bool = False, parallelism: int = 2) -> DataFrame:
     """(grid_pos, rank, reg, rmse) for every (rank, reg). Each fit and each
     RMSE is a distributed job; only one number per fit returns to the
     driver. ``holdout = 0`` scores on the training set like the original;
-    ``holdout > 0`` scores on a random held-out share."""
+    ``holdout > 0`` scores on a random held-out share. ``parallelism``
+    fits are submitted concurrently (as ``CrossValidator`` does) so small
+    stages of one fit do not leave the cluster idle; use 1 when a single
+    fit already fills the cluster's memory."""
     spark = ratings.sparkSession
     data = _training_frame(ratings).persist(StorageLevel.MEMORY_AND_DISK)
+    grid = list(enumerate(product(ranks, regs)))
+
+    def fit_one(item):
+        pos, (rk, rg) = item
+        model = train(fit_on, rank=rk, iterations=iterations, reg=rg, seed=seed)
+        res = model_rmse(model, test, dedup=dedup).first()
+        model.userFactors.unpersist()
+        model.itemFactors.unpersist()
+        return (pos, int(rk), float(rg), float(res["rmse"]) if res["rmse"] is not None else None)
+
     try:
         if holdout > 0:
             fit_on, test = data.randomSplit([1.0 - holdout, holdout], seed=seed)
         else:
             fit_on = test = data
-        rows = []
-        for pos, (rk, rg) in enumerate(product(ranks, regs)):
-            model = train(fit_on, rank=rk, iterations=iterations, reg=rg, seed=seed)
-            res = rmse(test, predict_pairs(model, test), dedup=dedup).first()
-            rows.append((pos, int(rk), float(rg), float(res["rmse"]) if res["rmse"] is not None else None))
-            model.userFactors.unpersist()
-            model.itemFactors.unpersist()
+        workers = max(1, min(int(parallelism), len(grid)))
+        if workers == 1:
+            rows = [fit_one(g) for g in grid]
+        else:
+            with ThreadPoolExecutor(max_workers=workers) as pool:
+                rows = list(pool.map(inheritable_thread_target(fit_one), grid))
     finally:
         data.unpersist()
-    return spark.createDataFrame(rows, "grid_pos int, rank int, reg double, rmse double")
+    return spark.createDataFrame(sorted(rows), "grid_pos int, rank int, reg double, rmse double")
 
 
 def best_params(grid: DataFrame) -> DataFrame:

@@ -71,3 +71,42 @@ def genre_top_n(movies: DataFrame, avg_scores: DataFrame, genres: Sequence[str]
     """(genres, recs array<struct<mid, r>>) as stored by the statistics job."""
     flat = genre_top_n_flat(movies, avg_scores, genres, n)
     return nest(flat, ["genres"], "rank", "mid", "avg")
+
+
+# ------------------------------------------------------------ SQL text ---
+# The statistics can also be driven as SQL text over temp views, with the
+# year-month conversion as the SQL function ``changeDate`` (a SQL-bodied
+# function, so the plan stays codegen'd). Ties are ordered by mid.
+
+SQL_RATE_MORE = ("SELECT mid, count(1) AS count FROM ratings GROUP BY mid "
+                 "ORDER BY count DESC, mid")
+SQL_YEAR_MONTH = "SELECT mid, uid, score, changeDate(timestamp) AS yearmonth FROM ratings"
+SQL_RATE_MORE_RECENTLY = ("SELECT mid, count(1) AS count, yearmonth FROM ymRatings "
+                          "GROUP BY mid, yearmonth ORDER BY yearmonth DESC, count DESC, mid")
+SQL_AVERAGE = "SELECT mid, avg(score) AS avg FROM ratings GROUP BY mid"
+
+
+def register_views(ratings: DataFrame, movies: DataFrame | None = None) -> None:
+    """Temp views ``ratings`` / ``movies`` / ``ymRatings`` and ``changeDate``."""
+    from recoengine.functions.scalar import register_sql_functions
+    spark = ratings.sparkSession
+    register_sql_functions(spark)
+    ratings.createOrReplaceTempView("ratings")
+    if movies is not None:
+        movies.createOrReplaceTempView("movies")
+    spark.sql(SQL_YEAR_MONTH).createOrReplaceTempView("ymRatings")
+
+
+def rate_more_sql(ratings: DataFrame) -> DataFrame:
+    register_views(ratings)
+    return ratings.sparkSession.sql(SQL_RATE_MORE)
+
+
+def rate_more_recently_sql(ratings: DataFrame) -> DataFrame:
+    register_views(ratings)
+    return ratings.sparkSession.sql(SQL_RATE_MORE_RECENTLY)
+
+
+def average_scores_sql(ratings: DataFrame) -> DataFrame:
+    register_views(ratings)
+    return ratings.sparkSession.sql(SQL_AVERAGE)

@@ -39,6 +39,21 @@ def q_change_date_sql_udf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql("SELECT mid, uid, score, changeDate(timestamp) AS yearmonth FROM ratings")
 
 
+def q_rate_more_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return statistics.rate_more_sql(fixtures.ratings(spark, sf_dir))
+
+
+def q_rate_more_recently_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return statistics.rate_more_recently_sql(fixtures.ratings(spark, sf_dir))
+
+
+def q_average_scores_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return statistics.average_scores_sql(fixtures.ratings(spark, sf_dir))
+
+
 def q_average_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     return statistics.average_scores(fixtures.ratings(spark, sf_dir))
@@ -311,6 +326,9 @@ def queries() -> dict[str, Query]:
         "change_date_sql_udf": q_change_date_sql_udf,
         "average_scores": q_average_scores,
         "genre_top10": q_genre_top10,
+        "rate_more_sql": q_rate_more_sql,
+        "rate_more_recently_sql": q_rate_more_recently_sql,
+        "average_scores_sql": q_average_scores_sql,
         "tags_by_movie": q_tags_by_movie,
         "search_documents": q_search_documents,
         "load_movies_roundtrip": q_load_movies_roundtrip,

@@ -98,6 +98,9 @@ j AS (SELECT g.genre AS genres, m.mid, a.avg FROM movies m JOIN avgs a ON m.mid
 r AS (SELECT genres, row_number() OVER (PARTITION BY genres ORDER BY avg DESC, mid ASC)::INTEGER AS rank,
              mid, avg FROM j)
 SELECT genres, rank, mid, avg FROM r WHERE rank <= 10"""
+    q["rate_more_sql"] = q["rate_more"]
+    q["rate_more_recently_sql"] = q["rate_more_recently"]
+    q["average_scores_sql"] = q["average_scores"]
     q["tags_by_movie"] = _with(TAGS) + (
         "SELECT mid, string_agg(DISTINCT tag, '|' ORDER BY tag) AS tags FROM tags GROUP BY mid")
     q["search_documents"] = _with(MOVIES, TAGS) + """,

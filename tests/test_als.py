@@ -19,6 +19,11 @@ def test_train_predict_recommend_small(spark):
     pred = als.predict_pairs(model, ratings)
     assert pred.count() == len(rows)
     r = als.rmse(ratings, pred).first()
+    dup = ratings.unionByName(ratings.limit(7))
+    for dd in (False, True):
+        a = als.rmse(dup, als.predict_pairs(model, dup), dedup=dd).first()
+        b = als.model_rmse(model, dup, dedup=dd).first()
+        assert a.n == b.n and abs(a.rmse - b.rmse) < 1e-9
     # RMSE from factors by hand equals the join result
     uf = {x.id: x.features for x in als.user_factors(model).collect()}
     itf = {x.id: x.features for x in als.item_factors(model).collect()}

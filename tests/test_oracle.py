@@ -24,6 +24,7 @@ def test_query_against_oracle(spark, sf_dir, con, name):
         return
     ok, detail = compare(df, con, sql)
     assert ok, detail
+    assert "spark=0 " not in detail, "vacuous: no rows"
 
 
 def test_entry_smoke(spark):
