@@ -52,7 +52,8 @@ def load_job(spark: SparkSession, movies_path: str, ratings_path: str, tags_path
     tags = tags.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         tables.write_table(movies, _p(out_dir, MOVIE), sort_by="mid")
-        tables.write_table(ratings, _p(out_dir, RATING), sort_by=["uid", "mid"])
+        tables.write_table(ratings, _p(out_dir, RATING), sort_by=["uid", "mid"],
+                           bucket_by=("uid", tables.uid_buckets(spark)))
         tables.write_table(tags, _p(out_dir, TAG), sort_by=["uid", "mid"])
         sinks.write_search_docs(etl.search_documents(movies, tags), _p(out_dir, SEARCH_DOCS), key="mid")
     finally:
@@ -103,18 +104,33 @@ def parameter_job(spark: SparkSession, in_dir: str, ranks=als.GRID_RANKS, regs=a
     return als.best_params(grid)
 
 
+def recent_job(spark: SparkSession, in_dir: str, out_dir: str,
+               n: int = rec.MAX_USER_RATINGS_NUM) -> str:
+    """Materialise the per-user recent lists (newest n + 1 ratings by
+    timestamp, then mid) as a uid-bucketed table the stream reads."""
+    prepare(spark)
+    ratings, _ = read_inputs(spark, in_dir)
+    path = _p(out_dir, RECENT)
+    tables.write_table(rec.recent_ratings(ratings, n=n, order=("timestamp", "mid")), path,
+                       sort_by=["uid", "pos"], bucket_by=("uid", tables.uid_buckets(spark)))
+    return path
+
+
 def streaming_job(spark: SparkSession, in_dir: str, sim_dir: str, stream_path: str, out_dir: str,
-                  checkpoint: str, recent: DataFrame | None = None, trigger: dict | None = None,
+                  checkpoint: str, recent_dir: str | None = None, trigger: dict | None = None,
                   stream_format: str = "text", **stream_options):
-    """Start the real-time recommender. ``recent`` is the per-user list of
-    newest ratings as ``(uid, pos, mid, score)``; by default it is derived
-    from the Rating table (newest first by timestamp, then mid)."""
+    """Start the real-time recommender over the stored Rating table, the
+    similarity lists and the recent-ratings table (built by ``recent_job``
+    into ``recent_dir``, default ``in_dir``, when absent). Per batch only
+    the batch users' buckets of Rating and RecentRatings are read."""
     prepare(spark)
     ratings, _ = read_inputs(spark, in_dir)
     item_sim = similarity.explode_lists(
         tables.read_table(spark, _p(sim_dir, ITEM_RECS), schemas.ITEM_RECS))
-    if recent is None:
-        recent = rec.recent_ratings(ratings, order=("timestamp", "mid"))
-    rated = ratings.select("uid", "mid")
+    rdir = recent_dir or in_dir
+    if not sinks.path_exists(spark, _p(rdir, RECENT)):
+        recent_job(spark, in_dir, rdir)
+    recent = tables.read_table(spark, _p(rdir, RECENT), schemas.RECENT)
+    rated = ratings.select(*[c for c in ratings.columns if c in ("uid", "mid", "uid_bucket")])
     stream = rec.decode_ratings(rec.rating_stream(spark, stream_path, stream_format, **stream_options))
     return rec.start(stream, item_sim, rated, recent, _p(out_dir, STREAM_RECS), checkpoint, trigger)
