@@ -174,7 +174,7 @@ def grid_search(ratings: DataFrame, ranks: Sequence[int] = GRID_RANKS, regs: Seq
             rows = [fit_one(g) for g in grid]
         else:
             with ThreadPoolExecutor(max_workers=workers) as pool:
-                rows = list(pool.map(inheritable_thread_target(fit_one), grid))
+                rows = list(pool.map(inheritable_thread_target(spark)(fit_one), grid))
     finally:
         data.unpersist()
     return spark.createDataFrame(sorted(rows), "grid_pos int, rank int, reg double, rmse double")

@@ -30,6 +30,10 @@ from pyspark.sql import functions as F
 from recoengine.operators.topn import top_n_per_group
 
 DEFAULT_STRIPE_ROWS = 8192
+# An id set (4 bytes per id) is broadcast to pre-filter "seen" pairs only
+# below this size; above it the filter is skipped (the kernel ignores pairs
+# whose user or item is not in its tile anyway).
+ID_BROADCAST_BYTES = 32 * 1024 * 1024
 MIN_STRIPE_ROWS = 512
 CHUNK_ROWS = 1024
 
@@ -134,8 +138,13 @@ def top_n_products(users: DataFrame, items: DataFrame, n: int, *, seen: DataFram
             .select((stripe_of("uid", su) * si + F.col("_t")).alias("tile"), "uid", "features",
                     F.lit(None).cast("int").alias("seen_mid")))
     if seen is not None:
-        s = seen.select(F.col("uid").cast("int").alias("uid"), F.col("mid").cast("int").alias("mid")) \
-            .distinct()
+        s = seen.select(F.col("uid").cast("int").alias("uid"), F.col("mid").cast("int").alias("mid"))
+        if nu * 4 <= ID_BROADCAST_BYTES:
+            s = s.join(F.broadcast(u.select("uid")), "uid", "left_semi")
+        if ni * 4 <= ID_BROADCAST_BYTES:
+            s = s.join(F.broadcast(items.select(F.col("id").cast("int").alias("mid"))), "mid", "left_semi")
+        # distinct bounds the seen rows of a tile by its users x items
+        s = s.distinct()
         left = left.unionByName(s.select(
             (stripe_of("uid", su) * si + stripe_of("mid", si)).alias("tile"), "uid",
             F.lit(None).cast("array<float>").alias("features"), F.col("mid").alias("seen_mid")))

@@ -11,10 +11,16 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from recoengine import fixtures
-from recoengine.operators import statistics
-from recoengine.session import prepare
+from recoengine import fixtures, schemas
+from recoengine.functions.scalar import register_sql_functions
+from recoengine.operators import als, blocks, etl, similarity, statistics
+from recoengine.session import prepare, scratch_path
+from recoengine.sources.sinks import dedup_by_key, read_upserted
+from recoengine.sources.tables import read_table, write_table
+from recoengine.sources.text import load_movies, load_ratings, load_tags, to_lines
+from recoengine.streaming import recommender as rec
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -32,7 +38,6 @@ def q_rate_more_recently(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_change_date_sql_udf(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The monthly projection written as SQL text through the SQL function
     ``changeDate`` over a temp view, as the statistics job does."""
-    from recoengine.functions.scalar import register_sql_functions
     prepare(spark)
     register_sql_functions(spark)
     fixtures.ratings(spark, sf_dir).createOrReplaceTempView("ratings")
@@ -68,53 +73,41 @@ def q_genre_top10(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ------------------------------------------------------- loader / tables ---
 
 def q_tags_by_movie(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from recoengine.operators import etl
     prepare(spark)
     return etl.tags_by_movie(fixtures.tags(spark, sf_dir))
 
 
 def q_search_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from recoengine.operators import etl
-    from recoengine.sources.sinks import dedup_by_key
     prepare(spark)
     docs = etl.search_documents(fixtures.movies(spark, sf_dir), fixtures.tags(spark, sf_dir))
     return dedup_by_key(docs, "mid").select(*etl.SEARCH_DOC_COLUMNS)
 
 
 def _roundtrip(spark: SparkSession, df: DataFrame, columns: list[str], sep: str, loader, name: str):
-    from recoengine.session import scratch_path
-    from recoengine.sources.text import to_lines
     path = scratch_path(spark, name)
     to_lines(df, columns, sep).write.mode("overwrite").text(path)
     return loader(spark, path, mode="failfast")
 
 
 def q_load_movies_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from recoengine import schemas
-    from recoengine.sources.text import load_movies
     prepare(spark)
     return _roundtrip(spark, fixtures.movies(spark, sf_dir), schemas.MOVIE_FIELDS, "^",
                       load_movies, "movies-text")
 
 
 def q_load_ratings_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from recoengine.sources.text import load_ratings
     prepare(spark)
     return _roundtrip(spark, fixtures.ratings(spark, sf_dir), ["uid", "mid", "score", "timestamp"],
                       ",", load_ratings, "ratings-text")
 
 
 def q_load_tags_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from recoengine.sources.text import load_tags
     prepare(spark)
     return _roundtrip(spark, fixtures.tags(spark, sf_dir), ["uid", "mid", "tag", "timestamp"],
                       ",", load_tags, "tags-text")
 
 
 def q_write_read_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from recoengine import schemas
-    from recoengine.session import scratch_path
-    from recoengine.sources.tables import read_table, write_table
     prepare(spark)
     path = scratch_path(spark, "rating-table")
     write_table(fixtures.ratings(spark, sf_dir), path, sort_by=["uid", "mid"])
@@ -124,43 +117,33 @@ def q_write_read_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ----------------------------------------------------- factor products ---
 
 def _rounded(df: DataFrame, col: str = "r", digits: int = 4) -> DataFrame:
-    from pyspark.sql import functions as F
     return df.withColumn(col, F.round(col, digits))
 
 
 def q_item_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from recoengine.operators import similarity
     prepare(spark)
     return _rounded(similarity.item_similarity(fixtures.item_factors(spark, sf_dir)))
 
 
 def q_item_similarity_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from pyspark.sql import functions as F
-    from recoengine.operators import similarity
     prepare(spark)
     lists = similarity.item_similarity_lists(
         similarity.item_similarity(fixtures.item_factors(spark, sf_dir)))
-    return lists.select("mid", F.size("recs").alias("n"),
+    return lists.select("mid", F.size("recs").cast("bigint").alias("n"),
                         F.round(F.col("recs")[0]["r"], 4).alias("max_r"))
 
 
 def _factor_top10(spark: SparkSession, sf_dir: str, exclude_seen: bool) -> DataFrame:
-    from recoengine.operators import blocks
     prepare(spark)
     ratings = fixtures.ratings(spark, sf_dir)
     users = fixtures.user_factors(spark, sf_dir).join(
-        ratings.select(F_col("uid").alias("id")).distinct(), "id", "left_semi")
+        ratings.select(F.col("uid").alias("id")).distinct(), "id", "left_semi")
     items = fixtures.item_factors(spark, sf_dir).join(
-        fixtures.movies(spark, sf_dir).select(F_col("mid").alias("id")), "id", "left_semi")
+        fixtures.movies(spark, sf_dir).select(F.col("mid").alias("id")), "id", "left_semi")
     seen = ratings.select("uid", "mid") if exclude_seen else None
     return _rounded(blocks.top_n_products(users, items, 10, seen=seen))
 
 
-def F_col(name: str):
-    from pyspark.sql import functions as F
-    return F.col(name)
-
-
 def q_factor_top10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _factor_top10(spark, sf_dir, exclude_seen=False)
 
@@ -172,20 +155,17 @@ def q_factor_top10_unseen(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ------------------------------------------------------------------ ALS ---
 
 def _als_model(spark: SparkSession, sf_dir: str):
-    from recoengine.operators import als
     return als.train(fixtures.ratings(spark, sf_dir), rank=als.RANK, iterations=als.ITERATIONS,
                      reg=als.REG, seed=42)
 
 
 def q_als_recommend(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from recoengine.operators import als
     prepare(spark)
     model = _als_model(spark, sf_dir)
     return als.recommend_flat(model, fixtures.ratings(spark, sf_dir), fixtures.movies(spark, sf_dir))
 
 
 def q_als_recommend_unseen(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from recoengine.operators import als
     prepare(spark)
     model = _als_model(spark, sf_dir)
     return als.recommend_flat(model, fixtures.ratings(spark, sf_dir), fixtures.movies(spark, sf_dir),
@@ -193,13 +173,11 @@ def q_als_recommend_unseen(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_als_item_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from recoengine.operators import als
     prepare(spark)
     return als.item_similarity_from_model(_als_model(spark, sf_dir))
 
 
 def q_als_predict_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from recoengine.operators import als
     prepare(spark)
     ratings = fixtures.ratings(spark, sf_dir)
     return als.predict_pairs(_als_model(spark, sf_dir), ratings).select("uid", "mid")
@@ -208,8 +186,6 @@ def q_als_predict_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_rmse_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """RMSE join on a deterministic prediction: every rating row predicted
     by its movie's average score (duplicates multiply as in the original)."""
-    from pyspark.sql import functions as F
-    from recoengine.operators import als
     prepare(spark)
     ratings = fixtures.ratings(spark, sf_dir)
     avg = statistics.average_scores(ratings).withColumnRenamed("avg", "prediction")
@@ -219,8 +195,6 @@ def q_rmse_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_als_grid_search(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from pyspark.sql import functions as F
-    from recoengine.operators import als
     prepare(spark)
     grid = als.grid_search(fixtures.ratings(spark, sf_dir)).cache()
     best = als.best_params(grid).select("grid_pos", F.lit(True).alias("is_best"))
@@ -235,10 +209,6 @@ def _stream_tables(spark: SparkSession, sf_dir: str):
     written as a table first (the offline job's output, read by the
     stream), rated items ('view' events) and recent ratings ('click'
     events)."""
-    from recoengine.operators import similarity
-    from recoengine.session import scratch_path
-    from recoengine.sources.tables import write_table
-    from recoengine.streaming import recommender as rec
     sim_path = scratch_path(spark, "item-sim")
     write_table(similarity.item_similarity(fixtures.item_factors(spark, sf_dir)), sim_path, sort_by="mid")
     item_sim = spark.read.parquet(sim_path)
@@ -252,15 +222,12 @@ def _stream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_decode_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from recoengine.sources.text import to_lines
-    from recoengine.streaming import recommender as rec
     prepare(spark)
     lines = to_lines(fixtures.rating_events(spark, sf_dir), ["uid", "mid", "score", "timestamp"], "|")
     return rec.decode_ratings(lines, mode="failfast")
 
 
 def q_recent_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from recoengine.streaming import recommender as rec
     prepare(spark)
     return rec.recent_ratings(fixtures.recent_log(spark, sf_dir))
 
@@ -268,8 +235,6 @@ def q_recent_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_parse_recent_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per-user newest-first 'mid:score' lists (as the list store holds
     them), parsed back by the list reader."""
-    from pyspark.sql import functions as F
-    from recoengine.streaming import recommender as rec
     prepare(spark)
     head = rec.recent_ratings(fixtures.recent_log(spark, sf_dir))
     item = F.concat(F.col("mid").cast("string"), F.lit(":"), F.col("score").cast("string"))
@@ -279,7 +244,6 @@ def q_parse_recent_list(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_stream_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from recoengine.streaming import recommender as rec
     prepare(spark)
     item_sim, rated, _ = _stream_tables(spark, sf_dir)
     latest = rec.latest_per_user(_stream_events(spark, sf_dir))
@@ -287,7 +251,6 @@ def q_stream_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_stream_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from recoengine.streaming import recommender as rec
     prepare(spark)
     item_sim, rated, recent = _stream_tables(spark, sf_dir)
     latest = rec.latest_per_user(_stream_events(spark, sf_dir))
@@ -299,11 +262,6 @@ def q_stream_recommend(spark: SparkSession, sf_dir: str) -> DataFrame:
     """End to end: incoming ratings written as 'uid|mid|score|epoch' text
     files, read by the file stream source, processed by foreachBatch with
     an availableNow trigger, upserted per user, read back."""
-    from pyspark.sql import functions as F
-    from recoengine.session import scratch_path
-    from recoengine.sources.sinks import read_upserted
-    from recoengine.sources.text import to_lines
-    from recoengine.streaming import recommender as rec
     prepare(spark)
     item_sim, rated, recent = _stream_tables(spark, sf_dir)
     inbox = scratch_path(spark, "stream-in")
