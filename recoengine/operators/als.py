@@ -114,18 +114,32 @@ def item_similarity_from_model(model: ALSModel, threshold: float = SIM_THRESHOLD
 
 
 def rmse(actual: DataFrame, predicted: DataFrame, dedup: bool = False) -> DataFrame:
-    """One row (rmse, n): join actual (uid, mid, score) with predicted
-    (uid, mid, prediction) on both keys. A pair rated k times meets its k
-    predictions, giving k*k terms as the original join does; ``dedup``
-    scores each rating row once."""
-    a = actual.select(F.col("uid").cast("int").alias("uid"), F.col("mid").cast("int").alias("mid"),
-                      F.col("score").cast("double").alias("score"))
-    p = predicted.select("uid", "mid", "prediction")
+    """One row (rmse, n) of actual (uid, mid, score) against predicted
+    (uid, mid, prediction), matched on both keys.
+
+    Semantics of the original join: a pair with k_a ratings and k_p
+    predictions contributes every k_a x k_p combination; ``dedup`` scores
+    each rating row once against the pair's mean prediction. Both sides are
+    aggregated per pair before the join (count, sum, sum of squares), so
+    the join is one-to-one and a heavily repeated pair never multiplies
+    into k_a x k_p rows:
+        sum_ij (a_i - p_j)^2 = k_p * sum a^2 - 2 * sum a * sum p + k_a * sum p^2
+    """
+    a = actual.groupBy(F.col("uid").cast("int").alias("uid"), F.col("mid").cast("int").alias("mid")).agg(
+        F.count(F.lit(1)).alias("ka"), F.sum(F.col("score").cast("double")).alias("sa"),
+        F.sum(F.col("score").cast("double") ** 2).alias("qa"))
+    p = predicted.groupBy("uid", "mid").agg(
+        F.count(F.lit(1)).alias("kp"), F.sum("prediction").alias("sp"),
+        F.sum(F.col("prediction") ** 2).alias("qp"))
+    j = a.join(p, ["uid", "mid"])
+    ka, kp, sa, sp, qa, qp = (F.col(c) for c in ("ka", "kp", "sa", "sp", "qa", "qp"))
     if dedup:
-        p = p.groupBy("uid", "mid").agg(F.avg("prediction").alias("prediction"))
-    err = F.col("score") - F.col("prediction")
-    return a.join(p, ["uid", "mid"]).agg(F.sqrt(F.avg(err * err)).alias("rmse"),
-                                         F.count(F.lit(1)).alias("n"))
+        pbar = sp / kp
+        se, n = qa - 2 * pbar * sa + ka * pbar * pbar, ka
+    else:
+        se, n = kp * qa - 2 * sa * sp + ka * qp, ka * kp
+    return j.agg(F.sqrt(F.sum(F.greatest(se, F.lit(0.0))) / F.sum(n)).alias("rmse"),
+                 F.sum(n).cast("bigint").alias("n"))
 
 
 def model_rmse(model: ALSModel, ratings: DataFrame, dedup: bool = False) -> DataFrame:

@@ -45,3 +45,15 @@ def test_grid_search_min_is_best(spark):
     assert len(g) == 4
     best = als.best_params(grid).first()
     assert best.rmse == min(x.rmse for x in g)
+
+
+def test_rmse_hot_pair_is_not_multiplied_into_rows(spark):
+    k = 3000
+    actual = spark.range(k).select(F.lit(1).alias("uid"), F.lit(1).alias("mid"),
+                                   (F.col("id") % 2 + 1).cast("double").alias("score"))
+    pred = spark.range(k).select(F.lit(1).alias("uid"), F.lit(1).alias("mid"),
+                                 F.lit(1.5).alias("prediction"))
+    r = als.rmse(actual, pred).first()
+    assert r.n == k * k and abs(r.rmse - 0.5) < 1e-12
+    d = als.rmse(actual, pred, dedup=True).first()
+    assert d.n == k and abs(d.rmse - 0.5) < 1e-12
