@@ -29,13 +29,20 @@ from pyspark.sql import functions as F
 
 from recoengine.operators.topn import top_n_per_group
 
-DEFAULT_STRIPE_ROWS = 8192
+# Replication of an all-pairs product is U*M*(1/stripe_u + 1/stripe_i)
+# rows: large stripes keep the shuffle small, and the kernel processes a
+# tile in chunks so memory stays flat whatever the stripe size.
+DEFAULT_STRIPE_ROWS = 32768
 # An id set (4 bytes per id) is broadcast to pre-filter "seen" pairs only
 # below this size; above it the filter is skipped (the kernel ignores pairs
 # whose user or item is not in its tile anyway).
 ID_BROADCAST_BYTES = 32 * 1024 * 1024
 MIN_STRIPE_ROWS = 512
-CHUNK_ROWS = 1024
+CHUNK_CELLS = 8 * 1024 * 1024   # score-block entries per chunk (64 MB of float64)
+
+
+def _chunk_rows(n_right: int) -> int:
+    return int(max(16, min(4096, CHUNK_CELLS // max(1, n_right))))
 
 
 def stripe_of(id_col: Column | str, n_stripes: int) -> Column:
@@ -89,8 +96,9 @@ def _top_n_kernel(n: int, positive_only: bool):
             seen_r, seen_c = row_of[ok], col_of[ok]
         k = min(n, len(mids))
         out = []
-        for lo in range(0, len(uids), CHUNK_ROWS):
-            hi = min(lo + CHUNK_ROWS, len(uids))
+        step = _chunk_rows(len(mids))
+        for lo in range(0, len(uids), step):
+            hi = min(lo + step, len(uids))
             S = U[lo:hi] @ I.T
             if seen_r is not None:
                 m = (seen_r >= lo) & (seen_r < hi)
@@ -180,8 +188,9 @@ def _similar_kernel(threshold: float, stripes: int):
         ida, A, na = ida[oka], A[oka], na[oka]
         idb, B, nb = idb[okb], B[okb], nb[okb]
         out = []
-        for lo in range(0, len(ida), CHUNK_ROWS):
-            hi = min(lo + CHUNK_ROWS, len(ida))
+        step = _chunk_rows(len(idb))
+        for lo in range(0, len(ida), step):
+            hi = min(lo + step, len(ida))
             C = (A[lo:hi] @ B.T) / (na[lo:hi, None] * nb[None, :])
             m = C > threshold
             if a == b:
