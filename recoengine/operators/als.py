@@ -89,20 +89,33 @@ def predict_pairs(model: ALSModel, pairs: DataFrame,
     return _score(model, p, broadcast_limit)
 
 
-def recommend_flat(model: ALSModel, ratings: DataFrame, movies: DataFrame, n: int = TOP_N_USER,
-                   exclude_seen: bool = False) -> DataFrame:
+def save_factors(model: ALSModel, path: str) -> tuple[DataFrame, DataFrame]:
+    """Write user and item factors as tables and return them read back:
+    later stages then start from storage, not from the fit's lineage, so a
+    lost executor costs a re-read instead of a re-fit."""
+    spark = model.userFactors.sparkSession
+    user_factors(model).write.mode("overwrite").parquet(f"{path}/user_factors")
+    item_factors(model).write.mode("overwrite").parquet(f"{path}/item_factors")
+    return (spark.read.parquet(f"{path}/user_factors"), spark.read.parquet(f"{path}/item_factors"))
+
+
+def recommend_from_factors(users_f: DataFrame, items_f: DataFrame, ratings: DataFrame, movies: DataFrame,
+                           n: int = TOP_N_USER, exclude_seen: bool = False) -> DataFrame:
     """(uid, rank, mid, r): best ``n`` positive predictions per rating user
     over the movies of the Movie table. By default rated movies stay
     candidates, as in the original job; ``exclude_seen`` removes them
     before the top-n (so lists still fill up to n)."""
-    users = user_factors(model).join(ratings.select(F.col("uid").cast("int").alias("id")).distinct(),
-                                     "id", "left_semi")
-    items = item_factors(model).join(movies.select(F.col("mid").cast("int").alias("id")),
-                                     "id", "left_semi")
+    users = users_f.join(ratings.select(F.col("uid").cast("int").alias("id")).distinct(), "id", "left_semi")
+    items = items_f.join(movies.select(F.col("mid").cast("int").alias("id")), "id", "left_semi")
     seen = ratings.select("uid", "mid") if exclude_seen else None
     return blocks.top_n_products(users, items, n, seen=seen, positive_only=True)
 
 
+def recommend_flat(model: ALSModel, ratings: DataFrame, movies: DataFrame, n: int = TOP_N_USER,
+                   exclude_seen: bool = False) -> DataFrame:
+    return recommend_from_factors(user_factors(model), item_factors(model), ratings, movies, n, exclude_seen)
+
+
 def recommend(model: ALSModel, ratings: DataFrame, movies: DataFrame, n: int = TOP_N_USER,
               exclude_seen: bool = False) -> DataFrame:
     """(uid, recs array<struct<mid, r>>) as stored per user."""

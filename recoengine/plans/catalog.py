@@ -159,22 +159,28 @@ def _als_model(spark: SparkSession, sf_dir: str):
                      reg=als.REG, seed=42)
 
 
+def _als_factors(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Fit, then continue from factor tables written to the shared folder."""
+    return als.save_factors(_als_model(spark, sf_dir), scratch_path(spark, "als-factors"))
+
+
 def q_als_recommend(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
-    model = _als_model(spark, sf_dir)
-    return als.recommend_flat(model, fixtures.ratings(spark, sf_dir), fixtures.movies(spark, sf_dir))
+    uf, itf = _als_factors(spark, sf_dir)
+    return als.recommend_from_factors(uf, itf, fixtures.ratings(spark, sf_dir), fixtures.movies(spark, sf_dir))
 
 
 def q_als_recommend_unseen(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
-    model = _als_model(spark, sf_dir)
-    return als.recommend_flat(model, fixtures.ratings(spark, sf_dir), fixtures.movies(spark, sf_dir),
-                              exclude_seen=True)
+    uf, itf = _als_factors(spark, sf_dir)
+    return als.recommend_from_factors(uf, itf, fixtures.ratings(spark, sf_dir), fixtures.movies(spark, sf_dir),
+                                      exclude_seen=True)
 
 
 def q_als_item_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
-    return als.item_similarity_from_model(_als_model(spark, sf_dir))
+    _, itf = _als_factors(spark, sf_dir)
+    return similarity.item_similarity(itf)
 
 
 def q_als_predict_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from recoengine import schemas
 from recoengine.operators import als, etl, similarity, statistics
+from recoengine.operators.topn import nest
 from recoengine.session import prepare
 from recoengine.sources import sinks, tables, text
 from recoengine.streaming import recommender as rec
@@ -34,6 +35,7 @@ USER_RECS = "NotSeenMovieRecommends"
 ITEM_RECS = "AcquaintanceMovieRecommends"
 STREAM_RECS = "StreamingMovieRecommends"
 RECENT = "RecentRatings"
+FACTORS = "Factors"
 
 
 def _p(base: str, name: str) -> str:
@@ -89,10 +91,12 @@ def offline_job(spark: SparkSession, in_dir: str, out_dir: str, rank: int = als.
     prepare(spark)
     ratings, movies = read_inputs(spark, in_dir)
     model = als.train(ratings, rank=rank, iterations=iterations, reg=reg, seed=seed)
-    tables.write_table(als.recommend(model, ratings, movies, n, exclude_seen), _p(out_dir, USER_RECS))
-    sim_long = als.item_similarity_from_model(model, threshold)
+    users_f, items_f = als.save_factors(model, _p(out_dir, FACTORS))
+    flat = als.recommend_from_factors(users_f, items_f, ratings, movies, n, exclude_seen)
+    tables.write_table(nest(flat, ["uid"], "rank", "mid", "r"), _p(out_dir, USER_RECS))
+    sim_long = similarity.item_similarity(items_f, threshold)
     tables.write_table(similarity.item_similarity_lists(sim_long), _p(out_dir, ITEM_RECS), sort_by="mid")
-    return {x: _p(out_dir, x) for x in (USER_RECS, ITEM_RECS)}
+    return {x: _p(out_dir, x) for x in (USER_RECS, ITEM_RECS, FACTORS)}
 
 
 def parameter_job(spark: SparkSession, in_dir: str, ranks=als.GRID_RANKS, regs=als.GRID_REGS,
