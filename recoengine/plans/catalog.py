@@ -277,7 +277,10 @@ def q_stream_recommend(spark: SparkSession, sf_dir: str) -> DataFrame:
     stream = rec.decode_ratings(rec.rating_stream(spark, inbox))
     q = rec.start(stream, item_sim, rated, recent, out, ckpt,
                   trigger={"availableNow": True})
-    q.awaitTermination()
+    try:
+        q.awaitTermination()
+    finally:
+        item_sim.unpersist()
     res = read_upserted(spark, out)
     shown = F.transform("recs", lambda x: F.format_string("%d:%.4f", x["mid"], F.round(x["r"], 4)))
     return res.select("uid", F.concat_ws("|", shown).alias("recs"))
