@@ -57,3 +57,10 @@ def test_rmse_hot_pair_is_not_multiplied_into_rows(spark):
     assert r.n == k * k and abs(r.rmse - 0.5) < 1e-12
     d = als.rmse(actual, pred, dedup=True).first()
     assert d.n == k and abs(d.rmse - 0.5) < 1e-12
+
+
+def test_grid_search_with_holdout_scores_held_out_rows(spark):
+    rows = [(u, m, float((u + 2 * m) % 5 + 1)) for u in range(10) for m in range(10)]
+    ratings = spark.createDataFrame(rows, "uid int, mid int, score double")
+    g = als.grid_search(ratings, ranks=(2,), regs=(0.1,), iterations=2, holdout=0.3, parallelism=1).collect()
+    assert len(g) == 1 and g[0].rmse is not None and g[0].rmse >= 0
