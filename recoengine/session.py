@@ -108,7 +108,14 @@ def _ship_package(spark: SparkSession) -> None:
                 if f.endswith(".py"):
                     full = os.path.join(dirpath, f)
                     z.write(full, os.path.relpath(full, root))
-    out = os.path.join(tempfile.mkdtemp(prefix="recoengine-pyfiles-"), "recoengine.zip")
-    with open(out, "wb") as fh:
-        fh.write(buf.getvalue())
-    spark.sparkContext.addPyFile(out)
+    # written into the shared folder (any Hadoop file system) and served to
+    # executors by addPyFile, like --py-files
+    out = scratch_path(spark, "pyfiles") + "/recoengine.zip"
+    sc = spark.sparkContext
+    jpath = sc._jvm.org.apache.hadoop.fs.Path(out)
+    stream = jpath.getFileSystem(sc._jsc.hadoopConfiguration()).create(jpath, True)
+    try:
+        stream.write(bytearray(buf.getvalue()))
+    finally:
+        stream.close()
+    sc.addPyFile(out)
