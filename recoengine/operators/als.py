@@ -23,6 +23,8 @@ from recoengine.operators.similarity import SIM_THRESHOLD, item_similarity
 from recoengine.operators.topn import nest
 from recoengine.session import prepare
 
+# ALS setting (rank, iterations, lambda), list length per
+# user, and the parameter grid (ranks x lambdas).
 RANK, ITERATIONS, REG = 50, 5, 0.01
 TOP_N_USER = 10
 GRID_RANKS = (40, 50, 60)
