@@ -282,6 +282,8 @@ def q_stream_recommend(spark: SparkSession, sf_dir: str) -> DataFrame:
     finally:
         item_sim.unpersist()
     res = read_upserted(spark, out)
+    if res is None:  # no micro-batch ran: nothing was written
+        return spark.createDataFrame([], "uid int, recs string")
     shown = F.transform("recs", lambda x: F.format_string("%d:%.4f", x["mid"], F.round(x["r"], 4)))
     return res.select("uid", F.concat_ws("|", shown).alias("recs"))
 
