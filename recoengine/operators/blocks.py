@@ -76,6 +76,7 @@ def _matrix(col: pd.Series) -> np.ndarray:
 def _top_n_kernel(n: int, positive_only: bool):
     def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         empty = pd.DataFrame({"uid": pd.Series([], dtype="int32"),
+                              "rank": pd.Series([], dtype="int32"),
                               "mid": pd.Series([], dtype="int32"),
                               "r": pd.Series([], dtype="float64")})
         users = _present(left)
@@ -117,6 +118,7 @@ def _top_n_kernel(n: int, positive_only: bool):
             pos = np.arange(len(rr)) - np.repeat(start, np.diff(np.r_[start, len(rr)]))
             keep = pos < k
             out.append(pd.DataFrame({"uid": uids[lo + rr[keep]].astype("int32"),
+                                     "rank": (pos[keep] + 1).astype("int32"),
                                      "mid": mids[cc[keep]].astype("int32"),
                                      "r": vals[keep]}))
         return pd.concat(out, ignore_index=True) if out else empty
@@ -162,8 +164,12 @@ def top_n_products(users: DataFrame, items: DataFrame, n: int, *, seen: DataFram
 
     kern = _top_n_kernel(n, positive_only)
     partial = left.groupBy("tile").cogroup(right.groupBy("tile")).applyInPandas(
-        kern, "uid int, mid int, r double")
-    return top_n_per_group(partial, ["uid"], [F.desc("r"), F.asc("mid")], n) \
+        kern, "uid int, rank int, mid int, r double")
+    if si == 1:
+        # every user met all items in its one tile: the kernel's exact
+        # top-n (ties by mid) is final, no shuffle across tiles needed
+        return partial
+    return top_n_per_group(partial.drop("rank"), ["uid"], [F.desc("r"), F.asc("mid")], n) \
         .select("uid", "rank", "mid", "r")
 
 
