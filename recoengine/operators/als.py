@@ -102,12 +102,17 @@ def save_factors(model: ALSModel, path: str) -> tuple[DataFrame, DataFrame]:
 
 
 def recommend_from_factors(users_f: DataFrame, items_f: DataFrame, ratings: DataFrame, movies: DataFrame,
-                           n: int = TOP_N_USER, exclude_seen: bool = False) -> DataFrame:
+                           n: int = TOP_N_USER, exclude_seen: bool = False,
+                           trained_on_ratings: bool = False) -> DataFrame:
     """(uid, rank, mid, r): best ``n`` positive predictions per rating user
     over the movies of the Movie table. By default rated movies stay
     candidates, as in the original job; ``exclude_seen`` removes them
-    before the top-n (so lists still fill up to n)."""
-    users = users_f.join(ratings.select(F.col("uid").cast("int").alias("id")).distinct(), "id", "left_semi")
+    before the top-n (so lists still fill up to n). With
+    ``trained_on_ratings`` the factors come from a fit on ``ratings``, so
+    every factor user is a rating user and the pass over ratings that
+    finds them is skipped."""
+    users = users_f if trained_on_ratings else users_f.join(
+        ratings.select(F.col("uid").cast("int").alias("id")).distinct(), "id", "left_semi")
     items = items_f.join(movies.select(F.col("mid").cast("int").alias("id")), "id", "left_semi")
     seen = ratings.select("uid", "mid") if exclude_seen else None
     return blocks.top_n_products(users, items, n, seen=seen, positive_only=True)
@@ -115,7 +120,9 @@ def recommend_from_factors(users_f: DataFrame, items_f: DataFrame, ratings: Data
 
 def recommend_flat(model: ALSModel, ratings: DataFrame, movies: DataFrame, n: int = TOP_N_USER,
                    exclude_seen: bool = False) -> DataFrame:
-    return recommend_from_factors(user_factors(model), item_factors(model), ratings, movies, n, exclude_seen)
+    """As ``recommend_from_factors`` for a model fitted on ``ratings``."""
+    return recommend_from_factors(user_factors(model), item_factors(model), ratings, movies, n, exclude_seen,
+                                  trained_on_ratings=True)
 
 
 def recommend(model: ALSModel, ratings: DataFrame, movies: DataFrame, n: int = TOP_N_USER,

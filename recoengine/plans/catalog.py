@@ -167,14 +167,15 @@ def _als_factors(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame
 def q_als_recommend(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     uf, itf = _als_factors(spark, sf_dir)
-    return als.recommend_from_factors(uf, itf, fixtures.ratings(spark, sf_dir), fixtures.movies(spark, sf_dir))
+    return als.recommend_from_factors(uf, itf, fixtures.ratings(spark, sf_dir), fixtures.movies(spark, sf_dir),
+                                      trained_on_ratings=True)
 
 
 def q_als_recommend_unseen(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     uf, itf = _als_factors(spark, sf_dir)
     return als.recommend_from_factors(uf, itf, fixtures.ratings(spark, sf_dir), fixtures.movies(spark, sf_dir),
-                                      exclude_seen=True)
+                                      exclude_seen=True, trained_on_ratings=True)
 
 
 def q_als_item_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -92,7 +92,8 @@ def offline_job(spark: SparkSession, in_dir: str, out_dir: str, rank: int = als.
     ratings, movies = read_inputs(spark, in_dir)
     model = als.train(ratings, rank=rank, iterations=iterations, reg=reg, seed=seed)
     users_f, items_f = als.save_factors(model, _p(out_dir, FACTORS))
-    flat = als.recommend_from_factors(users_f, items_f, ratings, movies, n, exclude_seen)
+    flat = als.recommend_from_factors(users_f, items_f, ratings, movies, n, exclude_seen,
+                                      trained_on_ratings=True)
     tables.write_table(nest(flat, ["uid"], "rank", "mid", "r"), _p(out_dir, USER_RECS))
     sim_long = similarity.item_similarity(items_f, threshold)
     tables.write_table(similarity.item_similarity_lists(sim_long), _p(out_dir, ITEM_RECS), sort_by="mid")
