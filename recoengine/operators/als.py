@@ -17,7 +17,6 @@ from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from recoengine.functions.scalar import dot
 from recoengine.operators import blocks
 from recoengine.operators.similarity import SIM_THRESHOLD, item_similarity
 from recoengine.operators.topn import nest
@@ -61,34 +60,19 @@ def user_factors(model: ALSModel) -> DataFrame:
     return model.userFactors.select(F.col("id").cast("int").alias("id"), "features")
 
 
-# A factor table is broadcast to the pair side only when its measured size
-# (rows x rank x 4 bytes) is below this bound; otherwise both joins shuffle.
-FACTOR_BROADCAST_BYTES = 64 * 1024 * 1024
-
-
-def _maybe_broadcast(factors: DataFrame, rank: int, limit: int) -> DataFrame:
-    return F.broadcast(factors) if factors.count() * rank * 4 <= limit else factors
-
-
-def _score(model: ALSModel, rows: DataFrame, broadcast_limit: int) -> DataFrame:
-    """``rows`` (uid, mid, ...) joined to both factor tables, plus
-    ``prediction`` = user . item in double precision."""
-    uf = _maybe_broadcast(user_factors(model).withColumnRenamed("features", "uf"), model.rank, broadcast_limit)
-    itf = _maybe_broadcast(item_factors(model).withColumnRenamed("features", "itf"), model.rank,
-                           broadcast_limit)
-    j = rows.join(uf.withColumnRenamed("id", "uid"), "uid").join(itf.withColumnRenamed("id", "mid"), "mid")
-    keep = [c for c in rows.columns]
-    return j.select(*keep, dot(F.col("uf"), F.col("itf")).alias("prediction"))
+def predict_pairs(model: ALSModel, pairs: DataFrame) -> DataFrame:
+    """(uid, mid, prediction) for each input pair (duplicates kept); pairs
+    whose user or item has no factor vanish (cold-start drop). MLlib joins
+    the pairs to both factor tables (AQE broadcasts a side that turns out
+    small at runtime) and takes the dot product in compiled code."""
+    return _score(model, pairs.select(F.col("uid").cast("int").alias("uid"),
+                                      F.col("mid").cast("int").alias("mid")))
 
 
-def predict_pairs(model: ALSModel, pairs: DataFrame,
-                  broadcast_limit: int = FACTOR_BROADCAST_BYTES) -> DataFrame:
-    """(uid, mid, prediction) for each input pair (duplicates kept); pairs
-    whose user or item has no factor vanish (cold-start drop). The dot
-    product runs JVM-side; small factor tables are broadcast after a size
-    check so the pairs are never shuffled with feature arrays attached."""
-    p = pairs.select(F.col("uid").cast("int").alias("uid"), F.col("mid").cast("int").alias("mid"))
-    return _score(model, p, broadcast_limit)
+def _score(model: ALSModel, rows: DataFrame) -> DataFrame:
+    """``rows`` (uid, mid, ...) plus a double ``prediction`` column."""
+    m = model.copy().setColdStartStrategy("drop").setPredictionCol("prediction")
+    return m.transform(rows).withColumn("prediction", F.col("prediction").cast("double"))
 
 
 def save_factors(model: ALSModel, path: str) -> tuple[DataFrame, DataFrame]:
@@ -170,7 +154,7 @@ def model_rmse(model: ALSModel, ratings: DataFrame, dedup: bool = False) -> Data
     pair rated k times (one prediction p per pair) contributes
     k * sum_i (score_i - p)^2 over k*k terms, exactly what the join gives."""
     rows = _training_frame(ratings).withColumn("score", F.col("score").cast("double"))
-    scored = _score(model, rows, FACTOR_BROADCAST_BYTES)
+    scored = _score(model, rows)
     err2 = (F.col("score") - F.col("prediction")) ** 2
     per_pair = scored.groupBy("uid", "mid").agg(F.count(F.lit(1)).alias("k"), F.sum(err2).alias("se"))
     w = F.lit(1) if dedup else F.col("k")
