@@ -211,17 +211,23 @@ def q_als_grid_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ------------------------------------------------------------ streaming ---
 
-def _stream_tables(spark: SparkSession, sf_dir: str):
+def _stream_tables(spark: SparkSession, sf_dir: str, store: bool = False):
     """Static side of the stream: item similarity over all item factors,
-    written as a table first (the offline job's output, read by the
-    stream), rated items ('view' events) and recent ratings ('click'
-    events)."""
+    written as a table and read back (the offline job's output), rated
+    items ('view' events) and recent ratings ('click' events). With
+    ``store`` the per-user tables are written too, so a stream of several
+    micro-batches never recomputes them (the jobs also partition them by
+    uid bucket for very large inputs: ``recent_job``, ``load_job``)."""
     sim_path = scratch_path(spark, "item-sim")
     write_table(similarity.item_similarity(fixtures.item_factors(spark, sf_dir)), sim_path, sort_by="mid")
-    item_sim = spark.read.parquet(sim_path)
     rated = fixtures.seen(spark, sf_dir)
     recent = rec.recent_ratings(fixtures.recent_log(spark, sf_dir))
-    return item_sim, rated, recent
+    if store:
+        rated_path, recent_path = scratch_path(spark, "rated"), scratch_path(spark, "recent")
+        write_table(rated, rated_path, sort_by=["uid", "mid"])
+        write_table(recent, recent_path, sort_by=["uid", "pos"])
+        rated, recent = spark.read.parquet(rated_path), read_table(spark, recent_path, schemas.RECENT)
+    return spark.read.parquet(sim_path), rated, recent
 
 
 def _stream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -267,22 +273,24 @@ def q_stream_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_stream_recommend(spark: SparkSession, sf_dir: str) -> DataFrame:
     """End to end: incoming ratings written as 'uid|mid|score|epoch' text
-    files, read by the file stream source, processed by foreachBatch with
-    an availableNow trigger, upserted per user, read back."""
+    files, read by the file stream source a few files per micro-batch
+    (availableNow), scored per batch in foreachBatch, upserted per user,
+    read back from the sink (latest event per user wins)."""
     prepare(spark)
-    item_sim, rated, recent = _stream_tables(spark, sf_dir)
+    item_sim, rated, recent = _stream_tables(spark, sf_dir, store=True)
     inbox = scratch_path(spark, "stream-in")
     out, ckpt = scratch_path(spark, "stream-out"), scratch_path(spark, "stream-ckpt")
+    n_files = max(4, spark.sparkContext.defaultParallelism)
     to_lines(_stream_events(spark, sf_dir), ["uid", "mid", "score", "timestamp"], "|") \
-        .write.mode("overwrite").text(inbox)
-    stream = rec.decode_ratings(rec.rating_stream(spark, inbox))
-    q = rec.start(stream, item_sim, rated, recent, out, ckpt,
-                  trigger={"availableNow": True})
+        .repartition(n_files).write.mode("overwrite").text(inbox)
+    # two or more micro-batches; a user's events may fall into any of them
+    stream = rec.decode_ratings(rec.rating_stream(spark, inbox, maxFilesPerTrigger=(n_files + 1) // 2))
+    q = rec.start(stream, item_sim, rated, recent, out, ckpt, trigger={"availableNow": True})
     try:
         q.awaitTermination()
     finally:
         item_sim.unpersist()
-    res = read_upserted(spark, out)
+    res = rec.read_results(spark, out)
     if res is None:  # no micro-batch ran: nothing was written
         return spark.createDataFrame([], "uid int, recs string")
     shown = F.transform("recs", lambda x: F.format_string("%d:%.4f", x["mid"], F.round(x["r"], 4)))

@@ -9,6 +9,7 @@ from recoengine.plans import jobs
 from recoengine.session import scratch_path
 from recoengine.sources import sinks
 from recoengine.sources.text import to_lines
+from recoengine.streaming import recommender as rec
 
 
 def test_jobs_end_to_end(spark, sf_dir):
@@ -40,5 +41,5 @@ def test_jobs_end_to_end(spark, sf_dir):
         fh.write("\n".join(f"{r.uid}|{r.mid}|{r.score}|{r.timestamp}" for r in some) + "\n")
     q = jobs.streaming_job(spark, store, store, inbox, out, ckpt, trigger={"availableNow": True})
     q.awaitTermination()
-    res = sinks.read_upserted(spark, f"{out}/{jobs.STREAM_RECS}")
+    res = rec.read_results(spark, f"{out}/{jobs.STREAM_RECS}")
     assert res.count() == len({r.uid for r in some})
