@@ -17,6 +17,7 @@ from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from recoengine.functions.scalar import dot
 from recoengine.operators import blocks
 from recoengine.operators.similarity import SIM_THRESHOLD, item_similarity
 from recoengine.operators.topn import nest
@@ -60,17 +61,33 @@ def user_factors(model: ALSModel) -> DataFrame:
     return model.userFactors.select(F.col("id").cast("int").alias("id"), "features")
 
 
-def predict_pairs(model: ALSModel, pairs: DataFrame) -> DataFrame:
+# A factor table is broadcast to the pair side only when its measured size
+# (rows x rank x 4 bytes) is below this bound; otherwise the joins shuffle.
+FACTOR_BROADCAST_BYTES = 64 * 1024 * 1024
+
+
+def _maybe_broadcast(factors: DataFrame, rank: int, limit: int) -> DataFrame:
+    return F.broadcast(factors) if factors.count() * rank * 4 <= limit else factors
+
+
+def predict_pairs(model: ALSModel, pairs: DataFrame,
+                  broadcast_limit: int = FACTOR_BROADCAST_BYTES) -> DataFrame:
     """(uid, mid, prediction) for each input pair (duplicates kept); pairs
-    whose user or item has no factor vanish (cold-start drop). MLlib joins
-    the pairs to both factor tables (AQE broadcasts a side that turns out
-    small at runtime) and takes the dot product in compiled code."""
-    return _score(model, pairs.select(F.col("uid").cast("int").alias("uid"),
-                                      F.col("mid").cast("int").alias("mid")))
+    whose user or item has no factor vanish (cold-start drop = inner
+    joins). Written as joins plus a dot-product column, so Catalyst prunes
+    the product when only the key set is used; a factor table is broadcast
+    after a size check, otherwise both joins shuffle."""
+    uf = _maybe_broadcast(user_factors(model).toDF("uid", "uf"), model.rank, broadcast_limit)
+    itf = _maybe_broadcast(item_factors(model).toDF("mid", "itf"), model.rank, broadcast_limit)
+    p = pairs.select(F.col("uid").cast("int").alias("uid"), F.col("mid").cast("int").alias("mid"))
+    return p.join(uf, "uid").join(itf, "mid") \
+        .select("uid", "mid", dot(F.col("uf"), F.col("itf")).alias("prediction"))
 
 
 def _score(model: ALSModel, rows: DataFrame) -> DataFrame:
-    """``rows`` (uid, mid, ...) plus a double ``prediction`` column."""
+    """``rows`` (uid, mid, ...) plus a ``prediction`` column through
+    ``ALSModel.transform`` (compiled float dot product; its join
+    partitioning is reused by a following per-pair aggregation)."""
     m = model.copy().setColdStartStrategy("drop").setPredictionCol("prediction")
     return m.transform(rows).withColumn("prediction", F.col("prediction").cast("double"))
 

@@ -23,7 +23,8 @@ def test_train_predict_recommend_small(spark):
     for dd in (False, True):
         a = als.rmse(dup, als.predict_pairs(model, dup), dedup=dd).first()
         b = als.model_rmse(model, dup, dedup=dd).first()
-        assert a.n == b.n and abs(a.rmse - b.rmse) < 1e-9
+        # model_rmse predicts through MLlib (float dot), predict_pairs in double
+        assert a.n == b.n and abs(a.rmse - b.rmse) <= 1e-6 * max(1.0, a.rmse)
     # RMSE from factors by hand equals the join result
     uf = {x.id: x.features for x in als.user_factors(model).collect()}
     itf = {x.id: x.features for x in als.item_factors(model).collect()}
