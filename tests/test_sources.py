@@ -61,3 +61,15 @@ def test_search_docs_unique_per_key(spark):
     sinks.write_search_docs(df, p)
     got = sorted(map(tuple, spark.read.parquet(p).collect()))
     assert got == [(1, "b"), (2, "c")]
+
+
+def test_cluster_by_writes_disjoint_key_ranges(spark):
+    from pyspark.sql import functions as F
+    df = spark.range(0, 2000).select((F.col("id") * 7919 % 2000).cast("int").alias("uid"),
+                                     F.lit(1).alias("mid"), F.lit(1.0).alias("score"), F.lit(0).cast("long").alias("timestamp"))
+    p = scratch_path(spark, "clustered")
+    tables.write_table(df, p, cluster_by="uid", num_partitions=4)
+    back = spark.read.parquet(p).withColumn("f", F.input_file_name())
+    ranges = sorted((r.lo, r.hi) for r in back.groupBy("f").agg(F.min("uid").alias("lo"), F.max("uid").alias("hi")).collect())
+    assert len(ranges) >= 2 and all(a[1] < b[0] for a, b in zip(ranges, ranges[1:]))
+    assert back.count() == 2000
