@@ -33,9 +33,9 @@ from recoengine.operators.topn import top_n_per_group
 # rows: large stripes keep the shuffle small, and the kernel processes a
 # tile in chunks so memory stays flat whatever the stripe size.
 DEFAULT_STRIPE_ROWS = 32768
-# An id set (4 bytes per id) is broadcast to pre-filter "seen" pairs only
-# below this size; above it the filter is skipped (the kernel ignores pairs
-# whose user or item is not in its tile anyway).
+# The item id set (4 bytes per id) is broadcast to pre-filter "seen" pairs
+# only below this size; above it the filter is skipped (the kernel ignores
+# pairs whose item is not in its tile anyway).
 ID_BROADCAST_BYTES = 32 * 1024 * 1024
 MIN_STRIPE_ROWS = 512
 CHUNK_CELLS = 8 * 1024 * 1024   # score-block entries per chunk (64 MB of float64)
@@ -149,8 +149,9 @@ def top_n_products(users: DataFrame, items: DataFrame, n: int, *, seen: DataFram
                     F.lit(None).cast("int").alias("seen_mid")))
     if seen is not None:
         s = seen.select(F.col("uid").cast("int").alias("uid"), F.col("mid").cast("int").alias("mid"))
-        if nu * 4 <= ID_BROADCAST_BYTES:
-            s = s.join(F.broadcast(u.select("uid")), "uid", "left_semi")
+        # drop pairs of items that are not scored (catalogue items are few);
+        # pairs of unknown users are simply ignored in their tile, so the
+        # user side is not re-derived just to filter them
         if ni * 4 <= ID_BROADCAST_BYTES:
             s = s.join(F.broadcast(items.select(F.col("id").cast("int").alias("mid"))), "mid", "left_semi")
         # distinct bounds the seen rows of a tile by its users x items
