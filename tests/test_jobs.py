@@ -1,6 +1,7 @@
 """The five jobs chained on text files made from the sf0.001 tables."""
 
 import os
+import re
 
 from pyspark.sql import functions as F
 
@@ -20,6 +21,18 @@ def test_jobs_end_to_end(spark, sf_dir):
     store = scratch_path(spark, "store")
     paths = jobs.load_job(spark, f"{raw}/movies", f"{raw}/ratings", f"{raw}/tags", store)
     assert spark.read.parquet(paths[jobs.RATING]).count() == fixtures.ratings(spark, sf_dir).count()
+    # the stored Rating table is uid-bucketed, and a batch's candidate plan
+    # reads only the buckets of its users
+    from recoengine.sources import tables
+    rated = tables.read_table(spark, paths[jobs.RATING], schemas.RATING)
+    assert "uid_bucket" in rated.columns
+    one = rated.select("uid", "mid").limit(1).collect()[0]
+    sims = spark.createDataFrame([(one.mid, one.mid + 1, 0.9)], "mid int, sim_mid int, r double")
+    cand = rec.candidates(spark.createDataFrame([(one.uid, one.mid)], "uid int, mid int"), sims,
+                          rated.select("uid", "mid", "uid_bucket"))
+    cand.collect()
+    plan = cand._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert re.search(r"FileScan parquet \[[^\]]*uid_bucket[^\]]*\].*PartitionFilters: \[[^\]]*uid_bucket", plan)
     docs = spark.read.parquet(paths[jobs.SEARCH_DOCS])
     assert docs.count() == docs.select("mid").distinct().count()
 
