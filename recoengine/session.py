@@ -6,8 +6,10 @@ session already says and only fills gaps (as in tests and local runs).
 
 from __future__ import annotations
 
+import atexit
 import io
 import os
+import re
 import tempfile
 import uuid
 import zipfile
@@ -46,20 +48,23 @@ def build_session(master: str | None = None, app_name: str = "recoengine",
     return spark
 
 
-_prepared: set[int] = set()
+_prepared: set[str] = set()
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Idempotent: pin runtime conf, make sure a shared checkpoint dir
-    exists and ship this package to the Python workers."""
+    """Idempotent: fill unset runtime settings (what the user set stays),
+    make sure a shared checkpoint dir exists and ship this package to the
+    Python workers."""
+    present = spark.conf.getAll
     for k, v in RUNTIME_CONF.items():
-        spark.conf.set(k, v)
-    sc = spark.sparkContext
-    key = id(sc._jsc)
+        if k not in present:
+            spark.conf.set(k, v)
+    key = spark.sparkContext.applicationId
     if key in _prepared:
         return spark
     shared_dir(spark)
     _ship_package(spark)
+    atexit.register(_drop_scratch, spark)
     _prepared.add(key)
     return spark
 
@@ -67,8 +72,9 @@ def prepare(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-wide folder named by ``spark.checkpoint.dir``.
 
-    Read from the session; only when unset (tests, local runs) a fresh
-    folder is created and registered.
+    Read from the session; only when unset on a local master (tests, local
+    runs) a fresh folder is created and registered. On a cluster a missing
+    setting is an error: a folder of the driver's machine is not shared.
     """
     sc = spark.sparkContext
     d = sc.getConf().get("spark.checkpoint.dir", None)
@@ -81,6 +87,8 @@ def shared_dir(spark: SparkSession) -> str:
         jdir = sc._jsc.sc().getCheckpointDir()
         d = jdir.get() if jdir.isDefined() else None
     if not d:
+        if not re.fullmatch(r"local(\[.*\])?", sc.master or ""):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="recoengine-ckpt-")
         sc.setCheckpointDir(d)
         spark.conf.set("spark.checkpoint.dir", d)
@@ -89,10 +97,39 @@ def shared_dir(spark: SparkSession) -> str:
     return d
 
 
+def scratch_root(spark: SparkSession) -> str:
+    """This application's own sub-folder of the shared folder."""
+    return f"{shared_dir(spark).rstrip('/')}/recoengine/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new, unique sub-path of the shared folder (never reused)."""
-    base = shared_dir(spark).rstrip("/")
-    return f"{base}/recoengine/{name}-{uuid.uuid4().hex[:12]}"
+    """A new, unique scratch path in the shared folder (never reused);
+    ``release`` frees it, and all are removed when the application ends."""
+    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def release(spark: SparkSession, *paths: str) -> None:
+    """Delete scratch tables that no later step reads."""
+    sc = spark.sparkContext
+    for p in paths:
+        if not p.startswith(scratch_root(spark) + "/"):
+            raise ValueError(f"not a scratch path of this application: {p}")
+        jpath = sc._jvm.org.apache.hadoop.fs.Path(p)
+        jpath.getFileSystem(sc._jsc.hadoopConfiguration()).delete(jpath, True)
+
+
+def _drop_scratch(spark: SparkSession) -> None:
+    """At exit, while the session still lives: remove this application's
+    scratch folder. A session stopped before leaves that to the owner of
+    the shared folder."""
+    try:
+        sc = spark.sparkContext
+        if sc._jsc is None:
+            return
+        jpath = sc._jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
+        jpath.getFileSystem(sc._jsc.hadoopConfiguration()).delete(jpath, True)
+    except Exception:  # noqa: BLE001 - the JVM is already gone
+        pass
 
 
 def _ship_package(spark: SparkSession) -> None:
