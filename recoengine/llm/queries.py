@@ -6,16 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from recoengine.llm import mixing, packing, sharding, token_store
+from recoengine.llm import mixing, packing, sharding, substrings, suffixes, token_store
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_substring_dedup": substrings.op1_substring_dedup,
         "op3_pack": packing.op3_pack,
         "op4_mix_sources": mixing.op4_mix_sources,
         "op6_token_store": token_store.op6_token_store,
+        "op7_suffix_dedup": suffixes.op7_suffix_dedup,
         "op8_shard": sharding.op8_shard,
     }
 
