@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from recoengine.llm import mixing, packing, sharding, substrings, suffixes, token_store
+from recoengine.llm import language, mixing, packing, quality, sharding, substrings, suffixes, token_store
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,6 +19,8 @@ def queries() -> dict[str, Query]:
         "op6_token_store": token_store.op6_token_store,
         "op7_suffix_dedup": suffixes.op7_suffix_dedup,
         "op8_shard": sharding.op8_shard,
+        "op9_language": language.op9_language,
+        "op10_quality": quality.op10_quality,
     }
 
 
