@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from recoengine.llm import language, mixing, packing, quality, sharding, substrings, suffixes, token_store
+from recoengine.llm import embeddings, language, mixing, packing, quality, sharding, substrings, suffixes, token_store
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -14,6 +14,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 def queries() -> dict[str, Query]:
     return {
         "op1_substring_dedup": substrings.op1_substring_dedup,
+        "op2_embedding_dedup": embeddings.op2_embedding_dedup,
         "op3_pack": packing.op3_pack,
         "op4_mix_sources": mixing.op4_mix_sources,
         "op6_token_store": token_store.op6_token_store,
