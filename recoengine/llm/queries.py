@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from recoengine.llm import embeddings, language, mixing, packing, quality, sharding, substrings, suffixes, token_store
+from recoengine.llm import embeddings, language, minhash, mixing, packing, quality, sharding, substrings, suffixes, token_store
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -17,6 +17,7 @@ def queries() -> dict[str, Query]:
         "op2_embedding_dedup": embeddings.op2_embedding_dedup,
         "op3_pack": packing.op3_pack,
         "op4_mix_sources": mixing.op4_mix_sources,
+        "op5_minhash_dedup": minhash.op5_minhash_dedup,
         "op6_token_store": token_store.op6_token_store,
         "op7_suffix_dedup": suffixes.op7_suffix_dedup,
         "op8_shard": sharding.op8_shard,
