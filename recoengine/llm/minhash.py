@@ -18,8 +18,8 @@ Documents with equal sets are one class, so copies cost one row.
 
 Defined results: a text without words (or null) has an empty set and links
 with nothing; with fewer than five words its set is the whole sequence; rows
-with a null id take part, but a component's id is its least non-null one; rows
-with equal ids share what they are linked to; an empty table gives no rows.
+with a null id take part, but a component's id is its least non-null one; of
+rows with equal ids one stays (``stays``); an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -193,12 +193,14 @@ def across_components(posts: DataFrame, sketched: DataFrame, needed: int, block:
 
 
 def near_duplicates(docs: DataFrame, block: int = BLOCK) -> DataFrame:
-    """One row a document: (doc_id, n_shingles, component_id, kept, row); row
-    numbers the documents."""
+    """One row a document: (doc_id, n_shingles, component_id, kept, row, stays).
+    row numbers the rows of ``docs``, a table as it is read; stays holds for one
+    row of each component."""
     docs = docs.select("doc_id", "text")
     needed = matches_needed()
     sketched = save(sketch(docs), "sketch")
-    classes = sketched.where("n_shingles > 0").groupBy("set_key").agg(F.min("row").alias("row"), F.min("doc_id").alias("first_id"))
+    classes = sketched.where("n_shingles > 0").groupBy("set_key").agg(F.min("row").alias("row"),
+        F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row")).alias("first"))
     reps = sketched.join(classes.select("row"), "row")
     posts = save(prefixes(reps, needed), "postings")
 
@@ -215,14 +217,22 @@ def near_duplicates(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     placed = save(posts.join(so_far.withColumnRenamed("id", "row"), "row"), "placed")
     more = save(confirm(across_components(placed, sketched, needed, block), sets), "links")
 
-    found = components(links.unionByName(more), classes.select(F.col("row").alias("id"), F.col("first_id").alias("label")))
-    by_set = classes.join(found.withColumnRenamed("id", "row"), "row").select("set_key", F.col("component").alias("component_id"))
-    some = sketched.where("n_shingles > 0").join(by_set, "set_key").select("row", "doc_id", "n_shingles", "component_id")
-    none = sketched.where("n_shingles = 0").select("row", "doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
-    out = some.unionByName(none)
-    kept = F.coalesce(F.col("doc_id") == F.col("component_id"), (F.col("n_shingles") == 0) | F.col("component_id").isNull())
-    return out.select("doc_id", "n_shingles", "component_id", kept.alias("kept"), "row")
+    found = components(links.unionByName(more), classes.select(F.col("row").alias("id"), F.col("first").alias("label")))
+    by_set = classes.join(found.withColumnRenamed("id", "row"), "row").select("set_key", "component")
+    some = sketched.where("n_shingles > 0").join(by_set, "set_key").select(
+        "row", "doc_id", "n_shingles", F.col("component.doc_id").alias("component_id"), (F.col("row") == F.col("component.row")).alias("stays"))
+    none = sketched.where("n_shingles = 0").select("row", "doc_id", "n_shingles", F.col("doc_id").alias("component_id"), F.lit(True).alias("stays"))
+    kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("stays"))
+    return some.unionByName(none).select("doc_id", "n_shingles", "component_id", kept.alias("kept"), "row", "stays")
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """The documents with one row of each component, with their columns.
+    ``docs`` is a table as it is read: its rows are numbered twice alike."""
+    row = "__near_row"
+    keep = near_duplicates(docs).where("stays").select(F.col("row").alias(row))
+    return docs.withColumn(row, F.monotonically_increasing_id()).join(keep, row).select(*docs.columns)
 
 
 def op5_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(table(spark, sf_dir, "documents")).drop("row")
+    return near_duplicates(table(spark, sf_dir, "documents")).drop("row", "stays")

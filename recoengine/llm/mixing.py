@@ -126,12 +126,13 @@ def mix(docs: DataFrame, share: float = SHARE, weights: Sequence[int] = WEIGHTS,
 
 def mixed_rows(docs: DataFrame, **params) -> DataFrame:
     """The mixed corpus: each document as often as it is taken, with the
-    columns it came with (documents taken 0 times go)."""
-    tag = "_mix_row"
-    numbered = save(docs.withColumn(tag, F.monotonically_increasing_id()), "mix-rows")
-    copies = mix(numbered, keep=[tag], **params).where("copies > 0").select(tag, "copies")
-    joined = numbered.join(copies, tag).withColumn("_nth", F.explode(F.sequence(F.lit(1), F.col("copies"))))
-    return joined.select(*docs.columns)
+    columns it came with (documents taken 0 times go). ``docs`` is a table as it
+    is read: its rows are numbered twice alike."""
+    row = "__mix_row"
+    numbered = docs.withColumn(row, F.monotonically_increasing_id())
+    times = mix(numbered, keep=[row], **params).where("copies > 0").select(row, F.col("copies").alias("__copies"))
+    each = numbered.join(times, row).withColumn("__nth", F.explode(F.sequence(F.lit(1), F.col("__copies"))))
+    return each.select(*docs.columns)
 
 
 def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,7 +11,7 @@ raises its score.
 Defined results: a null or empty text has no words and fails the base rules;
 labels that are null, or of documents that are absent, teach nothing; without
 labels of both kinds the base rules alone decide; rows with equal ids are judged
-each; an empty table gives no rows; further columns are kept by ``judged``.
+each; an empty table gives no rows; ``good_documents`` keeps further columns.
 """
 
 from __future__ import annotations
@@ -203,14 +203,19 @@ def train(stats: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Trees
     return fit_trees(features({s: sample[s].to_numpy() for s in STATISTICS}), y, list(FEATURES.values()))
 
 
+def verdict(s: dict[str, np.ndarray], trees: Trees | None, threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """base_failed, score and kept of each row."""
+    failed = (s["n_words"] < MIN_WORDS) | (100 * s["n_repeat_words"] > MAX_REPEAT_PERCENT * s["n_words"])
+    score = trees.score(features(s)) if trees else np.ones(len(failed))
+    return failed, score, ~failed & (score >= threshold)
+
+
 def judged(stats: DataFrame, trees: Trees | None, threshold: float = THRESHOLD) -> DataFrame:
     """The rows with base_failed, score and kept."""
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            s = {c: b.column(c).to_numpy() for c in STATISTICS}
-            failed = (s["n_words"] < MIN_WORDS) | (100 * s["n_repeat_words"] > MAX_REPEAT_PERCENT * s["n_words"])
-            score = trees.score(features(s)) if trees else np.ones(b.num_rows)
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(failed), pa.array(score), pa.array(~failed & (score >= threshold))],
+            found = verdict({c: b.column(c).to_numpy() for c in STATISTICS}, trees, threshold)
+            yield pa.RecordBatch.from_arrays([*b.columns, *[pa.array(x) for x in found]],
                                              [*b.schema.names, "base_failed", "score", "kept"])
 
     ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in stats.schema)
@@ -224,9 +229,12 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def good_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents that the rules keep, with their columns."""
-    row = "_quality_row"
-    docs = save(docs.withColumn(row, F.monotonically_increasing_id()), "quality-docs")
-    stats = save(statistics(docs, row).join(docs.select(row, "doc_id"), row), "statistics")
-    kept = judged(stats, train(stats, labels)).where("kept").select(row)
-    return docs.join(kept, row).drop(row)
+    """The documents that the rules keep, with their columns. The statistics
+    are counted again on the way rather than joined to the texts."""
+    trees = train(statistics(docs), labels)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for chunk in byte_chunks(batches, "text", 4 << 20):
+            yield chunk.filter(pa.array(verdict(count_statistics(as_bytes(chunk.column("text"))), trees, THRESHOLD)[2]))
+
+    return docs.mapInArrow(keep, docs.schema)

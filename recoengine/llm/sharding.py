@@ -42,11 +42,11 @@ def fisher_yates(n: int, rng: random.Random) -> np.ndarray:
 
 def _deal(starts: dict[int, int], shards: int, seed: int) -> Callable[[pa.Table], pa.Table]:
     def deal(rows: pa.Table) -> pa.Table:
-        bucket = rows.column("_bucket")[0].as_py()
-        rows = rows.sort_by([("_hash", "ascending"), ("_tie", "ascending")])
+        bucket = rows.column("__bucket")[0].as_py()
+        rows = rows.sort_by([("__hash", "ascending"), ("__tie", "ascending")])
         rows = rows.take(pa.array(fisher_yates(rows.num_rows, random.Random(f"{seed}:{bucket}"))))
         place = starts[bucket] + np.arange(rows.num_rows, dtype=np.int64)
-        rows = rows.drop_columns(["_bucket", "_hash", "_tie"])
+        rows = rows.drop_columns(["__bucket", "__hash", "__tie"])
         return (rows.append_column("shard", pa.array((place % shards).astype(np.int32)))
                 .append_column("slot", pa.array(place // shards)))
 
@@ -62,17 +62,17 @@ def shard(docs: DataFrame, path: str, shards: int = SHARDS, seed: int = SEED, bu
     # a count and a sum: the number of buckets follows the bytes
     size = docs.agg(F.sum(text_bytes(text_col) + 64)).first()[0] or 0
     n = max(1, math.ceil(size / bucket_bytes))
-    rows = docs.withColumn("_hash", hashed).withColumn("_tie", F.xxhash64(F.col(text_col)))
-    rows = rows.withColumn("_bucket", F.pmod(F.col("_hash"), F.lit(n)).cast("int"))
+    rows = docs.withColumn("__hash", hashed).withColumn("__tie", F.xxhash64(F.col(text_col)))
+    rows = rows.withColumn("__bucket", F.pmod(F.col("__hash"), F.lit(n)).cast("int"))
     # one row a bucket
-    counts = sorted((r["_bucket"], r["count"]) for r in rows.groupBy("_bucket").count().collect())
+    counts = sorted((r["__bucket"], r["count"]) for r in rows.groupBy("__bucket").count().collect())
     starts, at = {}, 0
     for bucket, count in counts:
         starts[bucket], at = at, at + count
     schema = T.StructType([f for f in docs.schema if f.name not in ("shard", "slot")])
     rows = rows.drop(*[c for c in ("shard", "slot") if c in docs.columns])
     out = T.StructType([*schema, T.StructField("shard", T.IntegerType()), T.StructField("slot", T.LongType())])
-    dealt = rows.groupBy("_bucket").applyInArrow(_deal(starts, shards, seed), out)
+    dealt = rows.groupBy("__bucket").applyInArrow(_deal(starts, shards, seed), out)
     dealt.write.partitionBy("shard").parquet(path)
 
 

@@ -82,7 +82,7 @@ def remove_repeated_words(docs: DataFrame, **params) -> DataFrame:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk in byte_chunks(batches, "text", 4 << 20):
             total, removed, kept = [], [], []
-            for text, spans in zip(as_bytes(chunk.column("text")), chunk.column("_spans").to_pylist()):
+            for text, spans in zip(as_bytes(chunk.column("text")), chunk.column("__spans").to_pylist()):
                 words = text.split()
                 runs = merged_runs(spans)
                 total.append(len(words))

@@ -199,7 +199,7 @@ def remove_repeated_bytes(docs: DataFrame, **params) -> DataFrame:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk in byte_chunks(batches, "text", 4 << 20):
             total, removed, spans_, kept = [], [], [], []
-            for text, spans in zip(as_bytes(chunk.column("text")), chunk.column("_spans").to_pylist()):
+            for text, spans in zip(as_bytes(chunk.column("text")), chunk.column("__spans").to_pylist()):
                 runs = merged_runs(spans)
                 total.append(len(text))
                 removed.append(sum(e - s for s, e in runs))
@@ -234,14 +234,14 @@ def without_repeats(docs: DataFrame, **params) -> DataFrame:
         for chunk in byte_chunks(batches, "text", 4 << 20):
             texts = chunk.column("text").to_pylist()
             new, stays = [], []
-            for text, spans in zip(texts, chunk.column("_spans").to_pylist()):
+            for text, spans in zip(texts, chunk.column("__spans").to_pylist()):
                 left = _without(text.encode(), merged_runs(spans)).decode(errors="ignore") if spans else text
                 new.append(left)
                 stays.append(bool(left) or not spans)
             out = {c: chunk.column(c) for c in columns} | {"text": pa.array(new, pa.string())}
             if "n_chars" in out:
                 kind = chunk.column("n_chars").type
-                out["n_chars"] = pc.if_else(pc.is_valid(chunk.column("_spans")), pc.utf8_length(out["text"]).cast(kind), out["n_chars"])
+                out["n_chars"] = pc.if_else(pc.is_valid(chunk.column("__spans")), pc.utf8_length(out["text"]).cast(kind), out["n_chars"])
             yield pa.RecordBatch.from_pydict(out).filter(pa.array(stays))
 
     spans = repeated_byte_spans(docs.select("doc_id", "text"), **params)

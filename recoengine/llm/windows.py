@@ -318,5 +318,5 @@ def repeated_spans(docs: DataFrame, window: int, gram: int, words: bool, hot: in
 def with_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:
     """The documents with their text's spans (null: none)."""
     key = F.unhex(F.sha2(F.coalesce("text", F.lit("")), 256))
-    return docs.withColumn("_text_key", key).join(
-        spans.withColumnRenamed("text_key", "_text_key").withColumnRenamed("spans", "_spans"), "_text_key", "left").drop("_text_key")
+    return docs.withColumn("__text_key", key).join(
+        spans.withColumnRenamed("text_key", "__text_key").withColumnRenamed("spans", "__spans"), "__text_key", "left").drop("__text_key")
