@@ -5,7 +5,7 @@
     python -m recoengine offline    STORE OUT [--rank 50 --iterations 5 --reg 0.01 --exclude-seen]
     python -m recoengine params     STORE [--holdout 0.0]
     python -m recoengine recent     STORE OUT
-    python -m recoengine stream     STORE SIM_DIR STREAM_PATH OUT CHECKPOINT [--once]
+    python -m recoengine stream     STORE SIM_DIR STREAM_PATH OUT CHECKPOINT [--once --mode drop --refresh-recent]
 
 The master and resources come from spark-submit / the environment; set
 ``spark.checkpoint.dir`` to a shared folder on a cluster.
@@ -44,6 +44,9 @@ def main(argv: list[str] | None = None) -> None:
     for a in ("store", "sim_dir", "stream_path", "out", "checkpoint"):
         p.add_argument(a)
     p.add_argument("--once", action="store_true", help="process what is there, then stop")
+    p.add_argument("--mode", default="failfast", choices=["failfast", "drop", "quarantine"],
+                   help="what happens to malformed messages")
+    p.add_argument("--refresh-recent", action="store_true", help="rebuild the recent-ratings table first")
     args = ap.parse_args(argv)
 
     spark = build_session(os.environ.get("RECOENGINE_MASTER"), app_name=f"recoengine-{args.cmd}")
@@ -61,7 +64,7 @@ def main(argv: list[str] | None = None) -> None:
     else:
         trigger = {"availableNow": True} if args.once else None
         jobs.streaming_job(spark, args.store, args.sim_dir, args.stream_path, args.out, args.checkpoint,
-                           trigger=trigger).awaitTermination()
+                           trigger=trigger, mode=args.mode, refresh_recent=args.refresh_recent).awaitTermination()
     spark.stop()
 
 

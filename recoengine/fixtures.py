@@ -22,9 +22,12 @@ FIXTURE_GENRE_LABELS = [
     "Thriller", "War", "Western", "Film-Noir",
 ]
 
-# Embedding slices (1-based, inclusive) used as item / user factors.
-ITEM_DIMS = (1, 8)
-USER_DIMS = (9, 16)
+# Halves of an embedding (1-based, inclusive) that stand for item and user
+# factors in products; similarity takes whole embeddings, whose cosines are
+# lower than those of trained factors, hence the lower threshold.
+ITEM_DIMS = (1, 32)
+USER_DIMS = (33, 64)
+SIMILAR_ABOVE = 0.25
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -117,6 +120,10 @@ def user_factors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _factor_slice(spark, sf_dir, USER_DIMS)
 
 
+def similarity_factors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "embeddings").select(F.col("vec_id").cast("int").alias("id"), F.col("embedding").alias("features"))
+
+
 def seen(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Items a user already rated, as seen by the stream: 'view' events."""
     return rating_events(spark, sf_dir).where(F.col("event_type") == "view").select("uid", "mid")

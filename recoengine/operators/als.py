@@ -37,7 +37,7 @@ def _training_frame(ratings: DataFrame) -> DataFrame:
 
 
 def train(ratings: DataFrame, rank: int = RANK, iterations: int = ITERATIONS, reg: float = REG,
-          seed: int = 42, num_blocks: int | None = None, checkpoint_interval: int = 10) -> ALSModel:
+          seed: int = 42, num_blocks: int | None = None, checkpoint_interval: int = 2) -> ALSModel:
     """Fit ALS on (uid, mid, score). Blocks default to the cluster's
     parallelism; intermediate state is kept MEMORY_AND_DISK and the lineage
     is checkpointed to the shared folder every ``checkpoint_interval``
@@ -70,18 +70,24 @@ def _maybe_broadcast(factors: DataFrame, rank: int, limit: int) -> DataFrame:
     return F.broadcast(factors) if factors.count() * rank * 4 <= limit else factors
 
 
+def predict_from_factors(users_f: DataFrame, items_f: DataFrame, pairs: DataFrame,
+                         broadcast_limit: int = FACTOR_BROADCAST_BYTES, rank: int = RANK) -> DataFrame:
+    """The rows of ``pairs`` (uid, mid, ...) with ``prediction``, the dot product
+    of the two factor rows; pairs whose user or item has no factors vanish
+    (cold-start drop = inner joins), duplicates are kept. A factor table is
+    broadcast after a size check, otherwise the joins shuffle."""
+    uf = _maybe_broadcast(users_f.select("id", "features").toDF("uid", "_uf"), rank, broadcast_limit)
+    itf = _maybe_broadcast(items_f.select("id", "features").toDF("mid", "_itf"), rank, broadcast_limit)
+    p = pairs.withColumns({"uid": F.col("uid").cast("int"), "mid": F.col("mid").cast("int")})
+    return p.join(uf, "uid").join(itf, "mid").withColumn("prediction", dot(F.col("_uf"), F.col("_itf"))) \
+        .select(*pairs.columns, "prediction")
+
+
 def predict_pairs(model: ALSModel, pairs: DataFrame,
                   broadcast_limit: int = FACTOR_BROADCAST_BYTES) -> DataFrame:
-    """(uid, mid, prediction) for each input pair (duplicates kept); pairs
-    whose user or item has no factor vanish (cold-start drop = inner
-    joins). Written as joins plus a dot-product column, so Catalyst prunes
-    the product when only the key set is used; a factor table is broadcast
-    after a size check, otherwise both joins shuffle."""
-    uf = _maybe_broadcast(user_factors(model).toDF("uid", "uf"), model.rank, broadcast_limit)
-    itf = _maybe_broadcast(item_factors(model).toDF("mid", "itf"), model.rank, broadcast_limit)
-    p = pairs.select(F.col("uid").cast("int").alias("uid"), F.col("mid").cast("int").alias("mid"))
-    return p.join(uf, "uid").join(itf, "mid") \
-        .select("uid", "mid", dot(F.col("uf"), F.col("itf")).alias("prediction"))
+    """(uid, mid, prediction) for each input pair, from a fitted model."""
+    return predict_from_factors(user_factors(model), item_factors(model), pairs.select("uid", "mid"),
+                                broadcast_limit, model.rank)
 
 
 def _score(model: ALSModel, rows: DataFrame) -> DataFrame:
@@ -146,23 +152,22 @@ def rmse(actual: DataFrame, predicted: DataFrame, dedup: bool = False) -> DataFr
     aggregated per pair before the join (count, sum, sum of squares), so
     the join is one-to-one and a heavily repeated pair never multiplies
     into k_a x k_p rows:
-        sum_ij (a_i - p_j)^2 = k_p * sum a^2 - 2 * sum a * sum p + k_a * sum p^2
+        sum_ij (a_i - p_j)^2 = k_a * k_p * ((mean a - mean p)^2 + var a + var p)
+    No term can be negative, so nothing cancels for a good model.
     """
+    score = F.col("score").cast("double")
     a = actual.groupBy(F.col("uid").cast("int").alias("uid"), F.col("mid").cast("int").alias("mid")).agg(
-        F.count(F.lit(1)).alias("ka"), F.sum(F.col("score").cast("double")).alias("sa"),
-        F.sum(F.col("score").cast("double") ** 2).alias("qa"))
+        F.count(score).alias("ka"), F.avg(score).alias("ma"), F.var_pop(score).alias("va"))
     p = predicted.groupBy("uid", "mid").agg(
-        F.count(F.lit(1)).alias("kp"), F.sum("prediction").alias("sp"),
-        F.sum(F.col("prediction") ** 2).alias("qp"))
+        F.count("prediction").alias("kp"), F.avg("prediction").alias("mp"), F.var_pop("prediction").alias("vp"))
     j = a.join(p, ["uid", "mid"])
-    ka, kp, sa, sp, qa, qp = (F.col(c) for c in ("ka", "kp", "sa", "sp", "qa", "qp"))
+    ka, kp = F.col("ka"), F.col("kp")
+    apart = (F.col("ma") - F.col("mp")) ** 2 + F.col("va")
     if dedup:
-        pbar = sp / kp
-        se, n = qa - 2 * pbar * sa + ka * pbar * pbar, ka
+        se, n = ka * apart, ka
     else:
-        se, n = kp * qa - 2 * sa * sp + ka * qp, ka * kp
-    return j.agg(F.sqrt(F.sum(F.greatest(se, F.lit(0.0))) / F.sum(n)).alias("rmse"),
-                 F.sum(n).cast("bigint").alias("n"))
+        se, n = ka * kp * (apart + F.col("vp")), ka * kp
+    return j.agg(F.sqrt(F.sum(se) / F.sum(n)).alias("rmse"), F.sum(n).cast("bigint").alias("n"))
 
 
 def model_rmse(model: ALSModel, ratings: DataFrame, dedup: bool = False) -> DataFrame:
@@ -171,7 +176,11 @@ def model_rmse(model: ALSModel, ratings: DataFrame, dedup: bool = False) -> Data
     pair rated k times (one prediction p per pair) contributes
     k * sum_i (score_i - p)^2 over k*k terms, exactly what the join gives."""
     rows = _training_frame(ratings).withColumn("score", F.col("score").cast("double"))
-    scored = _score(model, rows)
+    return rmse_of_scored(_score(model, rows), dedup)
+
+
+def rmse_of_scored(scored: DataFrame, dedup: bool = False) -> DataFrame:
+    """(rmse, n) of rating rows (uid, mid, score) that carry ``prediction``."""
     err2 = (F.col("score") - F.col("prediction")) ** 2
     per_pair = scored.groupBy("uid", "mid").agg(F.count(F.lit(1)).alias("k"), F.sum(err2).alias("se"))
     w = F.lit(1) if dedup else F.col("k")

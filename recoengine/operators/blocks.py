@@ -68,7 +68,7 @@ def _present(df: pd.DataFrame, col: str = "features") -> pd.DataFrame:
 def _matrix(col: pd.Series) -> np.ndarray:
     if len(col) == 0:
         return np.zeros((0, 0))
-    return np.vstack([np.asarray(v, dtype=np.float64) for v in col.values])
+    return np.concatenate(col.to_numpy()).reshape(len(col), -1).astype(np.float64)
 
 
 # ------------------------------------------------------------- top-n ---
@@ -163,6 +163,9 @@ def top_n_products(users: DataFrame, items: DataFrame, n: int, *, seen: DataFram
     right = (it.withColumn("_t", F.explode(F.sequence(F.lit(0), F.lit(su - 1))))
              .select((F.col("_t") * si + stripe_of("mid", si)).alias("tile"), "mid", "item_features"))
 
+    # one task a tile: tiles are few and heavy, so they are not left to share
+    # the default number of partitions
+    left, right = left.repartition(su * si, "tile"), right.repartition(su * si, "tile")
     kern = _top_n_kernel(n, positive_only)
     partial = left.groupBy("tile").cogroup(right.groupBy("tile")).applyInPandas(
         kern, "uid int, rank int, mid int, r double")

@@ -13,10 +13,10 @@ SEARCH_DOC_COLUMNS = schemas.MOVIE_FIELDS + ["tags"]
 
 def tags_by_movie(tags: DataFrame) -> DataFrame:
     """(mid, tags): distinct tags of a movie, sorted, joined by '|'.
-    ``collect_set`` aggregates partially, so a movie with a huge number of
-    tag rows only ships its distinct tags."""
-    return tags.groupBy("mid").agg(
-        F.concat_ws("|", F.array_sort(F.collect_set("tag"))).alias("tags"))
+    Duplicates go first, by (mid, tag) and so across tasks: a movie with a
+    huge number of tag rows only brings its distinct tags to one task."""
+    return tags.select("mid", "tag").dropDuplicates().groupBy("mid").agg(
+        F.concat_ws("|", F.array_sort(F.collect_list("tag"))).alias("tags"))
 
 
 def search_documents(movies: DataFrame, tags: DataFrame) -> DataFrame:

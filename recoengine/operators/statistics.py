@@ -23,11 +23,6 @@ GENRES = [
 # Fixed value: list length per genre.
 TOP_N_GENRE = 10
 
-# The genre list is a driver-side parameter; it is broadcast only while
-# its size is below this bound, otherwise the theta join shuffles.
-GENRE_BROADCAST_LIMIT = 100_000
-
-
 def rate_more(ratings: DataFrame, sort: bool = True) -> DataFrame:
     """(mid, count): ratings per movie, most rated first (ties: mid)."""
     out = ratings.groupBy("mid").agg(F.count(F.lit(1)).alias("count"))
@@ -48,21 +43,32 @@ def average_scores(ratings: DataFrame) -> DataFrame:
     return ratings.groupBy("mid").agg(F.avg("score").alias("avg"))
 
 
+def monthly_totals(ratings: DataFrame) -> DataFrame:
+    """(mid, yearmonth, count, total): what all rating statistics sum up."""
+    return ratings.groupBy("mid", year_month("timestamp").alias("yearmonth")).agg(
+        F.count(F.lit(1)).alias("count"), F.count("score").alias("scored"), F.sum("score").alias("total"))
+
+
+def rate_more_from_totals(monthly: DataFrame) -> DataFrame:
+    return monthly.groupBy("mid").agg(F.sum("count").alias("count"))
+
+
+def average_from_totals(monthly: DataFrame) -> DataFrame:
+    return monthly.groupBy("mid").agg((F.sum("total") / F.sum("scored")).alias("avg"))
+
+
 def genre_top_n_flat(movies: DataFrame, avg_scores: DataFrame, genres: Sequence[str] = GENRES,
                      n: int = TOP_N_GENRE) -> DataFrame:
     """(genres, rank, mid, avg): best-rated movies per genre.
 
     A movie belongs to a genre when its lower-cased genre string contains
-    the lower-cased genre name; unrated movies and null genres drop out.
+    the lower-cased genre name; unrated movies and null genres drop out. The
+    genre list is a literal that each movie row filters and explodes: no join.
     """
-    spark = movies.sparkSession
-    gdf = spark.createDataFrame([(g, g.lower()) for g in genres], "genre string, genre_lc string")
-    if len(genres) <= GENRE_BROADCAST_LIMIT:
-        gdf = F.broadcast(gdf)
-    scored = movies.select("mid", F.lower("genres").alias("genres_lc")) \
-        .join(avg_scores.select("mid", "avg"), "mid")
-    matched = scored.join(gdf, F.contains(F.col("genres_lc"), F.col("genre_lc"))) \
-        .select(F.col("genre").alias("genres"), "mid", "avg")
+    names = F.array(*[F.lit(g) for g in genres]) if genres else F.array().cast("array<string>")
+    mine = F.filter(names, lambda g: F.contains(F.lower("genres"), F.lower(g)))
+    matched = movies.select("mid", F.explode(mine).alias("genre")) \
+        .join(avg_scores.select("mid", "avg"), "mid").select(F.col("genre").alias("genres"), "mid", "avg")
     return top_n_per_group(matched, ["genres"], [F.desc("avg"), F.asc("mid")], n) \
         .select("genres", "rank", "mid", "avg")
 
@@ -75,39 +81,43 @@ def genre_top_n(movies: DataFrame, avg_scores: DataFrame, genres: Sequence[str]
 
 
 # ------------------------------------------------------------ SQL text ---
-# The statistics can also be driven as SQL text over temp views, with the
-# year-month conversion as the SQL function ``changeDate`` (a SQL-bodied
-# function, so the plan stays codegen'd). Ties are ordered by mid.
+# The statistics as SQL statements over the ratings frame. ``{ratings}`` is
+# bound to the DataFrame by ``spark.sql``, so no temp view of the user's is
+# touched; months come from the SQL function ``changeDate``.
+
+POPULAR_SQL = """
+SELECT mid, count(*) AS count
+FROM {ratings}
+GROUP BY ALL
+ORDER BY 2 DESC, 1"""
+
+MONTHLY_SQL = """
+SELECT mid, count(*) AS count, changeDate(timestamp) AS yearmonth
+FROM {ratings}
+GROUP BY ALL
+ORDER BY 3 DESC, 2 DESC, 1"""
+
+MEAN_SQL = """
+SELECT mid, sum(score) / count(score) AS avg
+FROM {ratings}
+GROUP BY ALL"""
 
-SQL_RATE_MORE = ("SELECT mid, count(1) AS count FROM ratings GROUP BY mid "
-                 "ORDER BY count DESC, mid")
-SQL_YEAR_MONTH = "SELECT mid, uid, score, changeDate(timestamp) AS yearmonth FROM ratings"
-SQL_RATE_MORE_RECENTLY = ("SELECT mid, count(1) AS count, yearmonth FROM ymRatings "
-                          "GROUP BY mid, yearmonth ORDER BY yearmonth DESC, count DESC, mid")
-SQL_AVERAGE = "SELECT mid, avg(score) AS avg FROM ratings GROUP BY mid"
+MONTH_SQL = "SELECT mid, uid, score, changeDate(timestamp) AS yearmonth FROM {ratings}"
 
 
-def register_views(ratings: DataFrame, movies: DataFrame | None = None) -> None:
-    """Temp views ``ratings`` / ``movies`` / ``ymRatings`` and ``changeDate``."""
+def run_sql(statement: str, ratings: DataFrame) -> DataFrame:
     from recoengine.functions.scalar import register_sql_functions
-    spark = ratings.sparkSession
-    register_sql_functions(spark)
-    ratings.createOrReplaceTempView("ratings")
-    if movies is not None:
-        movies.createOrReplaceTempView("movies")
-    spark.sql(SQL_YEAR_MONTH).createOrReplaceTempView("ymRatings")
+    register_sql_functions(ratings.sparkSession)
+    return ratings.sparkSession.sql(statement, ratings=ratings)
 
 
 def rate_more_sql(ratings: DataFrame) -> DataFrame:
-    register_views(ratings)
-    return ratings.sparkSession.sql(SQL_RATE_MORE)
+    return run_sql(POPULAR_SQL, ratings)
 
 
 def rate_more_recently_sql(ratings: DataFrame) -> DataFrame:
-    register_views(ratings)
-    return ratings.sparkSession.sql(SQL_RATE_MORE_RECENTLY)
+    return run_sql(MONTHLY_SQL, ratings)
 
 
 def average_scores_sql(ratings: DataFrame) -> DataFrame:
-    register_views(ratings)
-    return ratings.sparkSession.sql(SQL_AVERAGE)
+    return run_sql(MEAN_SQL, ratings)

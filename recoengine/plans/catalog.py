@@ -14,10 +14,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recoengine import fixtures, schemas
-from recoengine.functions.scalar import register_sql_functions
 from recoengine.operators import als, blocks, etl, similarity, statistics
+from recoengine.operators.topn import flatten, nest
 from recoengine.session import prepare, scratch_path
-from recoengine.sources.sinks import dedup_by_key
+from recoengine.sources.sinks import compact, dedup_by_key
 from recoengine.sources.tables import read_table, write_table
 from recoengine.sources.text import load_movies, load_ratings, load_tags, to_lines
 from recoengine.streaming import recommender as rec
@@ -37,11 +37,9 @@ def q_rate_more_recently(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_change_date_sql_udf(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The monthly projection written as SQL text through the SQL function
-    ``changeDate`` over a temp view, as the statistics job does."""
+    ``changeDate``."""
     prepare(spark)
-    register_sql_functions(spark)
-    fixtures.ratings(spark, sf_dir).createOrReplaceTempView("ratings")
-    return spark.sql("SELECT mid, uid, score, changeDate(timestamp) AS yearmonth FROM ratings")
+    return statistics.run_sql(statistics.MONTH_SQL, fixtures.ratings(spark, sf_dir))
 
 
 def q_rate_more_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -117,31 +115,59 @@ def q_write_read_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ----------------------------------------------------- factor products ---
 
 def _rounded(df: DataFrame, col: str = "r", digits: int = 4) -> DataFrame:
-    return df.withColumn(col, F.round(col, digits))
+    r = F.round(col, digits)
+    return df.withColumn(col, F.when(r == 0, F.lit(0.0)).otherwise(r))  # no negative zero
+
+
+def _similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similarity.item_similarity(fixtures.similarity_factors(spark, sf_dir), fixtures.SIMILAR_ABOVE)
 
 
 def q_item_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
-    return _rounded(similarity.item_similarity(fixtures.item_factors(spark, sf_dir)))
+    return _rounded(_similarity(spark, sf_dir))
 
 
 def q_item_similarity_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored per-item lists, read back and taken apart by position."""
     prepare(spark)
-    lists = similarity.item_similarity_lists(
-        similarity.item_similarity(fixtures.item_factors(spark, sf_dir)))
-    return lists.select("mid", F.size("recs").cast("bigint").alias("n"),
-                        F.round(F.col("recs")[0]["r"], 4).alias("max_r"))
+    path = scratch_path(spark, "item-lists")
+    write_table(similarity.item_similarity_lists(_similarity(spark, sf_dir)), path, sort_by="mid")
+    stored = read_table(spark, path, schemas.ITEM_RECS)
+    return _rounded(flatten(stored.withColumnRenamed("mid", "item"), ["item"]).select(
+        F.col("item").alias("mid"), F.col("rank").cast("int").alias("rank"), F.col("mid").alias("sim_mid"), "r"))
 
 
-def _factor_top10(spark: SparkSession, sf_dir: str, exclude_seen: bool) -> DataFrame:
+def q_item_similarity_exploded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored lists back to the long form that the stream reads."""
     prepare(spark)
-    ratings = fixtures.ratings(spark, sf_dir)
-    users = fixtures.user_factors(spark, sf_dir).join(
-        ratings.select(F.col("uid").alias("id")).distinct(), "id", "left_semi")
-    items = fixtures.item_factors(spark, sf_dir).join(
-        fixtures.movies(spark, sf_dir).select(F.col("mid").alias("id")), "id", "left_semi")
-    seen = ratings.select("uid", "mid") if exclude_seen else None
-    return _rounded(blocks.top_n_products(users, items, 10, seen=seen))
+    path = scratch_path(spark, "item-lists")
+    write_table(similarity.item_similarity_lists(_similarity(spark, sf_dir)), path, sort_by="mid")
+    return _rounded(similarity.explode_lists(read_table(spark, path, schemas.ITEM_RECS)))
+
+
+def _nested_roundtrip(spark: SparkSession, flat: DataFrame, key: str, value: str, name: str) -> DataFrame:
+    path = scratch_path(spark, name)
+    write_table(nest(flat, [key], "rank", "mid", value), path)
+    return flatten(spark.read.parquet(path), [key]).select(key, F.col("rank").cast("int").alias("rank"), "mid", "r")
+
+
+def q_stored_user_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return _rounded(_nested_roundtrip(spark, _factor_top10(spark, sf_dir, False, rounded=False), "uid", "r", "user-lists"))
+
+
+def q_stored_genre_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return _rounded(_nested_roundtrip(spark, q_genre_top10(spark, sf_dir), "genres", "avg", "genre-lists"))
+
+
+def _factor_top10(spark: SparkSession, sf_dir: str, exclude_seen: bool, rounded: bool = True) -> DataFrame:
+    prepare(spark)
+    flat = als.recommend_from_factors(
+        fixtures.user_factors(spark, sf_dir), fixtures.item_factors(spark, sf_dir), fixtures.ratings(spark, sf_dir),
+        fixtures.movies(spark, sf_dir), 10, exclude_seen)
+    return _rounded(flat) if rounded else flat
 
 
 def q_factor_top10(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -187,7 +213,69 @@ def q_als_item_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_als_predict_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     ratings = fixtures.ratings(spark, sf_dir)
-    return als.predict_pairs(_als_model(spark, sf_dir), ratings).select("uid", "mid")
+    return als.predict_pairs(_als_model(spark, sf_dir), ratings)
+
+
+def _factor_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return als.predict_from_factors(fixtures.user_factors(spark, sf_dir), fixtures.item_factors(spark, sf_dir),
+                                    fixtures.ratings(spark, sf_dir).select("uid", "mid", "score"))
+
+
+def q_predict_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return _rounded(_factor_predictions(spark, sf_dir), "prediction")
+
+
+def q_training_rmse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return als.rmse_of_scored(_factor_predictions(spark, sf_dir)).select(F.round("rmse", 6).alias("rmse"), "n")
+
+
+def q_als_invariants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What holds for the lists of any fitted model: (name, n) with n the number
+    of rows against it."""
+    prepare(spark)
+    ratings, movies = fixtures.ratings(spark, sf_dir), fixtures.movies(spark, sf_dir)
+    uf, itf = _als_factors(spark, sf_dir)
+    saved = {}
+    for name, frame in {"all": als.recommend_from_factors(uf, itf, ratings, movies),
+                        "unseen": als.recommend_from_factors(uf, itf, ratings, movies, exclude_seen=True, trained_on_ratings=True),
+                        "similar": similarity.item_similarity(itf)}.items():
+        path = scratch_path(spark, f"als-{name}")
+        write_table(frame, path)
+        saved[name] = spark.read.parquet(path)
+    lists, unseen, similar = saved["all"], saved["unseen"], saved["similar"]
+    rated = ratings.select("uid", "mid").distinct()
+    checks = {
+        "user without ratings": lists.join(rated.select("uid").distinct(), "uid", "left_anti"),
+        "item outside the movies": lists.join(movies.select("mid"), "mid", "left_anti"),
+        "score not positive": lists.where("r <= 0"),
+        "rank out of 1 to 10": lists.where("rank < 1 or rank > 10"),
+        "scores not falling": lists.alias("a").join(lists.alias("b"), F.expr("a.uid = b.uid and a.rank + 1 = b.rank")).where("a.r < b.r"),
+        "rank missing": lists.groupBy("uid").agg(F.max("rank").alias("m"), F.count(F.lit(1)).alias("n")).where("m != n"),
+        "rated item among the unseen": unseen.join(rated, ["uid", "mid"], "left_semi"),
+        "similar to itself": similar.where("mid = sim_mid"),
+        "similar one way only": similar.select("mid", "sim_mid").exceptAll(similar.select(F.col("sim_mid").alias("mid"), F.col("mid").alias("sim_mid"))),
+        "cosine out of range": similar.where(f"r <= {similarity.SIM_THRESHOLD} or r > 1.0001"),
+    }
+    out = None
+    for name, frame in checks.items():
+        one = frame.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("name"), "n")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def q_grid_invariants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One best cell of a full grid, and it has the least RMSE."""
+    prepare(spark)
+    path = scratch_path(spark, "grid")
+    als.grid_search(fixtures.ratings(spark, sf_dir), iterations=2).write.parquet(path)
+    grid = spark.read.parquet(path)
+    best = als.best_params(grid).select("grid_pos", F.col("rmse").alias("best"))
+    return grid.join(F.broadcast(best.withColumnRenamed("grid_pos", "best_pos"))).agg(
+        F.count(F.lit(1)).alias("cells"), F.countDistinct("rank", "reg").alias("settings"),
+        F.count_if(F.col("grid_pos") == F.col("best_pos")).alias("best_cells"),
+        F.count_if(F.col("rmse") < F.col("best")).alias("better"))
 
 
 def q_rmse_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -203,7 +291,7 @@ def q_rmse_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_als_grid_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
-    grid = als.grid_search(fixtures.ratings(spark, sf_dir)).cache()
+    grid = als.grid_search(fixtures.ratings(spark, sf_dir))
     best = als.best_params(grid).select("grid_pos", F.lit(True).alias("is_best"))
     return grid.join(F.broadcast(best), "grid_pos", "left") \
         .withColumn("is_best", F.coalesce("is_best", F.lit(False)))
@@ -212,20 +300,19 @@ def q_als_grid_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ------------------------------------------------------------ streaming ---
 
 def _stream_tables(spark: SparkSession, sf_dir: str, store: bool = False):
-    """Static side of the stream: item similarity over all item factors,
-    written as a table and read back (the offline job's output), rated
-    items ('view' events) and recent ratings ('click' events). With
-    ``store`` the per-user tables are written too, so a stream of several
-    micro-batches never recomputes them (the jobs also partition them by
-    uid bucket for very large inputs: ``recent_job``, ``load_job``)."""
+    """Static side of the stream: item similarity, written as a table and read
+    back (the offline job's output), rated items ('view' events) and recent
+    ratings ('click' events). With ``store`` the per-user tables are written by
+    uid bucket, as the jobs do, so a stream of several micro-batches reads the
+    buckets of its users."""
     sim_path = scratch_path(spark, "item-sim")
-    write_table(similarity.item_similarity(fixtures.item_factors(spark, sf_dir)), sim_path, sort_by="mid")
+    write_table(rec.ranked_similarity(_similarity(spark, sf_dir)), sim_path, sort_by="mid")
     rated = fixtures.seen(spark, sf_dir)
     recent = rec.recent_ratings(fixtures.recent_log(spark, sf_dir))
     if store:
         rated_path, recent_path = scratch_path(spark, "rated"), scratch_path(spark, "recent")
-        write_table(rated, rated_path, sort_by=["uid", "mid"])
-        write_table(recent, recent_path, sort_by=["uid", "pos"])
+        write_table(rated, rated_path, sort_by=["uid", "mid"], bucket_by=("uid", 8))
+        write_table(recent, recent_path, sort_by=["uid", "pos"], bucket_by=("uid", 8))
         rated, recent = spark.read.parquet(rated_path), read_table(spark, recent_path, schemas.RECENT)
     return spark.read.parquet(sim_path), rated, recent
 
@@ -246,13 +333,12 @@ def q_recent_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_parse_recent_list(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per-user newest-first 'mid:score' lists (as the list store holds
-    them), parsed back by the list reader."""
+    """Per-user newest-first 'mid:score' lists of the whole log (as the list
+    store holds them), cut and parsed by the list reader."""
     prepare(spark)
-    head = rec.recent_ratings(fixtures.recent_log(spark, sf_dir))
     item = F.concat(F.col("mid").cast("string"), F.lit(":"), F.col("score").cast("string"))
-    lists = head.groupBy("uid").agg(F.sort_array(F.collect_list(F.struct("pos", item.alias("it"))))
-                                    .alias("_l")).select("uid", F.col("_l.it").alias("items"))
+    newest = F.sort_array(F.collect_list(F.struct("ts", "event_id", item.alias("it"))), asc=False)
+    lists = fixtures.recent_log(spark, sf_dir).groupBy("uid").agg(newest.alias("_l")).select("uid", F.col("_l.it").alias("items"))
     return rec.parse_recent_list(lists)
 
 
@@ -268,7 +354,7 @@ def q_stream_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     item_sim, rated, recent = _stream_tables(spark, sf_dir)
     latest = rec.latest_per_user(_stream_events(spark, sf_dir))
     cands = rec.candidates(latest, item_sim, rated)
-    return _rounded(rec.score_candidates(cands, recent, item_sim))
+    return _rounded(rec.score_candidates(cands, recent, item_sim, fixtures.SIMILAR_ABOVE))
 
 
 def q_stream_recommend(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -284,17 +370,18 @@ def q_stream_recommend(spark: SparkSession, sf_dir: str) -> DataFrame:
     to_lines(_stream_events(spark, sf_dir), ["uid", "mid", "score", "timestamp"], "|") \
         .repartition(n_files).write.mode("overwrite").text(inbox)
     # two or more micro-batches; a user's events may fall into any of them
-    stream = rec.decode_ratings(rec.rating_stream(spark, inbox, maxFilesPerTrigger=(n_files + 1) // 2))
-    q = rec.start(stream, item_sim, rated, recent, out, ckpt, trigger={"availableNow": True})
-    try:
-        q.awaitTermination()
-    finally:
-        item_sim.unpersist()
+    stream = rec.rating_stream(spark, inbox, maxFilesPerTrigger=(n_files + 1) // 2)
+    q = rec.start(stream, item_sim.drop("rank"), rated, recent, out, ckpt, trigger={"availableNow": True},
+                  decode="failfast", threshold=fixtures.SIMILAR_ABOVE)
+    q.awaitTermination()
+    compact(spark, out, version_cols=rec.RESULT_VERSION)
     res = rec.read_results(spark, out)
     if res is None:  # no micro-batch ran: nothing was written
-        return spark.createDataFrame([], "uid int, recs string")
-    shown = F.transform("recs", lambda x: F.format_string("%d:%.4f", x["mid"], F.round(x["r"], 4)))
-    return res.select("uid", F.concat_ws("|", shown).alias("recs"))
+        return spark.createDataFrame([], "uid int, recs_str string")
+    # the stored string, its scores rounded
+    parts = F.transform(F.filter(F.split("recs_str", r"\|"), lambda x: x != ""), lambda x: F.split(x, ":"))
+    shown = F.transform(parts, lambda p: F.format_string("%s:%.4f", p[0], F.round(p[1].cast("double"), 4)))
+    return res.select("uid", F.concat_ws("|", shown).alias("recs_str"))
 
 
 def queries() -> dict[str, Query]:
@@ -315,12 +402,19 @@ def queries() -> dict[str, Query]:
         "write_read_table": q_write_read_table,
         "item_similarity": q_item_similarity,
         "item_similarity_lists": q_item_similarity_lists,
+        "item_similarity_exploded": q_item_similarity_exploded,
+        "stored_user_lists": q_stored_user_lists,
+        "stored_genre_lists": q_stored_genre_lists,
         "factor_top10": q_factor_top10,
         "factor_top10_unseen": q_factor_top10_unseen,
         "als_recommend": q_als_recommend,
         "als_recommend_unseen": q_als_recommend_unseen,
         "als_item_similarity": q_als_item_similarity,
         "als_predict_pairs": q_als_predict_pairs,
+        "predict_pairs": q_predict_pairs,
+        "training_rmse": q_training_rmse,
+        "als_invariants": q_als_invariants,
+        "grid_invariants": q_grid_invariants,
         "rmse_join": q_rmse_join,
         "als_grid_search": q_als_grid_search,
         "decode_ratings": q_decode_ratings,

@@ -36,6 +36,8 @@ ITEM_RECS = "AcquaintanceMovieRecommends"
 STREAM_RECS = "StreamingMovieRecommends"
 RECENT = "RecentRatings"
 FACTORS = "Factors"
+# Suffix of the tables of lines and messages that could not be read.
+BAD = "_bad"
 
 
 def _p(base: str, name: str) -> str:
@@ -44,24 +46,30 @@ def _p(base: str, name: str) -> str:
 
 def load_job(spark: SparkSession, movies_path: str, ratings_path: str, tags_path: str,
              out_dir: str, mode: str = "failfast") -> dict[str, str]:
+    """Read the three text files into tables. ``mode``: what happens to
+    malformed lines (``failfast``, ``drop``, or ``quarantine``: stored as
+    ``<table>_bad``)."""
     prepare(spark)
-    movies = text.load_movies(spark, movies_path, mode=mode)
-    ratings = text.load_ratings(spark, ratings_path, mode=mode)
-    tags = text.load_tags(spark, tags_path, mode=mode)
+    out = {n: _p(out_dir, n) for n in (MOVIE, RATING, TAG, SEARCH_DOCS)}
+    parts = {MOVIE: text.load_movies(spark, movies_path, mode=mode), RATING: text.load_ratings(spark, ratings_path, mode=mode),
+             TAG: text.load_tags(spark, tags_path, mode=mode)}
     if mode == "quarantine":
-        movies, ratings, tags = movies[0], ratings[0], tags[0]
-    movies = movies.persist(StorageLevel.MEMORY_AND_DISK)
-    tags = tags.persist(StorageLevel.MEMORY_AND_DISK)
+        for name, (_, bad) in parts.items():
+            out[name + BAD] = _p(out_dir, name + BAD)
+            tables.write_table(bad, out[name + BAD])
+        parts = {name: good for name, (good, _) in parts.items()}
+    movies = parts[MOVIE].persist(StorageLevel.MEMORY_AND_DISK)
+    tags = parts[TAG].persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        tables.write_table(movies, _p(out_dir, MOVIE), sort_by="mid")
-        tables.write_table(ratings, _p(out_dir, RATING), sort_by=["uid", "mid"],
+        tables.write_table(movies, out[MOVIE], sort_by="mid")
+        tables.write_table(parts[RATING], out[RATING], sort_by=["uid", "mid"],
                            bucket_by=("uid", tables.uid_buckets(spark)))
-        tables.write_table(tags, _p(out_dir, TAG), sort_by=["uid", "mid"])
-        sinks.write_search_docs(etl.search_documents(movies, tags), _p(out_dir, SEARCH_DOCS), key="mid")
+        tables.write_table(tags, out[TAG], sort_by=["uid", "mid"])
+        sinks.write_search_docs(etl.search_documents(movies, tags), out[SEARCH_DOCS], key="mid")
     finally:
         movies.unpersist()
         tags.unpersist()
-    return {n: _p(out_dir, n) for n in (MOVIE, RATING, TAG, SEARCH_DOCS)}
+    return out
 
 
 def read_inputs(spark: SparkSession, in_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -73,14 +81,16 @@ def statistics_job(spark: SparkSession, in_dir: str, out_dir: str,
                    genres=statistics.GENRES, n: int = statistics.TOP_N_GENRE) -> dict[str, str]:
     prepare(spark)
     ratings, movies = read_inputs(spark, in_dir)
-    tables.write_table(statistics.rate_more(ratings), _p(out_dir, RATE_MORE))
-    tables.write_table(statistics.rate_more_recently(ratings), _p(out_dir, MONTH_RATE_MORE))
-    avg = statistics.average_scores(ratings).persist(StorageLevel.MEMORY_AND_DISK)
+    # one pass over the ratings: counts and sums by movie and month give all
+    monthly = statistics.monthly_totals(ratings).persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        avg = statistics.average_from_totals(monthly)
+        tables.write_table(statistics.rate_more_from_totals(monthly), _p(out_dir, RATE_MORE))
+        tables.write_table(monthly.select("mid", "count", "yearmonth"), _p(out_dir, MONTH_RATE_MORE))
         tables.write_table(statistics.genre_top_n(movies, avg, genres, n), _p(out_dir, GENRES_TOP))
         tables.write_table(avg, _p(out_dir, AVERAGE_SCORE), sort_by="mid")
     finally:
-        avg.unpersist()
+        monthly.unpersist()
     return {x: _p(out_dir, x) for x in (RATE_MORE, MONTH_RATE_MORE, GENRES_TOP, AVERAGE_SCORE)}
 
 
@@ -110,7 +120,7 @@ def parameter_job(spark: SparkSession, in_dir: str, ranks=als.GRID_RANKS, regs=a
 
 
 def recent_job(spark: SparkSession, in_dir: str, out_dir: str,
-               n: int = rec.MAX_USER_RATINGS_NUM) -> str:
+               n: int = rec.RECENT_RATINGS) -> str:
     """Materialise the per-user recent lists (newest n + 1 ratings by
     timestamp, then mid) as a uid-bucketed table the stream reads."""
     prepare(spark)
@@ -123,19 +133,24 @@ def recent_job(spark: SparkSession, in_dir: str, out_dir: str,
 
 def streaming_job(spark: SparkSession, in_dir: str, sim_dir: str, stream_path: str, out_dir: str,
                   checkpoint: str, recent_dir: str | None = None, trigger: dict | None = None,
-                  stream_format: str = "text", **stream_options):
+                  stream_format: str = "text", mode: str = "failfast", refresh_recent: bool = False,
+                  **stream_options):
     """Start the real-time recommender over the stored Rating table, the
     similarity lists and the recent-ratings table (built by ``recent_job``
-    into ``recent_dir``, default ``in_dir``, when absent). Per batch only
-    the batch users' buckets of Rating and RecentRatings are read."""
+    into ``recent_dir``, default ``in_dir``, when it is absent, incomplete or
+    ``refresh_recent`` is set). Per batch only the batch users' buckets of
+    Rating and RecentRatings are read. ``mode``: a malformed message fails its
+    batch (``failfast``), is dropped (``drop``) or stored (``quarantine``)."""
     prepare(spark)
     ratings, _ = read_inputs(spark, in_dir)
     item_sim = similarity.explode_lists(
         tables.read_table(spark, _p(sim_dir, ITEM_RECS), schemas.ITEM_RECS))
     rdir = recent_dir or in_dir
-    if not sinks.path_exists(spark, _p(rdir, RECENT)):
+    if refresh_recent or not sinks.committed(spark, _p(rdir, RECENT)):
         recent_job(spark, in_dir, rdir)
     recent = tables.read_table(spark, _p(rdir, RECENT), schemas.RECENT)
-    rated = ratings.select(*[c for c in ratings.columns if c in ("uid", "mid", "uid_bucket")])
-    stream = rec.decode_ratings(rec.rating_stream(spark, stream_path, stream_format, **stream_options))
-    return rec.start(stream, item_sim, rated, recent, _p(out_dir, STREAM_RECS), checkpoint, trigger)
+    bucket = tables.stored_buckets(ratings.columns, "uid")
+    rated = ratings.select("uid", "mid", *([bucket[0]] if bucket else []))
+    messages = rec.rating_stream(spark, stream_path, stream_format, **stream_options)
+    return rec.start(messages, item_sim, rated, recent, _p(out_dir, STREAM_RECS), checkpoint, trigger,
+                     decode=mode, bad_path=_p(out_dir, STREAM_RECS + BAD))

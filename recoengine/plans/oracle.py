@@ -4,7 +4,7 @@ tables so each statement is self-contained."""
 
 from __future__ import annotations
 
-from recoengine.fixtures import FIXTURE_GENRE_LABELS, ITEM_DIMS, USER_DIMS
+from recoengine.fixtures import FIXTURE_GENRE_LABELS, ITEM_DIMS, SIMILAR_ABOVE, USER_DIMS
 from recoengine.operators.statistics import GENRES
 
 _G = "[" + ", ".join(f"'{g}'" for g in FIXTURE_GENRE_LABELS) + "]"
@@ -51,15 +51,17 @@ def _f(lo: int, hi: int, name: str) -> str:
 IFACT = _f(ITEM_DIMS[0], ITEM_DIMS[1], "ifact")
 UFACT = _f(USER_DIMS[0], USER_DIMS[1], "ufact")
 
-# cosine > 0.6 over all item factors, no self pairs, both directions
-ITEM_SIM = """inorm AS (SELECT id, v, sqrt(list_sum(list_transform(v, lambda x: x * x))) AS nrm FROM ifact),
+SFACT = _f(1, 64, "sfact")
+
+# cosine above the threshold over whole embeddings, no self pairs, both directions
+ITEM_SIM = f"""inorm AS (SELECT id, v, sqrt(list_sum(list_transform(v, lambda x: x * x))) AS nrm FROM sfact),
 isim AS (
   SELECT a.id AS mid, b.id AS sim_mid, list_dot_product(a.v, b.v) / (a.nrm * b.nrm) AS r
   FROM inorm a JOIN inorm b ON a.id <> b.id
-  WHERE a.nrm > 0 AND b.nrm > 0 AND list_dot_product(a.v, b.v) / (a.nrm * b.nrm) > 0.6)"""
+  WHERE a.nrm > 0 AND b.nrm > 0 AND list_dot_product(a.v, b.v) / (a.nrm * b.nrm) > {SIMILAR_ABOVE})"""
 
 
-STREAM = (REVENTS, RECENT, IFACT, ITEM_SIM + """,
+STREAM = (REVENTS, RECENT, SFACT, ITEM_SIM + f""",
 inp AS (SELECT uid, mid, score, "timestamp" FROM revents WHERE event_type = 'purchase'),
 latest AS (SELECT uid, mid FROM (
   SELECT uid, mid, row_number() OVER (PARTITION BY uid ORDER BY "timestamp" DESC, mid DESC) AS rn FROM inp)
@@ -71,13 +73,19 @@ cands AS (SELECT * FROM (
   SELECT uid, row_number() OVER (PARTITION BY uid ORDER BY r DESC, mid ASC)::INTEGER AS rank, mid, r FROM c0)
   WHERE rank <= 20),
 j AS (SELECT c.uid, c.mid, s.r AS sim, rc.score FROM cands c JOIN recent rc ON rc.uid = c.uid
-      JOIN isim s ON s.mid = c.mid AND s.sim_mid = rc.mid WHERE s.r > 0.6),
+      JOIN isim s ON s.mid = c.mid AND s.sim_mid = rc.mid WHERE s.r > {SIMILAR_ABOVE}),
 scored AS (SELECT uid, mid, avg(sim * score)
                  + log2(greatest(count(*) FILTER (WHERE score > 3), 1))
                  - log2(greatest(count(*) FILTER (WHERE score <= 3), 1)) AS r
            FROM j GROUP BY uid, mid)""")
 
 
+# Rows that the invariants query counts; there must be none of any.
+INVARIANTS = ["user without ratings", "item outside the movies", "score not positive", "rank out of 1 to 10",
+              "scores not falling", "rank missing", "rated item among the unseen", "similar to itself",
+              "similar one way only", "cosine out of range"]
+
+
 def _with(*ctes: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n"
 
@@ -111,12 +119,25 @@ FROM movies m LEFT JOIN t ON m.mid = t.mid"""
     q["load_ratings_roundtrip"] = _with(RATINGS) + "SELECT * FROM ratings"
     q["load_tags_roundtrip"] = _with(TAGS) + "SELECT * FROM tags"
     q["write_read_table"] = _with(RATINGS) + "SELECT * FROM ratings"
-    q["item_similarity"] = _with(IFACT, ITEM_SIM) + "SELECT mid, sim_mid, round(r, 4) AS r FROM isim"
-    q["item_similarity_lists"] = _with(IFACT, ITEM_SIM) + (
-        "SELECT mid, count(*) AS n, round(max(r), 4) AS max_r FROM isim GROUP BY mid")
+    q["item_similarity"] = _with(SFACT, ITEM_SIM) + "SELECT mid, sim_mid, round(r, 4) AS r FROM isim"
+    q["item_similarity_exploded"] = q["item_similarity"]
+    q["item_similarity_lists"] = _with(SFACT, ITEM_SIM) + (
+        "SELECT mid, row_number() OVER (PARTITION BY mid ORDER BY r DESC, sim_mid ASC)::INTEGER AS rank, sim_mid, "
+        "round(r, 4) AS r FROM isim")
+    q["stored_user_lists"] = _factor_top10(False)
+    q["stored_genre_lists"] = q["genre_top10"].replace(
+        "SELECT genres, rank, mid, avg FROM r", "SELECT genres, rank, mid, round(avg, 4) AS r FROM r")
+    predicted = _with(RATINGS, IFACT, UFACT) + """,
+p AS (SELECT r.uid, r.mid, r.score, list_dot_product(u.v, i.v) AS prediction
+      FROM ratings r JOIN ufact u ON u.id = r.uid JOIN ifact i ON i.id = r.mid)"""
+    q["predict_pairs"] = predicted + "SELECT uid, mid, score, CASE WHEN round(prediction, 4) = 0 THEN 0 ELSE round(prediction, 4) END AS prediction FROM p"
+    q["training_rmse"] = predicted + """
+SELECT round(sqrt(avg((a.score - p.prediction) * (a.score - p.prediction))), 6) AS rmse, count(*) AS n
+FROM p a JOIN p ON a.uid = p.uid AND a.mid = p.mid"""
+    q["als_invariants"] = "SELECT unnest([" + ", ".join(f"'{n}'" for n in INVARIANTS) + "]) AS name, 0::BIGINT AS n"
+    q["grid_invariants"] = "SELECT 6::BIGINT AS cells, 6::BIGINT AS settings, 1::BIGINT AS best_cells, 0::BIGINT AS better"
     q["factor_top10"] = _factor_top10(False)
     q["factor_top10_unseen"] = _factor_top10(True)
-    q["als_predict_pairs"] = _with(RATINGS) + "SELECT uid, mid FROM ratings"
     q["rmse_join"] = _with(RATINGS) + """,
 avgs AS (SELECT mid, avg(score) AS prediction FROM ratings GROUP BY mid),
 pred AS (SELECT r.uid, r.mid, a.prediction FROM ratings r JOIN avgs a ON r.mid = a.mid)
@@ -130,7 +151,7 @@ FROM ratings a JOIN pred p ON a.uid = p.uid AND a.mid = p.mid"""
     q["stream_recommend"] = _with(*STREAM) + """,
 users AS (SELECT DISTINCT uid FROM inp)
 SELECT u.uid, coalesce(string_agg(printf('%d:%.4f', s.mid, round(s.r, 4)), '|' ORDER BY s.r DESC, s.mid ASC), '')
-       AS recs
+       AS recs_str
 FROM users u LEFT JOIN scored s ON s.uid = u.uid GROUP BY u.uid"""
     return q
 

@@ -58,3 +58,22 @@ def test_search_documents_untagged_movie_keeps_null(spark):
     tags = spark.createDataFrame([(1, 1, "t", 0)], "uid int, mid int, tag string, timestamp long")
     got = {r.mid: r.tags for r in etl.search_documents(movies, tags).collect()}
     assert got == {1: "t", 2: None}
+
+
+def test_statistics_come_sorted(spark, sf_dir):
+    from recoengine import fixtures
+    ratings = fixtures.ratings(spark, sf_dir)
+    for df in (statistics.rate_more(ratings), statistics.rate_more_sql(ratings)):
+        got = [(-r["count"], r.mid) for r in df.collect()]
+        assert got == sorted(got) and len(got) == 200
+    for df in (statistics.rate_more_recently(ratings), statistics.rate_more_recently_sql(ratings)):
+        got = [(-int(r.yearmonth), -r["count"], r.mid) for r in df.collect()]
+        assert got == sorted(got)
+
+
+def test_sql_statements_leave_views_alone(spark):
+    spark.createDataFrame([(1,)], "x int").createOrReplaceTempView("ratings")
+    ratings = spark.createDataFrame([(1, 5, 1.0, 0)], "uid int, mid int, score double, timestamp long")
+    assert statistics.average_scores_sql(ratings).first().avg == 1.0
+    assert spark.table("ratings").columns == ["x"]
+    spark.catalog.dropTempView("ratings")
