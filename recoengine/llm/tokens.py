@@ -16,7 +16,7 @@ import numpy as np
 
 END_ID = 0
 #: Units kept in a worker between batches (about 0.2 kB each).
-KEPT_UNITS = 700_000
+KEPT_UNITS = 900_000
 _encoders: dict[str, Encoder] = {}
 
 #: Units of these characters only are split into the vocabulary's pieces here
@@ -91,18 +91,18 @@ class Encoder:
         kept, end = self.kept, END_ID.to_bytes(4, "little")
         # a unit is a space and what follows it up to the next; runs of spaces
         # are pieces of their own, so such a text is encoded as it is
-        texts = [t or "" for t in texts]
-        single = ["  " not in t for t in texts]
-        heads = [t.split(" ", 1)[0] if s else t for t, s in zip(texts, single)]
-        tails = [t.split(" ")[1:] if s else [] for t, s in zip(texts, single)]
+        split = [[t] if "  " in t else t.split(" ") for t in (t or "" for t in texts)]
+        first = self._encode_whole([words[0] for words in split])
+        found: list[list] = []
         fresh: set[str] = set()
-        for words in tails:
-            fresh.update(words)
-        new = list(fresh.difference(kept))
+        for words in split:
+            ids = list(map(kept.get, words))
+            fresh.update([w for w, x in zip(words, ids) if x is None])
+            found.append(ids)
+        new = list(fresh)
         self._learn(new)
-        first = self._encode_whole(heads)
-        out = [h + b"".join([kept[w] for w in words]) + end for h, words in zip(first, tails)]
-        if len(kept) > KEPT_UNITS:
-            for w in new[len(new) - (len(kept) - KEPT_UNITS):] if len(new) >= len(kept) - KEPT_UNITS else new:
-                del kept[w]
+        out = [h + b"".join([kept[w] if x is None else x for w, x in zip(words[1:], ids[1:])]) + end
+               for h, words, ids in zip(first, split, found)]
+        for w in new[:max(0, len(kept) - KEPT_UNITS)]:
+            del kept[w]
         return out
