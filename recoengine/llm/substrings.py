@@ -24,13 +24,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from recoengine.llm.common import as_bytes, byte_chunks, table
-from recoengine.llm.windows import merged_runs, repeated_spans, with_spans
+from recoengine.llm.windows import merged_runs, packed_with_spans, repeated_spans, unpacked
 
 WINDOW = 35
 GRAM = 8
 #: Anchors of a minimiser over which it is split by window.
-HOT = 16384
-BUCKET_ROWS = 16384
+HOT = 8192
+BUCKET_ROWS = 8192
 
 
 def window_ranks(ids: np.ndarray, window: int) -> np.ndarray:
@@ -80,9 +80,9 @@ def remove_repeated_words(docs: DataFrame, **params) -> DataFrame:
     """One row a document: (doc_id, n_words, n_removed, kept, kept_sha256), kept
     being the remaining words joined by one space."""
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for chunk in byte_chunks(batches, "text", 4 << 20):
+        for chunk in byte_chunks(batches, "packed", 1 << 20):
             total, removed, kept = [], [], []
-            for text, spans in zip(as_bytes(chunk.column("text")), chunk.column("__spans").to_pylist()):
+            for text, spans in zip(unpacked(chunk.column("packed")), chunk.column("spans").to_pylist()):
                 words = text.split()
                 runs = merged_runs(spans)
                 total.append(len(words))
@@ -97,9 +97,10 @@ def remove_repeated_words(docs: DataFrame, **params) -> DataFrame:
 
     docs = docs.select("doc_id", "text")
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return with_spans(docs, repeated_word_spans(docs, **params)).mapInArrow(
+    return packed_with_spans(docs, repeated_word_spans(docs, **params)).mapInArrow(
         cut, f"doc_id {kind}, n_words long, n_removed long, kept string, kept_sha256 string")
 
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeated_words(table(spark, sf_dir, "documents")).drop("kept")
+

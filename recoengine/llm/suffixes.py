@@ -28,13 +28,13 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 from recoengine.llm.common import as_bytes, byte_chunks, table
-from recoengine.llm.windows import PrefixHash, byte_codes, merged_runs, repeated_spans, with_spans
+from recoengine.llm.windows import PrefixHash, byte_codes, merged_runs, packed_with_spans, repeated_spans, unpacked, with_spans
 
 WINDOW = 400
 GRAM = 32
 #: Anchors of a gram over which it is split by window.
-HOT = 16384
-BUCKET_ROWS = 8192
+HOT = 8192
+BUCKET_ROWS = 3000
 
 
 class Suffixes:
@@ -197,9 +197,9 @@ def remove_repeated_bytes(docs: DataFrame, **params) -> DataFrame:
     """One row a document: (doc_id, n_bytes, n_removed, n_spans, kept,
     kept_sha256), kept being the remaining bytes."""
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for chunk in byte_chunks(batches, "text", 4 << 20):
+        for chunk in byte_chunks(batches, "packed", 1 << 20):
             total, removed, spans_, kept = [], [], [], []
-            for text, spans in zip(as_bytes(chunk.column("text")), chunk.column("__spans").to_pylist()):
+            for text, spans in zip(unpacked(chunk.column("packed")), chunk.column("spans").to_pylist()):
                 runs = merged_runs(spans)
                 total.append(len(text))
                 removed.append(sum(e - s for s, e in runs))
@@ -212,7 +212,7 @@ def remove_repeated_bytes(docs: DataFrame, **params) -> DataFrame:
 
     docs = docs.select("doc_id", "text")
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return with_spans(docs, repeated_byte_spans(docs, **params)).mapInArrow(
+    return packed_with_spans(docs, repeated_byte_spans(docs, **params)).mapInArrow(
         cut, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept binary, kept_sha256 string")
 
 

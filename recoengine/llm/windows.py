@@ -6,13 +6,15 @@ are compared is each operator's own.
 1. ``anchors``: consecutive windows of a document whose smallest hashed gram
    (minimiser) is the same form one anchor. Equal windows have equal
    minimisers, so only anchors with the same gram can hold equal windows.
-2. ``candidates``: documents with equal units are one class and one of them
-   stands for it; anchors whose gram occurs once among the classes go.
-3. ``contexts``: the units around each remaining anchor are cut from the text.
-4. The operator compares contexts of one bucket of grams.
-   Grams with over ``hot`` anchors are not gathered: each of their windows
-   becomes a pair of independent 64-bit hashes, counted with map-side
-   combination (``hot_windows``).
+2. ``candidates``: documents with equal units are one class and one row stands
+   for it; anchors whose gram occurs once among the classes go.
+3. ``contexts``: the units around each remaining anchor are cut from the text,
+   which moves compressed, and written once.
+4. ``whole_spans``: the operator compares the contexts of a bucket of grams.
+   ``split_spans``: a gram with over ``hot`` anchors is not gathered, and one
+   with few windows an anchor (``THIN``, as in periodic text) is not worth its
+   contexts; each of their windows is a pair of independent 64-bit hashes
+   instead, counted with map-side combination.
 5. ``spans_by_text``: the runs of repeated windows by text.
 """
 
@@ -25,6 +27,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,7 +35,8 @@ from recoengine.llm.common import as_bytes, byte_chunks, save
 
 #: Bits that an anchor's place takes in the order of grams; a text is shorter.
 _PLACE_BITS = 28
-_MASK = (1 << 64) - 1
+#: Windows an anchor on average, below which a gram's windows are split.
+THIN = 16
 
 
 def _odd_numbers(seed: int, n: int) -> np.ndarray:
@@ -150,7 +154,7 @@ def anchors(docs: DataFrame, window: int, gram: int, words: bool, id_type: str)
     """One row a document with its anchors; ``docs`` has doc_id and text.
     ``text_key`` names the text, ``class_key`` its units."""
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for chunk in byte_chunks(batches, "text", 2 << 20):
+        for chunk in byte_chunks(batches, "text", 1 << 20):
             texts = as_bytes(chunk.column("text"))
             joined = np.frombuffer(b"\n".join(texts), dtype=np.uint8)
             ends = np.cumsum([len(t) + 1 for t in texts]) - 1
@@ -176,115 +180,133 @@ def anchors(docs: DataFrame, window: int, gram: int, words: bool, id_type: str)
     return rows.mapInArrow(kernel, ANCHORS.format(id=id_type))
 
 
-def candidates(found: DataFrame, window: int) -> tuple[DataFrame, DataFrame]:
+def candidates(found: DataFrame, hot: int) -> tuple[DataFrame, DataFrame]:
     """(classes, candidates) of a saved ``anchors`` table. classes: (class_key,
     copies, n_units, row) with the row that stands for the class. candidates:
-    (doc_id, text_key, class_key, key, found, place, first, last), one row for
-    each anchor of such a row whose gram has ``found`` of 2 or more."""
+    (doc_id, text_key, row, key, split, place, first, last), one row for each
+    anchor of such a row whose gram occurs twice or more."""
     classes = found.groupBy("class_key").agg(F.count(F.lit(1)).alias("copies"), F.first("n_units").alias("n_units"),
                                              F.min("row").alias("row"))
-    lone = classes.select("row")
-    stand = found.where(F.size("keys") > 0).join(lone, "row")
-    each = stand.select("doc_id", "text_key", "class_key", F.explode(F.arrays_zip("keys", "places", "firsts", "lasts")).alias("a"))
-    each = each.select("doc_id", "text_key", "class_key", F.col("a.keys").alias("key"), F.col("a.places").alias("place"),
+    stand = found.where(F.size("keys") > 0).join(classes.select("row"), "row")
+    each = stand.select("doc_id", "text_key", "row", F.explode(F.arrays_zip("keys", "places", "firsts", "lasts")).alias("a"))
+    each = each.select("doc_id", "text_key", "row", F.col("a.keys").alias("key"), F.col("a.places").alias("place"),
                        F.col("a.firsts").alias("first"), F.col("a.lasts").alias("last"))
-    shared = each.groupBy("key").agg(F.count(F.lit(1)).alias("found")).where("found > 1")
+    shared = each.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("last") - F.col("first") + 1).alias("windows"))
+    shared = shared.where("n > 1").select("key", ((F.col("n") > hot) | (F.col("windows") < THIN * F.col("n"))).alias("split"))
     return classes, each.join(shared, "key")
 
 
+def packed_texts(docs: DataFrame) -> DataFrame:
+    """(doc_id, text_key, packed): texts compressed for the shuffle."""
+    def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for chunk in byte_chunks(batches, "text", 2 << 20):
+            texts = as_bytes(chunk.column("text"))
+            squeeze = zstandard.ZstdCompressor(level=1).compress
+            yield pa.RecordBatch.from_arrays(
+                [chunk.column("doc_id"), pa.array([hashlib.sha256(t).digest() for t in texts], pa.binary()),
+                 pa.array([squeeze(t) for t in texts], pa.binary())], ["doc_id", "text_key", "packed"])
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return docs.select("doc_id", "text").mapInArrow(kernel, f"doc_id {kind}, text_key binary, packed binary")
+
+
+def unpacked(packed: pa.Array) -> list[bytes]:
+    expand = zstandard.ZstdDecompressor().decompress
+    return [expand(x) for x in packed.to_pylist()]
+
+
+def _window_hashes(units: list[bytes], window: int, words: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(context, window within it, two hashes) of each window."""
+    joined = np.frombuffer(b"\n".join(units), dtype=np.uint8)
+    ends = np.cumsum([len(u) + 1 for u in units]) - 1
+    starts = ends - [len(u) for u in units]
+    pair = []
+    for seed in (11, 12):
+        if words:
+            codes, at = word_codes(joined, seed)
+            lo, hi = np.searchsorted(at, starts), np.searchsorted(at, ends)
+        else:
+            codes, lo, hi = byte_codes(joined, seed), starts, ends
+        pair.append(hash_runs(codes, window, seed))
+    counts = np.maximum(hi - lo - window + 1, 0)
+    own = np.repeat(np.arange(len(units)), counts)
+    step = np.arange(len(own)) - np.repeat(np.cumsum(counts) - counts, counts)
+    at = lo[own] + step
+    return own, step, pair[0][at].view(np.int64), pair[1][at].view(np.int64)
+
+
+CONTEXTS = "row long, first int, key long, lead int, units binary, h1 long, h2 long"
+
+
 def contexts(docs: DataFrame, cand: DataFrame, window: int, words: bool) -> DataFrame:
-    """(key, found, class_key, first, lead, units): for each candidate the
-    units of its windows, as bytes; ``lead`` units stand before the gram."""
+    """(row, first, key, lead, units) for each candidate: the units of its
+    windows, as bytes; ``lead`` units stand before the gram. For candidates of
+    split grams (row, first, h1, h2) of each window instead."""
     items = cand.groupBy("doc_id", "text_key").agg(
-        F.first("class_key").alias("class_key"),
-        F.collect_list(F.struct("key", "found", "place", "first", "last")).alias("items"))
-    texts = docs.select(F.col("doc_id").alias("_id"), F.col("text"), F.unhex(F.sha2(F.coalesce("text", F.lit("")), 256)).alias("_key"))
+        F.first("row").alias("row"), F.collect_list(F.struct("key", "split", "place", "first", "last")).alias("items"))
+    texts = packed_texts(docs).withColumnsRenamed({"doc_id": "_id", "text_key": "_key"})
     joined = texts.join(items, (F.col("_key") == F.col("text_key")) & F.col("_id").eqNullSafe(F.col("doc_id")))
 
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for chunk in byte_chunks(batches, "text", 2 << 20):
+        for chunk in byte_chunks(batches, "packed", 512 << 10):
             lists = chunk.column("items")
-            sizes = pc.list_value_length(lists).to_pylist()
+            sizes = pc.list_value_length(lists).to_numpy()
             flat = lists.flatten()
-            key, n, place, first, last = (flat.field(i) for i in range(5))
-            rows = zip(place.to_pylist(), first.to_pylist(), last.to_pylist())
-            owner, lead, units = [], [], []
-            for text, label, size in zip(as_bytes(chunk.column("text")), chunk.column("class_key").to_pylist(), sizes):
+            key, split, place, first, last = (flat.field(i) for i in range(5))
+            owner = chunk.column("row").take(pa.array(np.repeat(np.arange(len(sizes)), sizes)))
+            split, lead = split.to_numpy(zero_copy_only=False), pc.subtract(place, first)
+            rows, units = zip(first.to_pylist(), last.to_pylist()), []
+            for text, size in zip(unpacked(chunk.column("packed")), sizes.tolist()):
                 parts = text.split() if words else text
                 for _ in range(size):
-                    p, a, b = next(rows)
-                    owner.append(label)
-                    lead.append(p - a)
+                    a, b = next(rows)
                     units.append(b" ".join(parts[a:b + window]) if words else parts[a:b + window])
-            out = pa.RecordBatch.from_arrays(
-                [key, n, pa.array(owner, pa.binary()), first, pa.array(lead, pa.int32()), pa.array(units, pa.binary())],
-                ["key", "found", "class_key", "first", "lead", "units"])
-            yield out
-
-    return joined.select("text", "class_key", "items").mapInArrow(
-        kernel, "key long, found long, class_key binary, first int, lead int, units binary")
-
-
-def cold_spans(rows: DataFrame, total: int, hot: int, bucket_rows: int,
-               kernel: Callable[[pa.Table], list[tuple]]) -> DataFrame:
-    """(class_key, start, end): the operator's ``kernel`` on buckets of grams
-    with ``hot`` anchors at most. It returns arrays (row, start, end) of spans
-    in units of the row's document."""
+            whole = np.flatnonzero(~split)
+            n = len(whole)
+            at = pa.array(whole)
+            yield pa.RecordBatch.from_arrays(
+                [owner.take(at), first.take(at), key.take(at), lead.take(at), pa.array([units[i] for i in whole], pa.binary()),
+                 pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64())], ["row", "first", "key", "lead", "units", "h1", "h2"])
+            thin = np.flatnonzero(split)
+            for i in range(0, len(thin), 1000):
+                some = thin[i:i + 1000]
+                own, step, h1, h2 = _window_hashes([units[j] for j in some], window, words)
+                n, begin = len(own), first.to_numpy()[some[own]] + step
+                yield pa.RecordBatch.from_arrays(
+                    [owner.take(pa.array(some[own])), pa.array(begin.astype(np.int32)), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int32()),
+                     pa.nulls(n, pa.binary()), pa.array(h1), pa.array(h2)], ["row", "first", "key", "lead", "units", "h1", "h2"])
+
+    return joined.select("packed", "row", "items").mapInArrow(kernel, CONTEXTS)
+
+
+def whole_spans(rows: DataFrame, total: int, bucket_rows: int, kernel: Callable[[pa.Table], tuple]) -> DataFrame:
+    """(row, start, end): the operator's ``kernel`` on buckets of grams. It
+    returns arrays (context, start, end) of spans in units of the document."""
     n = max(1, math.ceil(total / bucket_rows))
 
     def run(table: pa.Table) -> pa.Table:
-        # a repeated input row would bring its windows twice
-        table = table.drop_columns(["bucket"]).combine_chunks()
-        _, keep = np.unique(np.array([k + int(f).to_bytes(8, "little") for k, f in zip(
-            table.column("class_key").to_pylist(), table.column("first").to_pylist())], dtype=object), return_index=True)
-        if len(keep) < table.num_rows:
-            table = table.take(pa.array(np.sort(keep)))
-        row, start, end = kernel(table)
-        owner = table.column("class_key").combine_chunks().take(pa.array(row))
-        return pa.table({"class_key": owner, "start": pa.array(start, pa.int64()), "end": pa.array(end, pa.int64())})
-
-    cold = rows.where(F.col("found") <= hot).withColumn("bucket", F.pmod(F.xxhash64("key"), F.lit(n)).cast("int"))
-    return cold.groupBy("bucket").applyInArrow(run, "class_key binary, start long, end long")
-
-
-def hot_windows(rows: DataFrame, window: int, hot: int, words: bool) -> DataFrame:
-    """(class_key, start, end) of repeated windows of grams with over ``hot``
-    anchors: no gram's windows meet in one task, equal windows are counted
-    with map-side combination."""
-    def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for chunk in byte_chunks(batches, "units", 256 << 10):
-            units = as_bytes(chunk.column("units"))
-            joined = np.frombuffer(b"\n".join(units), dtype=np.uint8)
-            ends = np.cumsum([len(u) + 1 for u in units]) - 1
-            starts = ends - [len(u) for u in units]
-            pair = []
-            for seed in (11, 12):
-                if words:
-                    codes, at = word_codes(joined, seed)
-                    lo, hi = np.searchsorted(at, starts), np.searchsorted(at, ends)
-                else:
-                    codes, lo, hi = byte_codes(joined, seed), starts, ends
-                pair.append(hash_runs(codes, window, seed))
-            counts = np.maximum(hi - lo - window + 1, 0)
-            own = np.repeat(np.arange(len(units)), counts)
-            step = np.arange(len(own)) - np.repeat(np.cumsum(counts) - counts, counts)
-            at = lo[own] + step
-            yield pa.RecordBatch.from_arrays(
-                [chunk.column("class_key").take(pa.array(own)), pa.array(chunk.column("first").to_numpy()[own].astype(np.int64) + step),
-                 pa.array(pair[0][at].view(np.int64)), pa.array(pair[1][at].view(np.int64))], ["class_key", "start", "h1", "h2"])
+        context, start, end = kernel(table.combine_chunks())
+        return pa.table({"row": table.column("row").combine_chunks().take(pa.array(context)),
+                         "start": pa.array(start, pa.int64()), "end": pa.array(end, pa.int64())})
+
+    whole = rows.where("key is not null").drop("h1", "h2").withColumn("bucket", F.pmod(F.xxhash64("key"), F.lit(n)).cast("int"))
+    return whole.groupBy("bucket").applyInArrow(run, "row long, start long, end long")
 
-    each = rows.where(F.col("found") > hot).mapInArrow(kernel, "class_key binary, start long, h1 long, h2 long")
-    each = save(each, "hot-windows")
-    twice = each.dropDuplicates(["class_key", "start"]).groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    return each.join(twice, ["h1", "h2"]).select("class_key", "start", (F.col("start") + window).alias("end"))
+
+def split_spans(rows: DataFrame, window: int) -> DataFrame:
+    """(row, start, end) of repeated windows of split grams."""
+    each = rows.where("key is null").select("row", F.col("first").cast("long").alias("start"), "h1", "h2")
+    twice = each.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    return each.join(twice, ["h1", "h2"]).select("row", "start", (F.col("start") + window).alias("end"))
 
 
 def spans_by_text(found: DataFrame, classes: DataFrame, spans: DataFrame, window: int) -> DataFrame:
     """(text_key, spans): for each text with repeated windows the array of
     (start, end) in units, not merged; copies of a text are repeated whole."""
     whole = classes.where((F.col("copies") > 1) & (F.col("n_units") >= window)).select(
-        "class_key", F.lit(0).cast("long").alias("start"), F.col("n_units").alias("end"))
-    by_class = spans.unionByName(whole).groupBy("class_key").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
+        "row", F.lit(0).cast("long").alias("start"), F.col("n_units").alias("end"))
+    by_row = spans.unionByName(whole).groupBy("row").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
+    by_class = by_row.join(classes.select("row", "class_key"), "row")
     texts = found.groupBy("text_key").agg(F.first("class_key").alias("class_key"))
     return texts.join(by_class, "class_key").select("text_key", "spans")
 
@@ -305,13 +327,15 @@ def repeated_spans(docs: DataFrame, window: int, gram: int, words: bool, hot: in
                    kernel: Callable[[pa.Table], tuple]) -> DataFrame:
     """(text_key, spans) of the texts of ``docs`` (doc_id, text)."""
     found = save(anchors(docs, window, gram, words, docs.schema["doc_id"].dataType.simpleString()), "anchors")
-    classes, cand = candidates(found, window)
+    classes, cand = candidates(found, hot)
     cand = save(cand, "candidates")
-    size = cand.agg(F.count(F.lit(1)).alias("n"), F.max("found").alias("most")).first()
-    rows = contexts(docs, cand, window, words)
-    spans = cold_spans(rows, size["n"], hot, bucket_rows, kernel)
-    if (size["most"] or 0) > hot:
-        spans = spans.unionByName(hot_windows(rows, window, hot, words))
+    counts = {r["split"]: r["count"] for r in cand.groupBy("split").count().collect()}  # two rows at most
+    rows = save(contexts(docs, cand, window, words), "contexts")
+    if found.groupBy("doc_id", "text_key").count().where("count > 1").limit(1).count():
+        rows = rows.dropDuplicates(["row", "first"])  # repeated rows bring their windows again
+    spans = whole_spans(rows, counts.get(False, 0), bucket_rows, kernel)
+    if counts.get(True):
+        spans = spans.unionByName(split_spans(rows, window))
     return save(spans_by_text(found, classes, spans, window), "spans")
 
 
@@ -320,3 +344,8 @@ def with_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:
     key = F.unhex(F.sha2(F.coalesce("text", F.lit("")), 256))
     return docs.withColumn("__text_key", key).join(
         spans.withColumnRenamed("text_key", "__text_key").withColumnRenamed("spans", "__spans"), "__text_key", "left").drop("__text_key")
+
+
+def packed_with_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:
+    """(doc_id, packed, spans) of (doc_id, text): the text moves compressed."""
+    return packed_texts(docs).join(spans, "text_key", "left").select("doc_id", "packed", "spans")
