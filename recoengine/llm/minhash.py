@@ -10,9 +10,11 @@ skipped, and frequent values are seldom merged at all.
 
 Posting lists are not expanded into pairs. First each document is compared
 with one document: the least of its lists, by most collisions. The links found
-join most lists into one component each; only lists that still hold several are
-merged, in blocks, for pairs across components that collide in ``MATCHES``
-coordinates. All links are confirmed on the full shingle sets.
+join most lists into one component each. Documents of lists that still hold
+several are gathered by the lists' own connection (a cluster; by list, where a
+cluster is over ``CLUSTER``), in pairs of blocks of bounded size. A task counts the collisions
+of its pairs, confirms those with ``MATCHES`` on the full shingle sets, and
+returns only links that join two components.
 
 Documents with equal sets are one class, so copies cost one row.
 
@@ -30,20 +32,22 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from recoengine.llm.common import as_bytes, byte_chunks, save, table
 from recoengine.llm.components import components
-from recoengine.llm.windows import hash_runs, word_codes
+from recoengine.llm.windows import hash_runs, packed_texts, unpacked, word_codes
 
 SHINGLE = 5
 PERCENT = 75
 COORDINATES = 64
 #: Chance that a pair of just the similarity collides in fewer coordinates.
 MISS = 1e-7
-#: Members of a posting list that are merged as one block.
-BLOCK = 2000
+#: Documents of a cluster or list that are merged as one block.
+BLOCK = 1000
+#: Documents of a cluster, above which its lists are merged one by one.
+CLUSTER = 50_000
 
 _MULTIPLY = np.random.default_rng(75).integers(0, 1 << 63, COORDINATES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _SHIFT = np.random.default_rng(76).integers(0, 1 << 63, COORDINATES, dtype=np.uint64)
@@ -89,10 +93,6 @@ def signatures(sets: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def _text_key() -> Column:
-    return F.unhex(F.sha2(F.coalesce("text", F.lit("")), 256))
-
-
 def sketch(docs: DataFrame) -> DataFrame:
     """(row, doc_id, text_key, set_key, n_shingles, signature) of (doc_id, text)."""
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -126,15 +126,15 @@ def prefixes(reps: DataFrame, needed: int) -> DataFrame:
 
 def full_sets(docs: DataFrame, rows: DataFrame) -> DataFrame:
     """(row, hashes): shingle sets, as bytes, of ``rows`` (row, doc_id, text_key)."""
-    texts = docs.select(F.col("doc_id").alias("_id"), "text", _text_key().alias("_key"))
+    texts = packed_texts(docs).withColumnsRenamed({"doc_id": "_id", "text_key": "_key"})
     joined = texts.join(rows, (F.col("_key") == F.col("text_key")) & F.col("_id").eqNullSafe(F.col("doc_id")))
 
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for chunk in byte_chunks(batches, "text", 2 << 20):
-            sets = shingle_sets(as_bytes(chunk.column("text")))
+        for chunk in byte_chunks(batches, "packed", 1 << 20):
+            sets = shingle_sets(unpacked(chunk.column("packed")))
             yield pa.RecordBatch.from_arrays([chunk.column("row"), pa.array([s.tobytes() for s in sets], pa.binary())], ["row", "hashes"])
 
-    return joined.select("row", "text").mapInArrow(kernel, "row long, hashes binary")
+    return joined.select("row", "packed").mapInArrow(kernel, "row long, hashes binary")
 
 
 def confirm(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -156,43 +156,69 @@ def confirm(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFr
 
 
 def _merge(needed: int, percent: int):
-    """Pairs across components within one block of a posting list."""
+    """Links that join two components, of two blocks (or one with itself)."""
     def merge(rows: pa.Table) -> pa.Table:
-        rows = rows.combine_chunks().sort_by("n_shingles")
-        row, part, size = (rows.column(c).to_numpy() for c in ("row", "component", "n_shingles"))
-        side = rows.column("side").to_numpy()  # 0: first block, 1: second, 2: both
+        rows = rows.combine_chunks()
+        row, side = rows.column("row").to_numpy(), rows.column("side").to_numpy()  # 0, 1: that block; 2: one block alone
+        part = np.unique(rows.column("component").to_numpy(), return_inverse=True)[1]
         signs = rows.column("signature").combine_chunks().flatten().to_numpy().reshape(len(row), -1)
-        out_a, out_b = [], []
-        end = np.searchsorted(size, size * 100 // percent, side="right")  # beyond, sizes differ too much
+        sets = [np.frombuffer(x.as_buffer(), dtype=np.uint64) for x in rows.column("hashes")]
+        size = np.array([len(x) for x in sets])
+        owner = np.repeat(np.arange(len(row)), size)
+        shingle, often = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)[1:]
+        common = often[shingle] > 1  # only these can be in two sets
+        owner, shingle = owner[common], shingle[common]
+        by = np.argsort(shingle, kind="stable")
+        members = owner[by]  # of each shingle, one after the other
+        begin = np.searchsorted(shingle[by], np.arange(len(often) + 1))
+        cuts = np.searchsorted(owner, np.arange(len(row) + 1))
+        links = []
         for i in range(len(row)):
-            j = np.arange(i + 1, end[i])
-            j = j[(part[j] != part[i]) & ((side[j] == 2) | (side[j] != side[i]))]
-            if len(j):
-                j = j[(signs[j] == signs[i]).sum(axis=1) >= needed]
-                out_a.append(np.minimum(row[i], row[j]))
-                out_b.append(np.maximum(row[i], row[j]))
-        none = [np.zeros(0, dtype=np.int64)]
-        return pa.table({"a": np.concatenate(out_a or none), "b": np.concatenate(out_b or none)})
+            other = (part != part[i]) & ((side == 2) | (side != side[i])) & (100 * np.minimum(size, size[i]) >= percent * np.maximum(size, size[i]))
+            other[:i + 1] = False
+            j = np.flatnonzero(other)
+            j = j[(signs[j] == signs[i]).sum(axis=1) >= needed]
+            if not len(j):
+                continue
+            mine = shingle[cuts[i]:cuts[i + 1]]
+            both = np.bincount(np.concatenate([members[begin[x]:begin[x + 1]] for x in mine] or [members[:0]]), minlength=len(row))[j]
+            for k in j[100 * both >= percent * (size[i] + size[j] - both)]:
+                if part[k] != part[i]:
+                    links.append((row[i], row[k]))
+                    part[part == part[k]] = part[i]
+        a, b = zip(*links) if links else ((), ())
+        return pa.table({"a": pa.array(np.minimum(a, b), pa.int64()), "b": pa.array(np.maximum(a, b), pa.int64())})
 
     return merge
 
 
-def across_components(posts: DataFrame, sketched: DataFrame, needed: int, block: int = BLOCK, percent: int = PERCENT) -> DataFrame:
-    """(a, b): pairs of different components that share a posting and collide
-    in ``needed`` coordinates. ``posts``: (row, token, component)."""
-    lists = posts.groupBy("token").agg(F.count(F.lit(1)).alias("m"), F.min("component").alias("_low"), F.max("component").alias("_high"))
-    open_ = lists.where("_low != _high").select("token", F.ceil(F.col("m") / block).cast("int").alias("blocks"))
-    members = posts.join(open_, "token").join(sketched.select("row", "n_shingles", "signature"), "row")
-    # a member of block i meets every block j once, in the group of (i, j)
-    members = members.withColumn("_own", F.pmod(F.xxhash64("row", "token"), F.col("blocks").cast("long")).cast("int"))
+def across_components(posts: DataFrame, sketched: DataFrame, sets: DataFrame, needed: int, block: int = BLOCK,
+                      cluster: int = CLUSTER, percent: int = PERCENT) -> DataFrame:
+    """(a, b): links between different components among documents that share a
+    posting. ``posts``: (row, token, component)."""
+    lists = posts.groupBy("token").agg(F.min("row").alias("least"), F.min("component").alias("_low"), F.max("component").alias("_high"))
+    open_ = save(posts.join(lists.where("_low != _high").select("token", "least"), "token"), "open-lists")
+    nodes = open_.select(F.col("row").alias("id"), F.col("row").alias("label")).distinct()
+    found = components(open_.select(F.col("least").alias("a"), F.col("row").alias("b")), nodes)
+    sizes = found.groupBy("component").agg(F.count(F.lit(1)).alias("n"))
+    where = found.join(sizes, "component").select(F.col("id").alias("row"), F.col("component").alias("cluster"), (F.col("n") > cluster).alias("large"))
+    placed = open_.join(where, "row").select(
+        "row", "component", "large", F.when(F.col("large"), F.col("token")).otherwise(F.col("cluster")).alias("group")).distinct()
+    blocks = placed.groupBy("large", "group").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
+    members = placed.join(blocks, ["large", "group"])
+    # a member of block i meets every block j once, in the task of (i, j)
+    members = members.withColumn("_own", F.pmod(F.xxhash64("row", "group"), F.col("blocks").cast("long")).cast("int"))
     members = members.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    members = members.select("token", F.least("_own", "_other").alias("i"), F.greatest("_own", "_other").alias("j"),
+    members = members.select("large", "group", F.least("_own", "_other").alias("i"), F.greatest("_own", "_other").alias("j"),
                              F.when(F.col("_own") == F.col("_other"), 2).when(F.col("_own") < F.col("_other"), 0).otherwise(1).alias("side"),
-                             "row", "component", "n_shingles", "signature")
-    return members.groupBy("token", "i", "j").applyInArrow(_merge(needed, percent), "a long, b long").distinct()
+                             "row", "component")
+    # in the task of (i, j) block i is 0 and block j is 1; pairs within a block
+    # are left to (i, i)
+    members = members.join(sketched.select("row", "signature"), "row").join(sets, "row")
+    return members.groupBy("large", "group", "i", "j").applyInArrow(_merge(needed, percent), "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, block: int = BLOCK) -> DataFrame:
+def near_duplicates(docs: DataFrame, block: int = BLOCK, cluster: int = CLUSTER) -> DataFrame:
     """One row a document: (doc_id, n_shingles, component_id, kept, row, stays).
     row numbers the rows of ``docs``, a table as it is read; stays holds for one
     row of each component."""
@@ -209,13 +235,16 @@ def near_duplicates(docs: DataFrame, block: int = BLOCK) -> DataFrame:
         F.max(F.struct("n", -F.col("a")))["col2"].alias("_a"))
     pairs = best.select((-F.col("_a")).alias("a"), F.col("row").alias("b"))
     posted = reps.join(posts.select("row").distinct(), "row").select("row", "doc_id", "text_key")
-    sets = save(full_sets(docs, posted), "shingle-sets").dropDuplicates(["row"])
+    sets = full_sets(docs, posted)
+    if sketched.groupBy("doc_id", "text_key").count().where("count > 1").limit(1).count():
+        sets = sets.dropDuplicates(["row"])  # a repeated row brings its text again
+    sets = save(sets, "shingle-sets")
     links = save(confirm(pairs, sets), "links")
 
     nodes = classes.select(F.col("row").alias("id"), F.col("row").alias("label"))
     so_far = components(links, nodes.join(posts.select(F.col("row").alias("id")).distinct(), "id"))
     placed = save(posts.join(so_far.withColumnRenamed("id", "row"), "row"), "placed")
-    more = save(confirm(across_components(placed, sketched, needed, block), sets), "links")
+    more = save(across_components(placed, sketched, sets, needed, block, cluster), "links")
 
     found = components(links.unionByName(more), classes.select(F.col("row").alias("id"), F.col("first").alias("label")))
     by_set = classes.join(found.withColumnRenamed("id", "row"), "row").select("set_key", "component")
