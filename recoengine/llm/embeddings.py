@@ -166,3 +166,17 @@ def near_duplicates(rows: DataFrame, cosine: float = COSINE, id_col: str = "vec_
 
 def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+ORACLE = r"""
+WITH RECURSIVE v AS (SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings),
+good AS (SELECT vec_id, label, e, sqrt(list_dot_product(e, e)) AS n FROM v
+  WHERE label IS NOT NULL AND e IS NOT NULL AND len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+pairs AS (SELECT a.vec_id AS a, b.vec_id AS b FROM good a JOIN good b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE a.n > 0 AND b.n > 0 AND list_dot_product(a.e, b.e) / (a.n * b.n) >= 0.98),
+reach AS (SELECT vec_id AS a, vec_id AS b FROM v UNION SELECT r.a, p.b FROM reach r JOIN pairs p ON p.a = r.b),
+least AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a),
+links AS (SELECT a, count(*) AS n FROM pairs GROUP BY a)
+SELECT vec_id, coalesce(k.n, 0)::BIGINT AS n_links, component_id, vec_id = component_id AS kept
+FROM v JOIN least l ON l.a = vec_id LEFT JOIN links k ON k.a = vec_id
+"""

@@ -28,5 +28,8 @@ def queries() -> dict[str, Query]:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op1_substring_dedup": substrings.ORACLE,
+        "op2_embedding_dedup": embeddings.ORACLE,
         "op4_mix_sources": mixing.ORACLE,
+        "op5_minhash_dedup": minhash.ORACLE,
     }

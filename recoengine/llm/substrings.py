@@ -104,3 +104,15 @@ def remove_repeated_words(docs: DataFrame, **params) -> DataFrame:
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeated_words(table(spark, sf_dir, "documents")).drop("kept")
 
+
+ORACLE = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+windows AS (SELECT r, i, array_to_string(w[i:i + 34], ' ') AS k FROM (SELECT r, w, unnest(range(1, len(w) - 33)) AS i FROM d)),
+often AS (SELECT k FROM windows GROUP BY k HAVING count(*) > 1),
+gone AS (SELECT DISTINCT r, unnest(range(i, i + 35)) AS p FROM windows SEMI JOIN often USING (k)),
+words AS (SELECT r, unnest(w) AS word, generate_subscripts(w, 1) AS p FROM d),
+kept AS (SELECT r, string_agg(word, ' ' ORDER BY p) AS t FROM words ANTI JOIN gone USING (r, p) GROUP BY r),
+lost AS (SELECT r, count(*) AS n FROM gone GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (r) LEFT JOIN lost USING (r)
+"""

@@ -1,0 +1,411 @@
+import hashlib
+import random
+import zlib
+from collections import Counter
+
+import brute
+import duckdb
+import numpy as np
+import pytest
+from conftest import SCHEMA, edge_rows
+from pyspark.sql import functions as F
+
+from recoengine.llm import (components, embeddings, language, minhash, mixing, packing, quality, queries, sharding,
+                            substrings, suffixes, token_store, tokens)
+from recoengine.session import scratch_path
+
+
+def texts():
+    return [r[1] for r in edge_rows()]
+
+
+def rows(df, *cols):
+    return sorted((tuple(r[c] for c in cols) for r in df.collect()), key=repr)
+
+
+# ------------------------------------------------------ substrings, suffixes
+
+@pytest.mark.parametrize("hot,window,gram", [(8192, 35, 8), (1, 35, 8), (8192, 6, 2)])
+def test_repeated_words_equal_brute_force(edge, hot, window, gram):
+    got = substrings.remove_repeated_words(edge, hot=hot, window=window, gram=gram, bucket_rows=20)
+    want = brute.repeated_words(texts(), window)
+    assert rows(got, "doc_id", "n_words", "n_removed", "kept_sha256") == \
+        sorted(((r[0], *w) for r, w in zip(edge_rows(), want)), key=repr)
+    for r in got.collect():
+        assert hashlib.sha256(r.kept.encode()).hexdigest() == r.kept_sha256
+
+
+@pytest.mark.parametrize("hot,window,gram", [(8192, 400, 32), (1, 400, 32), (8192, 50, 8)])
+def test_repeated_bytes_equal_brute_force(edge, hot, window, gram):
+    got = suffixes.remove_repeated_bytes(edge, hot=hot, window=window, gram=gram, bucket_rows=20)
+    want = brute.repeated_bytes(texts(), window)
+    assert rows(got, "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256") == \
+        sorted(((r[0], *w) for r, w in zip(edge_rows(), want)), key=repr)
+
+
+def test_suffix_order_is_the_order_of_strings():
+    rng = random.Random(1)
+    for alphabet in (b"ab", b"abcdefgh"):
+        strings = [bytes(rng.choice(alphabet) for _ in range(rng.randrange(0, 30))) for _ in range(300)]
+        group = np.array([rng.randrange(4) for _ in strings])
+        text = np.frombuffer(b"".join(strings), dtype=np.uint8)
+        size = np.array([len(s) for s in strings])
+        start = np.cumsum(size) - size
+        order, common = suffixes.suffix_order(text, start, size, group)
+        plain, plain_common = suffixes._plain(text, start, size, group)
+        assert order.tolist() == plain.tolist() and common.tolist() == plain_common.tolist()
+
+
+def test_hash_collision_is_found_and_settled(monkeypatch):
+    strings = [b"abcd", b"abce", b"abzz", b"abcd"]
+    text, size = np.frombuffer(b"".join(strings), dtype=np.uint8), np.array([4] * 4)
+    start, group = np.cumsum(size) - size, np.zeros(4, dtype=np.int64)
+    want = suffixes._plain(text, start, size, group)
+    monkeypatch.setattr(suffixes, "byte_codes", lambda b, seed: np.zeros(len(b), dtype=np.uint64))
+    got = suffixes.suffix_order(text, start, size, group)
+    assert got[0].tolist() == want[0].tolist() and got[1].tolist() == want[1].tolist()
+
+
+def test_document_form_keeps_columns_and_drops_empty(edge):
+    got = suffixes.without_repeats(edge, window=50, gram=8)
+    assert got.columns == edge.columns
+    kept = {r.doc_id: r for r in got.collect()}
+    assert 3 not in kept and {7, 8, 9, 10} <= set(kept)  # copies go whole, empty ones stay
+    assert all(r.n_chars == len(r.text) for r in kept.values() if r.text)
+    assert Counter(r.label for r in got.collect()).keys() == {"x"}
+
+
+# ------------------------------------------------------------------ minhash
+
+@pytest.mark.parametrize("block,cluster", [(1000, 50_000), (2, 50_000), (2, 1)])
+def test_near_documents_equal_brute_force(edge, block, cluster):
+    got = minhash.near_duplicates(edge, block=block, cluster=cluster).collect()
+    ids = [10**9 if r[0] is None else r[0] for r in edge_rows()]
+    want = brute.near_documents(ids, texts())
+    own = Counter((r.doc_id, r.n_shingles, r.component_id) for r in got)
+    assert own == Counter((None if i == 10**9 else i, n, None if c == 10**9 else c) for i, n, c in want)
+    assert sum(r.stays for r in got if r.component_id == 1) == 1
+
+
+def test_one_row_of_each_component_stays(edge):
+    got = minhash.one_of_each(edge)
+    assert got.columns == edge.columns
+    ids = [r.doc_id for r in got.collect()]
+    assert ids.count(1) == 1 and not {2, 3} & set(ids) and ids.count(None) == 1 and {7, 8, 9} <= set(ids)
+
+
+@pytest.mark.parametrize("cluster", [50_000, 1])
+def test_links_within_a_dense_group_and_across(spark, cluster):
+    rng = random.Random(5)
+    base = [f"t{i}" for i in range(200)]
+    data = []
+    for i in range(120):
+        words = list(base)
+        for _ in range(rng.randrange(1, 14)):
+            words[rng.randrange(200)] = f"r{i}_{rng.random()}"
+        data.append((i, " ".join(words)))
+    path = scratch_path(spark, "dense")
+    spark.createDataFrame(data, "doc_id long, text string").write.parquet(path)
+    got = minhash.near_duplicates(spark.read.parquet(path), block=16, cluster=cluster).collect()
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got) == \
+        sorted(brute.near_documents([d for d, _ in data], [t for _, t in data]))
+
+
+def test_components_of_a_long_path(spark):
+    n = 60
+    edges = spark.createDataFrame([(i, i + 1) for i in range(n - 1) if i != 30], "a long, b long")
+    nodes = spark.createDataFrame([(i, 100 - i) for i in range(n + 1)], "id long, label int")
+    got = {r.id: r.component for r in components.components(edges, nodes).collect()}
+    assert got == {i: 100 - 30 if i <= 30 else (100 - (n - 1) if i < n else 40) for i in range(n + 1)}
+
+
+# --------------------------------------------------------------- embeddings
+
+def test_vector_links_equal_brute_force(spark):
+    rng = np.random.default_rng(3)
+    centres = rng.standard_normal((12, 16))
+    near = [c + 0.04 * rng.standard_normal(16) * np.linalg.norm(c) / 4 for c in centres for _ in range(12)]
+    vectors = [*near, *rng.standard_normal((60, 16)), near[0], near[0]]
+    data = [(i, [float(x) for x in np.float32(v)], int(i % 2)) for i, v in enumerate(vectors)]
+    odd = [(900, None, 0), (901, [0.0] * 16, 0), (902, [float("nan")] * 16, 0), (903, [float("inf")] + [0.0] * 15, 0),
+           (904, [None] + [1.0] * 15, 0), (905, data[0][1], None), (906, [1.0, 2.0], 0), (907, [], 0)]
+    df = spark.createDataFrame(data + odd, "vec_id long, embedding array<float>, label int")
+    got = {r.vec_id: r for r in embeddings.near_duplicates(df, tables=3).collect()}
+    x = np.array([v for _, v, _ in data], dtype=np.float64)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    link = (x @ x.T >= 0.98) & np.equal.outer(np.arange(len(x)) % 2, np.arange(len(x)) % 2)
+    np.fill_diagonal(link, False)
+    reach = link | np.eye(len(x), dtype=bool)
+    for _ in range(8):
+        reach = reach @ reach
+    assert link.sum() > 100
+    for i in range(len(x)):
+        assert (got[i].n_links, got[i].component_id) == (link[i].sum(), int(reach[i].argmax())), i
+        assert got[i].kept == (got[i].component_id == i)
+    assert all(got[i].n_links == 0 and got[i].kept for i, _, _ in odd)
+
+
+def test_codes_are_balanced():
+    x = np.random.default_rng(1).standard_normal((2000, 16)) + 3
+    mean, r = embeddings.learn_rotation(x)
+    share = ((x - mean) @ r >= 0).mean(axis=0)
+    assert np.allclose(r @ r.T, np.eye(16)) and (abs(share - 0.5) < 0.05).all()
+
+
+# ------------------------------------------------------------------- tokens
+
+def reference_ids(text):
+    from tokenizers import Tokenizer
+    t = Tokenizer.from_file(tokens.default_tokenizer())
+    t.encode_special_tokens = True
+    return [*t.encode(text or "", add_special_tokens=False).ids, 0]
+
+
+def test_encoder_equals_the_library():
+    enc = tokens.Encoder(tokens.default_tokenizer())
+    cases = [*texts(), "a   b", "a \nb", " a", "a ", "  ", "\n a\n  b", "x  y", "<|endoftext|> q", "it's 'tis don't ½ 漢字 a1b2 ×÷ x_y __",
+             "q w \x1c e\x1cr", "a\xa0b \xa0c", "tab\t\ttab  end ", "\x00 zero \x00"]
+    for _ in range(2):  # the second time from what is kept
+        for case, ids in zip(cases, enc(cases)):
+            assert np.frombuffer(ids, "<u4").tolist() == reference_ids(case), case
+
+
+def test_encoder_forgets_beyond_its_limit(monkeypatch):
+    monkeypatch.setattr(tokens, "KEPT_UNITS", 5)
+    enc = tokens.Encoder(tokens.default_tokenizer())
+    for case in ("one two three four five six seven", "eight nine two ten"):
+        assert np.frombuffer(enc([case])[0], "<u4").tolist() == reference_ids(case)
+        assert len(enc.kept) <= 5
+
+
+def test_token_store_round_trip(spark, edge):
+    path = scratch_path(spark, "store")
+    token_store.write_token_ids(edge, path, parts=3)
+    got = sorted(token_store.read_token_ids(spark, path).collect(), key=lambda r: r.start)
+    assert [r.doc_id is not None for r in got] == sorted(r.doc_id is not None for r in got)
+    ids = [r.doc_id for r in got if r.doc_id is not None]
+    assert ids == sorted(ids) and len(got) == len(edge_rows())
+    at = 0
+    for r in got:
+        assert (r.start, r.n_tokens) == (at, len(r.ids))
+        at += r.n_tokens
+    assert Counter((r.doc_id, tuple(r.ids)) for r in got) == Counter((r[0], tuple(reference_ids(r[1]))) for r in edge_rows())
+    crc = token_store.ids_crc32(token_store.read_token_ids(spark, path)).collect()
+    assert Counter((r.doc_id, r.ids_crc32) for r in crc) == Counter(
+        (r[0], zlib.crc32(np.array(reference_ids(r[1]), "<u4").tobytes())) for r in edge_rows())
+    one = token_store.read_token_ids(spark, path).where("doc_id = 13")
+    assert one.count() == 1
+    assert "EqualTo(doc_id,13)" in one._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("open_windows,merged", [(32, 64), (1, 2)])
+def test_packing_loses_no_token(edge, open_windows, merged):
+    got = packing.pack(edge.repartition(5), window=64, open_windows=open_windows, merged=merged).collect()
+    sequences, docs = {}, Counter()
+    for r in got:
+        sequences.setdefault(r.sequence_id, []).append(r)
+    for parts in sequences.values():
+        parts.sort(key=lambda r: r.offset)
+        at = 0
+        for r in parts:
+            assert r.offset == at and r.length > 0
+            at += r.length
+        assert at == 64 or at & (at - 1) == 0  # no padding
+    assert sum(sum(r.length for r in p) < 64 for p in sequences.values()) <= 6
+    want = Counter()
+    for d in edge_rows():
+        want[d[0]] += len(reference_ids(d[1]))
+    for r in got:
+        docs[r.doc_id] += r.length
+    assert docs == want
+    for d in [x for x in edge_rows() if x[0] in (1, 7, 11, 13)]:
+        ids, at = np.array(reference_ids(d[1]), "<u4"), 0
+        for r in sorted((r for r in got if r.doc_id == d[0]), key=lambda r: r.start):
+            assert (r.start, r.doc_tokens) == (at, len(ids))
+            assert r.ids_crc32 == zlib.crc32(ids[at:at + r.length].tobytes())
+            at += r.length
+        assert at == len(ids)
+
+
+# ------------------------------------------------------------------- mixing
+
+def test_mix_bounds_and_targets(edge):
+    got = mixing.mix(edge, cells=8).collect()
+    assert rows(mixing.mix(edge, cells=8), "doc_id", "taken") == rows(mixing.mix(edge, cells=64), "doc_id", "taken")
+    assert len(got) == len(edge_rows())
+    sizes = Counter()
+    for r in edge_rows():
+        sizes[r[3]] += len((r[1] or "").split())
+    for source in sizes:
+        mine = [r for r in got if r.source == source]
+        assert {r.source_size for r in mine} == {sizes[source]}
+        assert mine[0].target <= 2 * sizes[source]
+        gap = abs(sum(r.taken for r in mine) - mine[0].target)
+        assert gap <= max(r.size for r in mine) / 2 + 1
+    assert all(r.taken == r.copies * r.size and 0 <= r.copies <= 2 for r in got)
+    total = sum(sizes.values())
+    assert abs(sum({r.source: r.target for r in got}.values()) - 1.5 * total) < 1e-6 * total
+
+
+def test_mixed_rows_repeat_documents(edge):
+    got = mixing.mixed_rows(edge)
+    assert got.columns == edge.columns
+    copies = Counter()
+    for r in mixing.mix(edge).collect():
+        copies[r.doc_id] += r.copies
+    assert Counter(r.doc_id for r in got.collect()) == Counter({k: v for k, v in copies.items() if v})
+
+
+def test_targets_are_filled_by_weight(spark):
+    sizes = spark.createDataFrame([("a", 10), ("b", 1000), ("c", 1000), (None, 100)], "source string, size long")
+    got = {r.source: r.target for r in mixing.source_targets(sizes).collect()}
+    assert got["a"] == 20 and got[None] == 200  # stopped at twice their size
+    assert got["b"] == pytest.approx((1.5 * 2110 - 220) / 3) and got["c"] == pytest.approx(2 * got["b"])
+
+
+def test_mix_equals_its_sql(spark, sf_dir):
+    got = mixing.op4_mix_sources(spark, sf_dir).collect()
+    con = duckdb.connect()
+    con.sql(f"create view documents as from '{sf_dir}/documents.parquet'")
+    want = con.sql(mixing.ORACLE).fetchall()
+    assert sorted(map(tuple, got)) == sorted(want)
+
+
+# ----------------------------------------------------------------- sharding
+
+def test_shards_hold_every_row_once(spark, edge):
+    path = scratch_path(spark, "shards")
+    sharding.shard(edge, path, shards=4, bucket_bytes=8000)
+    got = sharding.read_shards(spark, path, edge.schema).collect()
+    assert Counter((r.doc_id, r.text, r.source) for r in got) == Counter((r[0], r[1], r[3]) for r in edge_rows())
+    count = Counter(r.shard for r in got)
+    assert max(count.values()) - min(count.values()) <= 1 and set(count) == set(range(4))
+    for s in count:
+        assert sorted(r.slot for r in got if r.shard == s) == list(range(count[s]))
+    again = scratch_path(spark, "shards")
+    sharding.shard(edge.repartition(3), again, shards=4, bucket_bytes=8000)
+    assert rows(sharding.read_shards(spark, again, edge.schema), "doc_id", "text", "shard", "slot") == \
+        sorted(((r.doc_id, r.text, r.shard, r.slot) for r in got), key=repr)
+
+
+def test_fisher_yates_is_uniform():
+    seen = Counter(tuple(sharding.fisher_yates(3, random.Random(i)).tolist()) for i in range(3000))
+    assert len(seen) == 6 and min(seen.values()) > 400
+
+
+# ----------------------------------------------------------------- language
+
+def test_held_out_language_accuracy(spark, sf_dir):
+    got = language.op9_language(spark, sf_dir).join(
+        spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "lang"), "doc_id").collect()
+    held = [r for r in got if r.held_out]
+    assert [zlib.crc32(str(r.doc_id).encode()) % 3 == 1 for r in got] == [r.held_out for r in got]
+    assert np.mean([r.lang == r.lang_pred for r in held]) > 0.95
+
+
+def test_language_spans_of_mixed_text(spark):
+    de = "der die das und ist nicht mit von für eine auf werden schön straße wort"
+    en = "the and that with this from which have would there words their about after other"
+    ru = "это слово и не на что как это было только другие"
+    train = spark.createDataFrame([(f"{de} {de}", "de"), (f"{en} {en}", "en"), (ru, "ru")], "text string, lang string")
+    model = language.train(train)
+    text = f"{en} {en}. {de} {de}"
+    docs = spark.createDataFrame([(1, text), (2, ru), (3, None), (4, "123 !"), (5, ""), (6, "日本語")], "doc_id long, text string")
+    got = {r.doc_id: r for r in language.label(docs, model).collect()}
+    spans = [(s.start, s.end, s.lang) for s in got[1].spans]
+    assert [s[2] for s in spans] == ["en", "de"] and text[spans[1][0]:].startswith("der ")
+    assert got[2].lang_pred == "ru" and got[2].score == 1.0
+    assert all(got[i].lang_pred == "und" and got[i].score == 0 for i in (3, 4, 5)) and got[6].lang_pred in ("de", "en", "ru")
+
+
+def test_best_path_is_optimal():
+    rng = np.random.default_rng(2)
+    for _ in range(200):
+        scores = rng.normal(0, 4, (6, 3))
+        penalty = float(rng.uniform(0.5, 12))
+        best = max(sum(scores[t, k >> 2 * t & 3] for t in range(6)) - penalty * sum((k >> 2 * t & 3) != (k >> 2 * t - 2 & 3) for t in range(1, 6))
+                   for k in range(4 ** 6) if all((k >> 2 * t & 3) < 3 for t in range(6)))
+        path = language.best_path(scores, penalty)
+        value = scores[np.arange(6), path].sum() - penalty * (path[1:] != path[:-1]).sum()
+        assert value == pytest.approx(best)
+
+
+# ------------------------------------------------------------------ quality
+
+def plain_statistics(text):
+    words = (text or "").encode().split()
+    grams = Counter(zip(words, words[1:], words[2:]))
+    covered = {i + k for i in range(len(words) - 2) if grams[tuple(words[i:i + 3])] > 1 for k in range(3)}
+    lines = [x for x in (text or "").split("\n") if x.encode().split()]
+    return (len(words), sum(len(w.decode()) for w in words), sum(c in "#*$%&|<>" for c in text or ""), len(lines) - len(set(lines)), len(covered))
+
+
+def test_statistics_equal_plain_counts(edge):
+    more = ["a b c a b c", "x\n\nx\n y\nx", "# | <b> \n# | <b> \nz", "é ü w\x85v a b\x0bc"]
+    got = quality.statistics(edge).collect()
+    assert Counter((r.doc_id, *(r[s] for s in quality.BASE)) for r in got) == Counter((r[0], *plain_statistics(r[1])) for r in edge_rows())
+    found = quality.count_statistics([t.encode() for t in more])
+    assert list(zip(*(found[s].tolist() for s in quality.BASE))) == [plain_statistics(t) for t in more]
+
+
+def test_trees_are_monotonic_and_learn():
+    rng = np.random.default_rng(4)
+    x = rng.uniform(0, 1, (3000, 4))
+    y = ((x[:, 0] + 0.3 * np.sin(9 * x[:, 1]) + 0.1 * rng.normal(size=3000)) < 0.5).astype(float)
+    trees = quality.fit_trees(x, y, [-1, 0, 1, 0])
+    assert ((trees.score(x) > 0.5) == (y > 0.5)).mean() > 0.9
+    for feature, sign in ((0, -1), (2, 1)):
+        probe = np.repeat(rng.uniform(0, 1, (200, 4)), 30, axis=0)
+        probe[:, feature] = np.tile(np.linspace(0, 1, 30), 200)
+        steps = np.diff(trees.score(probe).reshape(200, 30), axis=1)
+        assert (sign * steps >= -1e-12).all()
+
+
+def test_quality_decides_by_base_and_trees(spark, edge, sf_dir):
+    labels = spark.createDataFrame([(i, i % 2) for i in range(1, 9)] + [(None, 1), (3, None)], "doc_id long, quality int")
+    trees = quality.train(quality.statistics(edge), labels)
+    good = quality.good_documents(edge, labels)
+    assert good.columns == edge.columns
+    kept = quality.judged(quality.statistics(edge), trees).where("kept")
+    assert Counter(r.doc_id for r in good.collect()) == Counter(r.doc_id for r in kept.collect())
+    assert quality.train(quality.statistics(edge), labels.where("quality = 1")) is None
+    got = quality.op10_quality(spark, sf_dir).join(spark.read.parquet(f"{sf_dir}/labels.parquet"), "doc_id").collect()
+    judged = [r for r in got if r.quality is not None and not r.base_failed]
+    assert np.mean([r.kept == bool(r.quality) for r in judged]) > 0.95
+
+
+# -------------------------------------------------------------------- empty
+
+def test_empty_tables(spark, nothing):
+    assert substrings.remove_repeated_words(nothing).count() == 0
+    assert suffixes.remove_repeated_bytes(nothing).count() == 0
+    assert suffixes.without_repeats(nothing).count() == 0
+    assert minhash.near_duplicates(nothing).count() == 0
+    assert packing.pack(nothing).count() == 0
+    assert mixing.mix(nothing).count() == 0 and mixing.mixed_rows(nothing).count() == 0
+    path = scratch_path(spark, "empty")
+    token_store.write_token_ids(nothing, path)
+    assert token_store.ids_crc32(token_store.read_token_ids(spark, path)).count() == 0
+    path = scratch_path(spark, "empty")
+    sharding.shard(nothing, path)
+    assert language.label(nothing, language.train(nothing.where("lang is not null"))).count() == 0
+    none = spark.createDataFrame([], "vec_id long, embedding array<float>, label int")
+    assert embeddings.near_duplicates(none).count() == 0
+    labels = spark.createDataFrame([], "doc_id long, quality int")
+    assert quality.good_documents(nothing, labels).count() == 0
+
+
+def test_all_ten_are_registered():
+    names = queries.queries()
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert set(queries.oracle_sql()) <= set(names)
+
+
+@pytest.mark.parametrize("name", ["op1_substring_dedup", "op2_embedding_dedup", "op5_minhash_dedup"])
+def test_query_equals_its_sql(spark, sf_dir, name):
+    got = queries.queries()[name](spark, sf_dir).collect()
+    con = duckdb.connect()
+    for t in ("documents", "embeddings"):
+        con.sql(f"create view {t} as from '{sf_dir}/{t}.parquet'")
+    want = con.sql(queries.oracle_sql()[name])
+    assert sorted(tuple(r[c] for c in want.columns) for r in got) == sorted(want.fetchall())
