@@ -1,4 +1,4 @@
-"""Execute every registered query and tabulate its final (AQE) physical
+"""Execute every recommender query and tabulate its final (AQE) physical
 plan: shuffles, broadcasts, join kinds, partial aggregation / top-k,
 pandas kernels, cartesian products and the columns each scan reads.
 Writes PLANS.md.
@@ -40,10 +40,10 @@ def audit(plan: str) -> dict:
 
 def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    import __spark_entry__ as E
+    from recoengine.plans import catalog
     from recoengine.session import build_session
-    spark = build_session("local[8]", shuffle_partitions=8)
-    lines = ["# Physical plans of the registered queries", "",
+    spark = build_session(os.environ.get("RECOENGINE_MASTER", "local[8]"), shuffle_partitions=8)
+    lines = ["# Physical plans of the recommender queries", "",
              f"Final AQE plans after execution at `{os.path.basename(sf_dir)}`, produced by `tools/plan_audit.py`.",
              "Counts are of physical operators. 'scans' lists the columns each Parquet scan reads",
              "(column pruning), 'pushed filters' what reached the scan. Queries that write",
@@ -51,7 +51,7 @@ def main() -> None:
              "| query | shuffles | broadcasts | SMJ | BHJ | BNLJ | cartesian | partial agg | partial top-k |"
              " pandas kernel | scans | pushed filters |",
              "|---|---|---|---|---|---|---|---|---|---|---|---|"]
-    for name, fn in E.queries().items():
+    for name, fn in catalog.queries().items():
         df = fn(spark, sf_dir)
         df.write.format("noop").mode("overwrite").save()
         r = audit(df._jdf.queryExecution().executedPlan().toString())
