@@ -7,7 +7,7 @@ import brute
 import duckdb
 import numpy as np
 import pytest
-from conftest import SCHEMA, edge_rows
+from edge_cases import edge_rows
 from pyspark.sql import functions as F
 
 from recoengine.llm import (components, embeddings, language, minhash, mixing, packing, quality, queries, sharding,
