@@ -47,13 +47,13 @@ def learn_rotation(x: np.ndarray, rounds: int = 30, seed: int = 2) -> tuple[np.n
     """Mean and rotation (ITQ): codes are the signs of (x - mean) @ rotation."""
     mean = x.mean(axis=0)
     centred = x - mean
-    _, _, principal = np.linalg.svd(centred, full_matrices=True)
-    v = centred @ principal.T
+    _, principal = np.linalg.eigh(centred.T @ centred)  # a matrix of dimensions, however many vectors
+    v = centred @ principal
     r = np.linalg.qr(np.random.default_rng(seed).standard_normal((x.shape[1], x.shape[1])))[0]
     for _ in range(rounds):
         u, _, w = np.linalg.svd(np.where(v @ r >= 0, 1.0, -1.0).T @ v)
         r = (u @ w).T
-    return mean, principal.T @ r
+    return mean, principal @ r
 
 
 def flip_sets(cost: np.ndarray, budget: float) -> list[int]:
