@@ -193,7 +193,9 @@ def candidates(found: DataFrame, hot: int) -> tuple[DataFrame, DataFrame]:
                        F.col("a.firsts").alias("first"), F.col("a.lasts").alias("last"))
     shared = each.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("last") - F.col("first") + 1).alias("windows"))
     shared = shared.where("n > 1").select("key", ((F.col("n") > hot) | (F.col("windows") < THIN * F.col("n"))).alias("split"))
-    return classes, each.join(shared, "key")
+    # joined from a table, not from the aggregation: a hot key's partition can
+    # then be split between tasks
+    return classes, each.join(save(shared, "shared-grams"), "key")
 
 
 def packed_texts(docs: DataFrame) -> DataFrame:
@@ -296,7 +298,7 @@ def whole_spans(rows: DataFrame, total: int, bucket_rows: int, kernel: Callable[
 def split_spans(rows: DataFrame, window: int) -> DataFrame:
     """(row, start, end) of repeated windows of split grams."""
     each = rows.where("key is null").select("row", F.col("first").cast("long").alias("start"), "h1", "h2")
-    twice = each.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    twice = save(each.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "repeated-windows")
     return each.join(twice, ["h1", "h2"]).select("row", "start", (F.col("start") + window).alias("end"))
 
 
