@@ -9,6 +9,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from recoengine.llm import tokens
 from recoengine.session import prepare, scratch_path
 
 #: A word: a run of characters that are not space, tab, line feed, vertical
@@ -40,9 +41,14 @@ def text_bytes(col: str | Column) -> Column:
     return F.coalesce(F.octet_length(c), F.lit(0)).cast("long")
 
 
-def byte_chunks(batches: Iterator[pa.RecordBatch], column: str, limit: int = 16 << 20) -> Iterator[pa.RecordBatch]:
+def byte_chunks(batches: Iterator[pa.RecordBatch], column: str, limit: int = 16 << 20,
+                keep_units: bool = False) -> Iterator[pa.RecordBatch]:
     """The batches cut so that no chunk holds more than ``limit`` bytes of
-    ``column`` (one row at least): bounds what a kernel keeps at once."""
+    ``column`` (one row at least): bounds what a kernel keeps at once. A worker
+    serves task after task: unless ``keep_units`` the token units that an
+    earlier stage kept are dropped, and free memory is given back at the end."""
+    if not keep_units:
+        tokens.forget()
     for batch in batches:
         start, used = 0, 0
         sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
@@ -53,6 +59,7 @@ def byte_chunks(batches: Iterator[pa.RecordBatch], column: str, limit: int = 16
             used += n
         if batch.num_rows > start:
             yield batch.slice(start)
+    pa.default_memory_pool().release_unused()
 
 
 def as_bytes(array: pa.Array) -> list[bytes]:

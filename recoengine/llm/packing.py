@@ -137,7 +137,7 @@ def pack(docs: DataFrame, window: int = WINDOW, open_windows: int = OPEN_WINDOWS
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, enc = TaskContext.get().partitionId(), encoder(tokenizer)
         packer = Packer(window, open_windows, task * _TASK)
-        for chunk in byte_chunks(batches, "text", 8 << 20):
+        for chunk in byte_chunks(batches, "text", 8 << 20, keep_units=True):
             for doc, ids in zip(chunk.column("doc_id").to_pylist(), enc(chunk.column("text").to_pylist())):
                 packer.add(doc, 0, ids, len(ids) // 4)
             yield packer.drain()

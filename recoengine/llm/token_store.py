@@ -49,7 +49,7 @@ def write_token_ids(docs: DataFrame, path: str, tokenizer: str | None = None, pa
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, at, enc = TaskContext.get().partitionId(), 0, encoder(tokenizer)
-        for chunk in byte_chunks(batches, "text", 8 << 20):
+        for chunk in byte_chunks(batches, "text", 8 << 20, keep_units=True):
             found = enc(chunk.column("text").to_pylist())
             sizes = np.array([len(x) // 4 for x in found], dtype=np.int64)
             ends = np.cumsum(sizes)

@@ -47,6 +47,11 @@ def encoder(path: str) -> Encoder:
     return _encoders[path]
 
 
+def forget() -> None:
+    """Drop what the worker's encoders keep."""
+    _encoders.clear()
+
+
 class Encoder:
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
