@@ -38,7 +38,7 @@ from recoengine.llm.components import components
 
 COSINE = 0.98
 #: About dimensions / log2(vectors of a label).
-TABLES = 6
+TABLES = 5
 #: Vectors that the rotation is learnt on, at most.
 SAMPLE = 20_000
 
