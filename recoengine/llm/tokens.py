@@ -1,10 +1,12 @@
 """Token ids of whole texts, as little-endian unsigned 32-bit bytes.
 
 The byte-level vocabulary splits a text into pieces that never reach across
-the border between a visible character and a single following space, so a
-text without double spaces is the concatenation of its space-led units. Units
-repeat far more often than texts: each worker encodes a unit once with the
-tokenizers library and keeps its ids, up to ``KEPT_UNITS`` units.
+the border between a visible character and a following space, so a text
+without a space after other white space is the concatenation of its space-led
+units. Units repeat far more often than texts: each worker encodes a unit once
+with the tokenizers library and keeps its ids, up to ``KEPT_UNITS`` units. A
+text with a space after white space of any kind is encoded whole: such a run
+is one piece, and some vocabulary pieces hold several of its spaces.
 """
 
 from __future__ import annotations
@@ -19,6 +21,10 @@ END_ID = 0
 KEPT_UNITS = 900_000
 _encoders: dict[str, Encoder] = {}
 
+#: A space after white space: written with the space first, which the search
+#: for it is quick with. All that the library counts as white space is in ``\s``.
+WHITE_RUN = re.compile(r" (?<=\s )")
+
 #: Units of these characters only are split into the vocabulary's pieces here
 #: (letters, digits, marks, line feeds; others go to the library as they are).
 _LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
@@ -94,9 +100,9 @@ class Encoder:
     def __call__(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text and the end id; null counts as empty."""
         kept, end = self.kept, END_ID.to_bytes(4, "little")
-        # a unit is a space and what follows it up to the next; runs of spaces
-        # are pieces of their own, so such a text is encoded as it is
-        split = [[t] if "  " in t else t.split(" ") for t in (t or "" for t in texts)]
+        # a unit is a space and what follows it up to the next; a run of white
+        # space is a piece of its own, so a text with a space in one is encoded as it is
+        split = [[t] if WHITE_RUN.search(t) else t.split(" ") for t in (t or "" for t in texts)]
         first = self._encode_whole([words[0] for words in split])
         found: list[list] = []
         fresh: set[str] = set()

@@ -170,6 +170,15 @@ def test_encoder_equals_the_library():
             assert np.frombuffer(ids, "<u4").tolist() == reference_ids(case), case
 
 
+def test_white_space_before_a_space_is_encoded_whole():
+    enc = tokens.Encoder(tokens.default_tokenizer())
+    cases = ["x \u00a0 \u00a0 y", "x" + " \u00a0" * 8 + " y", "x" + "\u00a0 " * 8 + "z", "q \u00a0 \u00a0", "\u00a0 \u00a0 \u00a0 q"]
+    cases += [f"x{c} y {c} {c} z {c}" for c in "\t\n\v\f\r\x85\u00a0\u1680\u2003\u2028\u202f\u205f\u3000"]
+    for _ in range(2):
+        for case, ids in zip(cases, enc(cases)):
+            assert np.frombuffer(ids, "<u4").tolist() == reference_ids(case), case
+
+
 def test_encoder_forgets_beyond_its_limit(monkeypatch):
     monkeypatch.setattr(tokens, "KEPT_UNITS", 5)
     enc = tokens.Encoder(tokens.default_tokenizer())
