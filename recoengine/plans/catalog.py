@@ -269,7 +269,7 @@ def q_grid_invariants(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One best cell of a full grid, and it has the least RMSE."""
     prepare(spark)
     path = scratch_path(spark, "grid")
-    als.grid_search(fixtures.ratings(spark, sf_dir), iterations=2).write.parquet(path)
+    als.grid_search(fixtures.ratings(spark, sf_dir)).write.parquet(path)
     grid = spark.read.parquet(path)
     best = als.best_params(grid).select("grid_pos", F.col("rmse").alias("best"))
     return grid.join(F.broadcast(best.withColumnRenamed("grid_pos", "best_pos"))).agg(

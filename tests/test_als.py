@@ -65,3 +65,20 @@ def test_grid_search_with_holdout_scores_held_out_rows(spark):
     ratings = spark.createDataFrame(rows, "uid int, mid int, score double")
     g = als.grid_search(ratings, ranks=(2,), regs=(0.1,), iterations=2, holdout=0.3, parallelism=1).collect()
     assert len(g) == 1 and g[0].rmse is not None and g[0].rmse >= 0
+
+
+def test_grid_query_runs_all_iterations(spark, sf_dir, monkeypatch):
+    import inspect
+
+    from recoengine.plans import catalog
+    real, seen = als.grid_search, []
+
+    def search(*args, **kw):
+        bound = inspect.signature(real).bind(*args, **kw)
+        bound.apply_defaults()
+        seen.append(bound.arguments["iterations"])
+        return real(args[0], ranks=(2, 3), regs=(0.1,), iterations=1)
+
+    monkeypatch.setattr(als, "grid_search", search)
+    assert catalog.q_grid_invariants(spark, sf_dir).first().cells == 2
+    assert seen == [als.ITERATIONS]
