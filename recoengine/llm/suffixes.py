@@ -8,7 +8,8 @@ mergesort orders them by it, a round's comparisons at once. A window that has
 shares ``d`` bytes backwards and the rest forwards: both are read from the
 common extensions of neighbours in the two orders. Extensions that end the sort
 are compared byte by byte; a hash collision sends the bucket through a plain
-comparison of its strings.
+comparison of its strings. Windows of a split gram (over ``HOT`` anchors, or
+under ``THIN`` windows an anchor) are counted as 128-bit hashes instead.
 
 Defined results: a null text has no bytes; a text shorter than a window stays
 whole; equal texts repeat each other whatever their ids; cuts may split a
@@ -34,6 +35,8 @@ WINDOW = 400
 GRAM = 32
 #: Anchors of a gram over which it is split by window.
 HOT = 8192
+#: Windows an anchor on average, below which a gram is split by window too.
+THIN = 16
 BUCKET_ROWS = 3000
 
 
@@ -190,7 +193,7 @@ def _kernel(window: int):
 def repeated_byte_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, hot: int = HOT,
                         bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """(text_key, spans): the byte spans under strings that start elsewhere too."""
-    return repeated_spans(docs, window, gram, False, hot, bucket_rows, _kernel(window))
+    return repeated_spans(docs, window, gram, False, hot, bucket_rows, _kernel(window), THIN)
 
 
 def remove_repeated_bytes(docs: DataFrame, **params) -> DataFrame:

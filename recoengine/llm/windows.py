@@ -12,9 +12,10 @@ are compared is each operator's own.
    which moves compressed, and written once.
 4. ``whole_spans``: the operator compares the contexts of a bucket of grams.
    ``split_spans``: a gram with over ``hot`` anchors is not gathered, and one
-   with few windows an anchor (``THIN``, as in periodic text) is not worth its
-   contexts; each of their windows is a pair of independent 64-bit hashes
-   instead, counted with map-side combination.
+   with under ``thin`` windows an anchor on average (set by op7 alone, whose
+   contexts are long) is not worth its contexts; each of their windows is a
+   pair of independent 64-bit hashes instead, counted with map-side combination
+   and not compared again.
 5. ``spans_by_text``: the runs of repeated windows by text.
 """
 
@@ -35,8 +36,6 @@ from recoengine.llm.common import as_bytes, byte_chunks, save
 
 #: Bits that an anchor's place takes in the order of grams; a text is shorter.
 _PLACE_BITS = 28
-#: Windows an anchor on average, below which a gram's windows are split.
-THIN = 16
 
 
 def _odd_numbers(seed: int, n: int) -> np.ndarray:
@@ -180,11 +179,12 @@ def anchors(docs: DataFrame, window: int, gram: int, words: bool, id_type: str)
     return rows.mapInArrow(kernel, ANCHORS.format(id=id_type))
 
 
-def candidates(found: DataFrame, hot: int) -> tuple[DataFrame, DataFrame]:
+def candidates(found: DataFrame, hot: int, thin: int) -> tuple[DataFrame, DataFrame]:
     """(classes, candidates) of a saved ``anchors`` table. classes: (class_key,
     copies, n_units, row) with the row that stands for the class. candidates:
     (doc_id, text_key, row, key, split, place, first, last), one row for each
-    anchor of such a row whose gram occurs twice or more."""
+    anchor of such a row whose gram occurs twice or more; ``split`` if it has over
+    ``hot`` anchors or under ``thin`` windows an anchor."""
     classes = found.groupBy("class_key").agg(F.count(F.lit(1)).alias("copies"), F.first("n_units").alias("n_units"),
                                              F.min("row").alias("row"))
     stand = found.where(F.size("keys") > 0).join(classes.select("row"), "row")
@@ -192,7 +192,7 @@ def candidates(found: DataFrame, hot: int) -> tuple[DataFrame, DataFrame]:
     each = each.select("doc_id", "text_key", "row", F.col("a.keys").alias("key"), F.col("a.places").alias("place"),
                        F.col("a.firsts").alias("first"), F.col("a.lasts").alias("last"))
     shared = each.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("last") - F.col("first") + 1).alias("windows"))
-    shared = shared.where("n > 1").select("key", ((F.col("n") > hot) | (F.col("windows") < THIN * F.col("n"))).alias("split"))
+    shared = shared.where("n > 1").select("key", ((F.col("n") > hot) | (F.col("windows") < F.lit(thin) * F.col("n"))).alias("split"))
     # joined from a table, not from the aggregation: a hot key's partition can
     # then be split between tasks
     return classes, each.join(save(shared, "shared-grams"), "key")
@@ -326,10 +326,10 @@ def merged_runs(spans: list[dict]) -> list[tuple[int, int]]:
 
 
 def repeated_spans(docs: DataFrame, window: int, gram: int, words: bool, hot: int, bucket_rows: int,
-                   kernel: Callable[[pa.Table], tuple]) -> DataFrame:
+                   kernel: Callable[[pa.Table], tuple], thin: int = 0) -> DataFrame:
     """(text_key, spans) of the texts of ``docs`` (doc_id, text)."""
     found = save(anchors(docs, window, gram, words, docs.schema["doc_id"].dataType.simpleString()), "anchors")
-    classes, cand = candidates(found, hot)
+    classes, cand = candidates(found, hot, thin)
     cand = save(cand, "candidates")
     counts = {r["split"]: r["count"] for r in cand.groupBy("split").count().collect()}  # two rows at most
     rows = save(contexts(docs, cand, window, words), "contexts")

@@ -11,7 +11,7 @@ from edge_cases import edge_rows
 from pyspark.sql import functions as F
 
 from recoengine.llm import (components, embeddings, language, minhash, mixing, packing, quality, queries, sharding,
-                            substrings, suffixes, token_store, tokens)
+                            substrings, suffixes, token_store, tokens, windows)
 from recoengine.session import scratch_path
 
 
@@ -43,6 +43,18 @@ def test_repeated_bytes_equal_brute_force(edge, hot, window, gram):
         sorted(((r[0], *w) for r, w in zip(edge_rows(), want)), key=repr)
 
 
+def test_ordinary_minimisers_are_not_split(spark, monkeypatch):
+    rng = random.Random(6)
+    words = [f"w{rng.randrange(5000)}" for _ in range(3000)]
+    data = [(1, "first " + " ".join(words)), (2, "second " + " ".join(words)), (3, "third " + " ".join(words[500:]))]
+    path = scratch_path(spark, "ordinary")
+    spark.createDataFrame(data, "doc_id long, text string").write.parquet(path)
+    real, split = windows.split_spans, []
+    monkeypatch.setattr(windows, "split_spans", lambda rows, window: split.append(rows) or real(rows, window))
+    assert substrings.repeated_word_spans(spark.read.parquet(path)).count() == 3
+    assert not split
+
+
 def test_suffix_order_is_the_order_of_strings():
     rng = random.Random(1)
     for alphabet in (b"ab", b"abcdefgh"):
