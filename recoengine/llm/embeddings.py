@@ -1,6 +1,6 @@
 """Embedding near-dedup by iterative quantisation and multi-index tables.
 
-A rotation is learnt (ITQ) that makes the signs of centred unit vectors balanced
+For each length of vectors a rotation is learnt (ITQ) that makes the signs of centred unit vectors balanced
 codes of one bit a dimension. The code is cut into ``tables`` substrings, one
 hash table each. A vector is posted under its own substrings and looked up
 under neighbouring ones; pairs that meet are compared by the cosine of the
@@ -13,13 +13,14 @@ sizes add up to what they differ by, so over those coordinates the squares of
 one of the two vectors sum to half of that budget at most: flipping each set of
 its coordinates with such a sum reaches the other's substring.
 
-Equal vectors of a label are one class with a count. The rotation is learnt on
-at most ``SAMPLE`` vectors (smallest hash of their id); all vectors are indexed.
+Equal vectors of a label are one class with a count. The rotations are learnt on
+at most ``SAMPLE`` vectors in all (smallest hash of their id); a length with
+fewer sampled vectors than dimensions keeps its axes, centred on those sampled.
+All vectors are indexed, under their length and label.
 
 Defined results: a vector that is null, zero, holds null or non-finite
-components or has a null label links with nothing; vectors of other lengths
-than most (the most frequent length of the sample) link only with equals; a
-zero vector has no equals; rows with equal ids are separate vectors for the
+components or has a null label links with nothing; vectors link with those of
+their own length only; a zero vector has no equals; rows with equal ids are separate vectors for the
 links and share a component id; an empty table gives no rows.
 """
 
@@ -30,6 +31,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -81,6 +83,15 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1).astype(np.float64)
 
 
+def _by_length(batch: pa.RecordBatch, column: str, rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """The batch in parts of ``rows`` rows at most whose vectors have one length."""
+    sizes = pc.list_value_length(batch.column(column))
+    for n in pc.unique(sizes):
+        own = batch.filter(pc.equal(sizes, n))
+        for at in range(0, own.num_rows, rows):
+            yield own.slice(at, rows)
+
+
 def _codes(r: np.ndarray, tables: int) -> tuple[list[np.ndarray], np.ndarray]:
     """The substrings' coordinates and each row's code in each."""
     parts = np.array_split(np.arange(r.shape[1]), tables)
@@ -98,18 +109,23 @@ def similar_pairs(classes: DataFrame, cosine: float = COSINE, tables: int = TABL
     spark = classes.sparkSession
     if not len(some):
         return spark.createDataFrame([], "a long, b long")
-    sizes = some.map(len)
-    dim = int(sizes.mode()[0])
-    mean, rotation = learn_rotation(_unit(np.stack([np.asarray(v, dtype=np.float64) for v in some[sizes == dim]])))
-    tables = min(tables, dim)
-    budget = _budget(cosine, tables)
+    learnt: dict[int, tuple[np.ndarray, np.ndarray | None]] = {}
+    for dim, own in some.groupby(some.map(len)):
+        x = _unit(np.stack([np.asarray(v, dtype=np.float64) for v in own]))
+        learnt[int(dim)] = learn_rotation(x) if len(x) >= dim else (x.mean(axis=0), None)
+
+    def turned(vectors: np.ndarray) -> np.ndarray:
+        mean, rotation = learnt.get(vectors.shape[1], (0.0, None))  # the lookups are exact under any
+        centred = _unit(vectors) - mean
+        return centred if rotation is None else centred @ rotation
 
     def post(batches: Iterator[pa.RecordBatch], lookups: bool) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for at in range(0, b.num_rows, 1000):
-                some = b.slice(at, 1000)
-                r = (_unit(_matrix(some.column("vector"))) - mean) @ rotation
-                parts, codes = _codes(r, tables)
+            for some in _by_length(b, "vector"):
+                r = turned(_matrix(some.column("vector")))
+                dim = r.shape[1]
+                parts, codes = _codes(r, min(tables, dim))
+                budget = _budget(cosine, len(parts))
                 row, where, code = [], [], []
                 for t, p in enumerate(parts):
                     for i in range(len(r)):
@@ -118,23 +134,23 @@ def similar_pairs(classes: DataFrame, cosine: float = COSINE, tables: int = TABL
                         where += [t] * len(found)
                         code += [int(codes[i, t]) ^ m for m in found]
                 picked = some.take(pa.array(row, pa.int64()))
-                yield pa.RecordBatch.from_arrays([picked.column("id"), picked.column("label"), pa.array(where, pa.int32()), pa.array(code, pa.int64())],
-                                                 ["id", "label", "t", "code"])
-
-    regular = classes.where(F.size("vector") == dim)
-    ddl = "id long, label int, t int, code long"
-    posted = regular.mapInArrow(partial(post, lookups=False), ddl).withColumnRenamed("id", "b")
-    looked = regular.mapInArrow(partial(post, lookups=True), ddl).withColumnRenamed("id", "a")
-    meet = looked.join(posted, ["label", "t", "code"]).where("a != b")
+                yield pa.RecordBatch.from_arrays([picked.column("id"), picked.column("label"), pa.array(np.full(len(row), dim, dtype=np.int32)),
+                                                  pa.array(where, pa.int32()), pa.array(code, pa.int64())], ["id", "label", "dim", "t", "code"])
+
+    ddl = "id long, label int, dim int, t int, code long"
+    posted = classes.mapInArrow(partial(post, lookups=False), ddl).withColumnRenamed("id", "b")
+    looked = classes.mapInArrow(partial(post, lookups=True), ddl).withColumnRenamed("id", "a")
+    meet = looked.join(posted, ["label", "dim", "t", "code"]).where("a != b")
     meet = meet.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    vectors = regular.select("id", "vector")
+    vectors = classes.select("id", "vector")
     meet = meet.join(vectors.withColumnsRenamed({"id": "a", "vector": "u"}), "a").join(vectors.withColumnsRenamed({"id": "b", "vector": "v"}), "b")
 
     def rerank(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            u, v = _matrix(b.column("u")), _matrix(b.column("v"))
-            near = pa.array((u * v).sum(axis=1) / (np.linalg.norm(u, axis=1) * np.linalg.norm(v, axis=1)) >= cosine)
-            yield pa.RecordBatch.from_arrays([b.column("a").filter(near), b.column("b").filter(near)], ["a", "b"])
+        for batch in batches:
+            for b in _by_length(batch, "u"):
+                u, v = _matrix(b.column("u")), _matrix(b.column("v"))
+                near = pa.array((u * v).sum(axis=1) / (np.linalg.norm(u, axis=1) * np.linalg.norm(v, axis=1)) >= cosine)
+                yield pa.RecordBatch.from_arrays([b.column("a").filter(near), b.column("b").filter(near)], ["a", "b"])
 
     return meet.select("a", "b", "u", "v").mapInArrow(rerank, "a long, b long")
 

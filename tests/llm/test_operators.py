@@ -157,6 +157,27 @@ def test_vector_links_equal_brute_force(spark):
     assert all(got[i].n_links == 0 and got[i].kept for i, _, _ in odd)
 
 
+@pytest.mark.parametrize("sample", [20_000, 40, 1])
+def test_vectors_of_every_length_are_linked(spark, sample):
+    rng = np.random.default_rng(7)
+    data, i = [], 0
+    for dim, groups in ((16, 15), (8, 9), (3, 4), (1, 2)):
+        for _ in range(groups):
+            c = rng.standard_normal(dim)
+            for _ in range(4):
+                v = c + 0.03 * rng.standard_normal(dim) * np.linalg.norm(c) / dim ** 0.5
+                data.append((i, [float(x) for x in np.float32(v)], i % 2))
+                i += 1
+    df = spark.createDataFrame(data, "vec_id long, embedding array<float>, label int")
+    got = {r.vec_id: r.n_links for r in embeddings.near_duplicates(df, sample=sample).collect()}
+    want = Counter()
+    for a, u, k in data:
+        for b, v, m in data:
+            if a != b and k == m and len(u) == len(v):
+                want[a] += bool(np.dot(u, v) / (np.linalg.norm(u) * np.linalg.norm(v)) >= 0.98)
+    assert got == {a: want[a] for a, _, _ in data} and min(got.values()) >= 1
+
+
 def test_codes_are_balanced():
     x = np.random.default_rng(1).standard_normal((2000, 16)) + 3
     mean, r = embeddings.learn_rotation(x)
