@@ -1,8 +1,8 @@
 """Embedding near-dedup by iterative quantisation and multi-index tables.
 
 For each length of vectors a rotation is learnt (ITQ) that makes the signs of centred unit vectors balanced
-codes of one bit a dimension. The code is cut into ``tables`` substrings, one
-hash table each. A vector is posted under its own substrings and looked up
+codes of one bit a dimension. The code is cut into substrings, one hash table
+each; their number follows from the dimensions and the counted vectors. A vector is posted under its own substrings and looked up
 under neighbouring ones; pairs that meet are compared by the cosine of the
 original vectors in double precision.
 
@@ -26,6 +26,7 @@ links and share a component id; an empty table gives no rows.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from functools import partial
 
@@ -39,8 +40,8 @@ from recoengine.llm.common import save, table
 from recoengine.llm.components import components
 
 COSINE = 0.98
-#: About dimensions / log2(vectors of a label).
-TABLES = 5
+#: Bits that a substring may have, as its code is an int64.
+MOST_BITS = 62
 #: Vectors that the rotation is learnt on, at most.
 SAMPLE = 20_000
 
@@ -98,17 +99,28 @@ def _codes(r: np.ndarray, tables: int) -> tuple[list[np.ndarray], np.ndarray]:
     return parts, np.stack([((r[:, p] >= 0) * (1 << np.arange(len(p)))).sum(axis=1) for p in parts], axis=1)
 
 
+def table_count(dim: int, largest: int, tables: int | None = None) -> int:
+    """Number of substrings: dimensions / log2(vectors of the largest label), so
+    that a substring has about as many values as there are vectors, or
+    ``tables``; as many at least as ``MOST_BITS`` asks for."""
+    wanted = tables or round(dim / math.log2(max(largest, 2)))
+    return min(dim, max(wanted, math.ceil(dim / MOST_BITS)))
+
+
 def _budget(cosine: float, tables: int) -> float:
     return (2 - 2 * cosine) / tables / 2 * (1 + 1e-6) + 1e-9
 
 
-def similar_pairs(classes: DataFrame, cosine: float = COSINE, tables: int = TABLES, sample: int = SAMPLE) -> DataFrame:
+def similar_pairs(classes: DataFrame, cosine: float = COSINE, tables: int | None = None, sample: int = SAMPLE) -> DataFrame:
     """(a, b), a < b: pairs of rows of ``classes`` (id, label, vector) with equal
     labels and a cosine of at least ``cosine``."""
     some = classes.select("id", "vector").orderBy(F.xxhash64("id"), "id").limit(sample).toPandas()["vector"]
     spark = classes.sparkSession
     if not len(some):
         return spark.createDataFrame([], "a long, b long")
+    # one row a length
+    largest = classes.groupBy(F.size("vector").alias("dim"), "label").count().groupBy("dim").agg(F.max("count").alias("n"))
+    number = {r["dim"]: table_count(r["dim"], r["n"], tables) for r in largest.collect()}
     learnt: dict[int, tuple[np.ndarray, np.ndarray | None]] = {}
     for dim, own in some.groupby(some.map(len)):
         x = _unit(np.stack([np.asarray(v, dtype=np.float64) for v in own]))
@@ -124,7 +136,7 @@ def similar_pairs(classes: DataFrame, cosine: float = COSINE, tables: int = TABL
             for some in _by_length(b, "vector"):
                 r = turned(_matrix(some.column("vector")))
                 dim = r.shape[1]
-                parts, codes = _codes(r, min(tables, dim))
+                parts, codes = _codes(r, number[dim])
                 budget = _budget(cosine, len(parts))
                 row, where, code = [], [], []
                 for t, p in enumerate(parts):

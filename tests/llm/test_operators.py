@@ -178,6 +178,20 @@ def test_vectors_of_every_length_are_linked(spark, sample):
     assert got == {a: want[a] for a, _, _ in data} and min(got.values()) >= 1
 
 
+def test_long_vectors_are_linked(spark):
+    rng = np.random.default_rng(8)
+    c = rng.standard_normal((3, 400))
+    vectors = [*c, *(c + 0.02 * rng.standard_normal((3, 400)))]
+    df = spark.createDataFrame([(i, [float(x) for x in v], 0) for i, v in enumerate(vectors)], "vec_id long, embedding array<float>, label int")
+    got = {r.vec_id: r.component_id for r in embeddings.near_duplicates(df).collect()}  # five substrings of 80 bits would not fit
+    assert got == {0: 0, 1: 1, 2: 2, 3: 0, 4: 1, 5: 2}
+
+
+def test_tables_follow_the_counted_vectors():
+    assert [embeddings.table_count(64, n) for n in (1, 1200, 5700, 10**7)] == [64, 6, 5, 3]
+    assert embeddings.table_count(1, 1) == 1 and embeddings.table_count(1000, 10**9, tables=1) == 17
+
+
 def test_codes_are_balanced():
     x = np.random.default_rng(1).standard_normal((2000, 16)) + 3
     mean, r = embeddings.learn_rotation(x)
