@@ -1,13 +1,14 @@
 """Global shuffle into shards by a two-pass external shuffle.
 
-Pass 1 scatters the rows uniformly, by a seeded hash of the id, into buckets
-of a size that a task holds in memory. Pass 2 shuffles each bucket by
+Pass 1 scatters the rows uniformly, by a seeded hash of id and text, into
+buckets of a size that a task holds in memory. Where rows of one id and text
+have a good part of a bucket's bytes, they are numbered and scattered by their
+number too. Pass 2 shuffles each bucket by
 Fisher-Yates with a generator seeded by the bucket and deals its rows to the
 shards in turn, going on where the bucket before it stopped. So the buckets in
 order are one random permutation, and the shards' counts differ by one at most.
 
-Defined results: a null text has no bytes; a row with a null id is scattered by
-its text; equal rows stay separate rows; an empty table gives no rows; further
+Defined results: a null text has no bytes; equal rows stay separate rows; an empty table gives no rows; further
 columns travel with their row.
 """
 
@@ -15,21 +16,25 @@ from __future__ import annotations
 
 import math
 import random
-from collections.abc import Callable
+from collections import Counter
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from recoengine.llm.common import table, text_bytes
+from recoengine.llm.common import save, table, text_bytes
 from recoengine.session import scratch_path
 
 SHARDS = 24
 SEED = 8
 #: Bytes of text that a bucket holds on average.
 BUCKET_BYTES = 16 << 20
+#: Share of a bucket's bytes above which rows of one id and text are spread.
+SPREAD = 1 / 8
 
 
 def fisher_yates(n: int, rng: random.Random) -> np.ndarray:
@@ -43,26 +48,55 @@ def fisher_yates(n: int, rng: random.Random) -> np.ndarray:
 def _deal(starts: dict[int, int], shards: int, seed: int) -> Callable[[pa.Table], pa.Table]:
     def deal(rows: pa.Table) -> pa.Table:
         bucket = rows.column("__bucket")[0].as_py()
-        rows = rows.sort_by([("__hash", "ascending"), ("__tie", "ascending")])
+        rows = rows.sort_by([("__hash", "ascending")])
         rows = rows.take(pa.array(fisher_yates(rows.num_rows, random.Random(f"{seed}:{bucket}"))))
         place = starts[bucket] + np.arange(rows.num_rows, dtype=np.int64)
-        rows = rows.drop_columns(["__bucket", "__hash", "__tie"])
+        rows = rows.drop_columns(["__bucket", "__hash"])
         return (rows.append_column("shard", pa.array((place % shards).astype(np.int32)))
                 .append_column("slot", pa.array(place // shards)))
 
     return deal
 
 
+def _numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Adds the task and each row's number among the task's rows of its hash."""
+    task, seen = TaskContext.get().partitionId(), Counter()
+    for b in batches:
+        at = []
+        for h in b.column("__hash").to_pylist():
+            at.append(seen[h])
+            seen[h] += 1
+        yield pa.RecordBatch.from_arrays([*b.columns, pa.array(np.full(len(at), task, dtype=np.int32)), pa.array(at, pa.int64())],
+                                         [*b.schema.names, "__task", "__at"])
+
+
+def _spread(rows: DataFrame, heavy: DataFrame, seed: int) -> DataFrame:
+    """The rows, those of ``heavy`` hashes with a hash of their own: they are
+    counted by task, and each takes a number from 0 on among its equals."""
+    heavy = F.broadcast(heavy)  # as many as buckets, by a factor of 1 / SPREAD at most
+    numbered = T.StructType([*rows.schema, T.StructField("__task", T.IntegerType()), T.StructField("__at", T.LongType())])
+    equals = save(rows.join(heavy, "__hash", "left_semi").select(rows.columns).mapInArrow(_numbered, numbered), "equal-rows")
+    counts = equals.groupBy("__hash", "__task").agg(F.count(F.lit(1)).alias("__n"))
+    before = F.sum("__n").over(Window.partitionBy("__hash").orderBy("__task")) - F.col("__n")
+    first = counts.select("__hash", "__task", before.alias("__first"))
+    own = equals.join(F.broadcast(first), ["__hash", "__task"]).withColumn(
+        "__hash", F.xxhash64(F.lit(seed), F.col("__hash"), F.col("__first") + F.col("__at")))
+    return rows.join(heavy, "__hash", "left_anti").select(rows.columns).unionByName(own.select(rows.columns))
+
+
 def shard(docs: DataFrame, path: str, shards: int = SHARDS, seed: int = SEED, bucket_bytes: int = BUCKET_BYTES,
           id_col: str = "doc_id", text_col: str = "text") -> None:
     """Write the rows as Parquet to ``path``, a folder for each shard; ``slot``
     numbers a shard's rows from 0."""
-    key = F.coalesce(F.col(id_col).cast("string"), F.col(text_col), F.lit(""))
-    hashed = F.xxhash64(F.lit(seed), key)
+    hashed = F.xxhash64(F.lit(seed), F.col(id_col).cast("string"), F.col(id_col).isNull(), F.col(text_col))
     # a count and a sum: the number of buckets follows the bytes
     size = docs.agg(F.sum(text_bytes(text_col) + 64)).first()[0] or 0
     n = max(1, math.ceil(size / bucket_bytes))
-    rows = docs.withColumn("__hash", hashed).withColumn("__tie", F.xxhash64(F.col(text_col)))
+    rows = docs.withColumn("__hash", hashed)
+    sizes = rows.groupBy("__hash").agg(F.count(F.lit(1)).alias("n"), F.sum(text_bytes(text_col) + 64).alias("bytes"))
+    heavy = save(sizes.where((F.col("n") > 1) & (F.col("bytes") > SPREAD * bucket_bytes)).select("__hash"), "heavy-rows")
+    if n > 1 and heavy.limit(1).count():
+        rows = _spread(rows, heavy, seed)
     rows = rows.withColumn("__bucket", F.pmod(F.col("__hash"), F.lit(n)).cast("int"))
     # one row a bucket
     counts = sorted((r["__bucket"], r["count"]) for r in rows.groupBy("__bucket").count().collect())

@@ -344,6 +344,29 @@ def test_shards_hold_every_row_once(spark, edge):
         sorted(((r.doc_id, r.text, r.shard, r.slot) for r in got), key=repr)
 
 
+@pytest.mark.parametrize("same_text", [False, True])
+def test_rows_of_one_id_are_spread_over_buckets(spark, monkeypatch, same_text):
+    real, sizes = sharding._deal, spark.sparkContext.accumulator(0)
+
+    def deal(starts, *args):
+        at = sorted(starts.values())
+        sizes.add(max(b - a for a, b in zip(at, [*at[1:], len(data)])))
+        return real(starts, *args)
+
+    data = [(None if same_text and i % 2 else 7, "t" * 100 if same_text else f"{i:0100}", i) for i in range(600)]
+    data += [(1000 + i, "u" * 100, i) for i in range(600)]
+    monkeypatch.setattr(sharding, "_deal", deal)
+    placed = []
+    for parts in (5, 3):
+        path = scratch_path(spark, "one-id")
+        df = spark.createDataFrame(data, "doc_id long, text string, extra int").repartition(parts)
+        sharding.shard(df, path, shards=4, bucket_bytes=8200)  # 24 buckets, 50 rows each on average
+        got = sharding.read_shards(spark, path, df.schema)
+        assert rows(got, "doc_id", "text", "extra") == sorted(data, key=repr)
+        placed.append(rows(got, "doc_id", "text", "shard", "slot"))
+    assert placed[0] == placed[1] and sizes.value < 2 * 100
+
+
 def test_fisher_yates_is_uniform():
     seen = Counter(tuple(sharding.fisher_yates(3, random.Random(i)).tolist()) for i in range(3000))
     assert len(seen) == 6 and min(seen.values()) > 400
