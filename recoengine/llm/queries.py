@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from recoengine.llm import embeddings, language, minhash, mixing, packing, quality, sharding, substrings, suffixes, token_store
+from recoengine.llm import conversations, embeddings, html_text, language, minhash, mixing, packing, quality, resampling, sharding, substrings, suffixes, token_store
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,6 +23,9 @@ def queries() -> dict[str, Query]:
         "op8_shard": sharding.op8_shard,
         "op9_language": language.op9_language,
         "op10_quality": quality.op10_quality,
+        "op11_importance_resampling": resampling.op11_importance_resampling,
+        "op12_conversation_repair": conversations.op12_conversation_repair,
+        "op13_html_extraction": html_text.op13_html_extraction,
     }
 
 
@@ -32,4 +35,5 @@ def oracle_sql() -> dict[str, str]:
         "op2_embedding_dedup": embeddings.ORACLE,
         "op4_mix_sources": mixing.ORACLE,
         "op5_minhash_dedup": minhash.ORACLE,
+        "op11_importance_resampling": resampling.ORACLE,
     }
