@@ -5,7 +5,7 @@ Consecutive 35-word windows with the same minimiser travel as one packed string
 by prefix doubling over word numbers: ranks of 1, 2, 4, ... 32 words and then
 of two overlapping runs for the whole window. Equal ranks are equal windows,
 without hashing. Only a minimiser with over ``HOT`` anchors is split instead:
-its windows are counted as 128-bit hashes and not compared again. Every word
+its windows are counted as 128-bit digests of their bytes. Every word
 under a window found twice goes.
 
 Minimisers seen once, and copies of a document, are settled on narrow rows

@@ -6,10 +6,10 @@ search find the common extension of two suffixes in logarithmic time, and a
 mergesort orders them by it, a round's comparisons at once. A window that has
 ``d`` bytes before its anchor is repeated if another suffix of the same anchor
 shares ``d`` bytes backwards and the rest forwards: both are read from the
-common extensions of neighbours in the two orders. Extensions that end the sort
-are compared byte by byte; a hash collision sends the bucket through a plain
-comparison of its strings. Windows of a split gram (over ``HOT`` anchors, or
-under ``THIN`` windows an anchor) are counted as 128-bit hashes instead.
+common extensions of neighbours in the two orders. Neighbours in the finished
+order are compared byte by byte; a hash collision sends the bucket through a
+plain comparison of its strings. Windows of a split gram (over ``HOT`` anchors, or
+under ``THIN`` windows an anchor) are counted as 128-bit digests instead.
 
 Defined results: a null text has no bytes; a text shorter than a window stays
 whole; equal texts repeat each other whatever their ids; cuts may split a
@@ -61,9 +61,10 @@ class Suffixes:
             open_ = low < high
         return low
 
-    def before(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        """Whether string a sorts before b, ties by number."""
-        n = self.common(a, b)
+    def before(self, a: np.ndarray, b: np.ndarray, n: np.ndarray | None = None) -> np.ndarray:
+        """Whether string a sorts before b, ties by number; ``n``: their common
+        prefixes, where known."""
+        n = self.common(a, b) if n is None else n
         end_a, end_b = n == self.length[a], n == self.length[b]
         last = len(self.buffer) - 1
         ca = np.where(end_a, -1, self.buffer[np.minimum(self.start[a] + n, last)].astype(np.int64))
@@ -105,7 +106,8 @@ class Suffixes:
 
     def neighbours(self, order: np.ndarray, group: np.ndarray) -> np.ndarray:
         """Common prefix of each string in the order with the one before it (-1
-        at a group's first), verified by bytes."""
+        at a group's first). Verified by bytes, as is that the one before does
+        sort before it: then the whole order holds, whatever collided."""
         common = np.full(len(order), -1, dtype=np.int64)
         same = np.flatnonzero(group[order[1:]] == group[order[:-1]]) + 1
         a, b = order[same - 1], order[same]
@@ -119,6 +121,8 @@ class Suffixes:
             right = self.buffer[np.minimum(self.start[b[i:i + 4096], None] + reach, last)]
             if ((left != right) & (reach < n[:, None])).any():
                 raise Collision
+        if not self.before(a, b, found).all():
+            raise Collision
         common[same] = found
         return common
 

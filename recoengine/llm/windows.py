@@ -14,8 +14,8 @@ are compared is each operator's own.
    ``split_spans``: a gram with over ``hot`` anchors is not gathered, and one
    with under ``thin`` windows an anchor on average (set by op7 alone, whose
    contexts are long) is not worth its contexts; each of their windows is a
-   pair of independent 64-bit hashes instead, counted with map-side combination
-   and not compared again.
+   128-bit digest of its bytes (BLAKE2b) instead, counted with map-side
+   combination.
 5. ``spans_by_text``: the runs of repeated windows by text.
 """
 
@@ -43,7 +43,9 @@ def _odd_numbers(seed: int, n: int) -> np.ndarray:
 
 
 class PrefixHash:
-    """Polynomial prefix hashes modulo 2**64 of a sequence of unit codes."""
+    """Polynomial prefix hashes modulo 2**64 of a sequence of unit codes. Fast,
+    but regular strings (as in a Thue-Morse pattern) collide under every base:
+    for grouping and for comparisons that are verified, not for equality."""
 
     def __init__(self, codes: np.ndarray, seed: int) -> None:
         base = int(_odd_numbers(seed, 1)[0])
@@ -90,9 +92,28 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def group_runs(codes: np.ndarray, length: int, seed: int) -> np.ndarray:
+    """A polynomial hash of every run of ``length`` codes, comparable across
+    sequences; equal hashes need not be equal runs."""
+    return mix(normalised(PrefixHash(codes, seed).all(length), len(codes), seed) + np.uint64(length))
+
+
+_KEYS = _odd_numbers(64, 64)
+
+
+def chained(state: np.ndarray, code: np.ndarray, seed: int) -> np.ndarray:
+    """One step of a chain of hashes: a bijection of the state for each code and
+    of the code for each state, without the linearity of a polynomial."""
+    return mix(state * _KEYS[seed % 64] + mix(code ^ _KEYS[(seed + 1) % 64]))
+
+
 def hash_runs(codes: np.ndarray, length: int, seed: int) -> np.ndarray:
     """A hash of every run of ``length`` codes, comparable across sequences."""
-    return mix(normalised(PrefixHash(codes, seed).all(length), len(codes), seed) + np.uint64(length))
+    n = max(0, len(codes) - length + 1)
+    out = np.full(n, length, dtype=np.uint64)
+    for i in range(length):
+        out = chained(out, codes[i:i + n], seed)
+    return out
 
 
 def sliding_min(x: np.ndarray, width: int) -> np.ndarray:
@@ -113,13 +134,36 @@ _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 
 
+#: Bytes of a word that are hashed eight at a time; longer words are digested.
+_LONG_WORD = 64
+
+
 def word_codes(text: np.ndarray, seed: int = 1) -> tuple[np.ndarray, np.ndarray]:
-    """A 64-bit code of each word, and the byte at which each begins."""
+    """A 64-bit code of each word, and the byte at which each begins. Words of
+    one length up to eight bytes never share a code."""
     gap = np.concatenate([[True], _SPACE[text], [True]])
     edge = np.flatnonzero(gap[1:] != gap[:-1])
     starts, ends = edge[::2], edge[1::2]
-    hashes = PrefixHash(byte_codes(text, seed), seed).of(starts, ends - starts)
-    return mix(normalised(hashes, len(text), seed) + (ends - starts).astype(np.uint64)), starts
+    size = ends - starts
+    padded = np.concatenate([text, np.zeros(8, dtype=np.uint8)])
+    # the eight bytes from each byte on, little end first
+    eight = np.lib.stride_tricks.as_strided(padded, (len(text) + 1, 8), (1, 1))
+    code = size.astype(np.uint64)
+    at = np.arange(len(starts))
+    for j in range(0, _LONG_WORD, 8):
+        if j:
+            at = at[size[at] > j]
+        if not len(at):
+            break
+        part = np.ascontiguousarray(eight[starts[at] + j]).view("<u8").ravel()
+        left = np.minimum(size[at] - j, 8).astype(np.uint64)
+        part &= ~np.uint64(0) >> (np.uint64(64) - np.uint64(8) * left)
+        code[at] = chained(code[at], part, seed)
+    whole = text.tobytes() if (size > _LONG_WORD).any() else b""
+    for i in np.flatnonzero(size > _LONG_WORD).tolist():
+        digest = hashlib.blake2b(whole[starts[i]:ends[i]], digest_size=8, key=seed.to_bytes(8, "little")).digest()
+        code[i] = int.from_bytes(digest, "little")
+    return code, starts
 
 
 def _anchor_rows(codes: np.ndarray, window: int, gram: int, starts: np.ndarray, ends: np.ndarray) -> tuple:
@@ -130,7 +174,7 @@ def _anchor_rows(codes: np.ndarray, window: int, gram: int, starts: np.ndarray,
         return empty, empty, empty, empty, empty
     if len(codes) >= 1 << _PLACE_BITS:
         raise ValueError(f"a text of over {(1 << _PLACE_BITS) - 1} units")
-    grams = hash_runs(codes, gram, 3)
+    grams = group_runs(codes, gram, 3)
     order = (grams >> np.uint64(_PLACE_BITS) << np.uint64(_PLACE_BITS)) | np.arange(len(grams), dtype=np.uint64)
     least = sliding_min(order, window - gram + 1)
     place = (least & np.uint64((1 << _PLACE_BITS) - 1)).astype(np.int64)
@@ -217,33 +261,25 @@ def unpacked(packed: pa.Array) -> list[bytes]:
     return [expand(x) for x in packed.to_pylist()]
 
 
-def _window_hashes(units: list[bytes], window: int, words: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(context, window within it, two hashes) of each window."""
-    joined = np.frombuffer(b"\n".join(units), dtype=np.uint8)
-    ends = np.cumsum([len(u) + 1 for u in units]) - 1
-    starts = ends - [len(u) for u in units]
-    pair = []
-    for seed in (11, 12):
-        if words:
-            codes, at = word_codes(joined, seed)
-            lo, hi = np.searchsorted(at, starts), np.searchsorted(at, ends)
-        else:
-            codes, lo, hi = byte_codes(joined, seed), starts, ends
-        pair.append(hash_runs(codes, window, seed))
-    counts = np.maximum(hi - lo - window + 1, 0)
-    own = np.repeat(np.arange(len(units)), counts)
-    step = np.arange(len(own)) - np.repeat(np.cumsum(counts) - counts, counts)
-    at = lo[own] + step
-    return own, step, pair[0][at].view(np.int64), pair[1][at].view(np.int64)
+def _window_digests(unit: bytes, window: int, words: bool) -> list[bytes]:
+    """A 128-bit digest of the bytes of each window; words are joined by one
+    space in ``unit``."""
+    if words:
+        gaps = np.flatnonzero(np.frombuffer(unit, dtype=np.uint8) == 0x20).tolist()
+        starts, ends = [0, *[g + 1 for g in gaps]], [*gaps, len(unit)]
+        cuts = zip(starts, ends[window - 1:])
+    else:
+        cuts = ((i, i + window) for i in range(len(unit) - window + 1))
+    return [hashlib.blake2b(unit[a:b], digest_size=16).digest() for a, b in cuts]
 
 
-CONTEXTS = "row long, first int, key long, lead int, units binary, h1 long, h2 long"
+CONTEXTS = "row long, first int, key long, lead int, units binary, digest binary"
 
 
 def contexts(docs: DataFrame, cand: DataFrame, window: int, words: bool) -> DataFrame:
     """(row, first, key, lead, units) for each candidate: the units of its
     windows, as bytes; ``lead`` units stand before the gram. For candidates of
-    split grams (row, first, h1, h2) of each window instead."""
+    split grams (row, first, digest) of each window instead."""
     items = cand.groupBy("doc_id", "text_key").agg(
         F.first("row").alias("row"), F.collect_list(F.struct("key", "split", "place", "first", "last")).alias("items"))
     texts = packed_texts(docs).withColumnsRenamed({"doc_id": "_id", "text_key": "_key"})
@@ -268,15 +304,18 @@ def contexts(docs: DataFrame, cand: DataFrame, window: int, words: bool) -> Data
             at = pa.array(whole)
             yield pa.RecordBatch.from_arrays(
                 [owner.take(at), first.take(at), key.take(at), lead.take(at), pa.array([units[i] for i in whole], pa.binary()),
-                 pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64())], ["row", "first", "key", "lead", "units", "h1", "h2"])
+                 pa.nulls(n, pa.binary())], ["row", "first", "key", "lead", "units", "digest"])
             thin = np.flatnonzero(split)
             for i in range(0, len(thin), 1000):
                 some = thin[i:i + 1000]
-                own, step, h1, h2 = _window_hashes([units[j] for j in some], window, words)
-                n, begin = len(own), first.to_numpy()[some[own]] + step
+                digests = [_window_digests(units[j], window, words) for j in some]
+                n = np.array([len(d) for d in digests])
+                begin = np.repeat(first.to_numpy()[some], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+                total = int(n.sum())
                 yield pa.RecordBatch.from_arrays(
-                    [owner.take(pa.array(some[own])), pa.array(begin.astype(np.int32)), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int32()),
-                     pa.nulls(n, pa.binary()), pa.array(h1), pa.array(h2)], ["row", "first", "key", "lead", "units", "h1", "h2"])
+                    [owner.take(pa.array(np.repeat(some, n))), pa.array(begin.astype(np.int32)), pa.nulls(total, pa.int64()),
+                     pa.nulls(total, pa.int32()), pa.nulls(total, pa.binary()), pa.array([x for d in digests for x in d], pa.binary())],
+                    ["row", "first", "key", "lead", "units", "digest"])
 
     return joined.select("packed", "row", "items").mapInArrow(kernel, CONTEXTS)
 
@@ -291,15 +330,15 @@ def whole_spans(rows: DataFrame, total: int, bucket_rows: int, kernel: Callable[
         return pa.table({"row": table.column("row").combine_chunks().take(pa.array(context)),
                          "start": pa.array(start, pa.int64()), "end": pa.array(end, pa.int64())})
 
-    whole = rows.where("key is not null").drop("h1", "h2").withColumn("bucket", F.pmod(F.xxhash64("key"), F.lit(n)).cast("int"))
+    whole = rows.where("key is not null").drop("digest").withColumn("bucket", F.pmod(F.xxhash64("key"), F.lit(n)).cast("int"))
     return whole.groupBy("bucket").applyInArrow(run, "row long, start long, end long")
 
 
 def split_spans(rows: DataFrame, window: int) -> DataFrame:
     """(row, start, end) of repeated windows of split grams."""
-    each = rows.where("key is null").select("row", F.col("first").cast("long").alias("start"), "h1", "h2")
-    twice = save(each.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "repeated-windows")
-    return each.join(twice, ["h1", "h2"]).select("row", "start", (F.col("start") + window).alias("end"))
+    each = rows.where("key is null").select("row", F.col("first").cast("long").alias("start"), "digest")
+    twice = save(each.groupBy("digest").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "repeated-windows")
+    return each.join(twice, "digest").select("row", "start", (F.col("start") + window).alias("end"))
 
 
 def spans_by_text(found: DataFrame, classes: DataFrame, spans: DataFrame, window: int) -> DataFrame:
