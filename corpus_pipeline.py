@@ -14,6 +14,11 @@ from recoengine.llm.common import save, table
 from recoengine.session import prepare
 
 
+#: Bytes of the strings that the suffix-array stage cuts where they repeat: a
+#: passage of 50 words has about this many or more.
+REPEAT_BYTES = 200
+
+
 def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     prepare(spark)
     return quality.good_documents(docs, table(spark, sf_dir, "labels"))
@@ -26,7 +31,7 @@ def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def cut(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     prepare(spark)
-    return suffixes.without_repeats(docs)
+    return suffixes.without_repeats(docs, window=REPEAT_BYTES)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
