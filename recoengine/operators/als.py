@@ -102,9 +102,13 @@ def save_factors(model: ALSModel, path: str) -> tuple[DataFrame, DataFrame]:
     """Write user and item factors as tables and return them read back:
     later stages then start from storage, not from the fit's lineage, so a
     lost executor costs a re-read instead of a re-fit."""
-    spark = model.userFactors.sparkSession
-    user_factors(model).write.mode("overwrite").parquet(f"{path}/user_factors")
-    item_factors(model).write.mode("overwrite").parquet(f"{path}/item_factors")
+    return save_tables(user_factors(model), item_factors(model), path)
+
+
+def save_tables(users_f: DataFrame, items_f: DataFrame, path: str) -> tuple[DataFrame, DataFrame]:
+    spark = users_f.sparkSession
+    users_f.write.mode("overwrite").parquet(f"{path}/user_factors")
+    items_f.write.mode("overwrite").parquet(f"{path}/item_factors")
     return (spark.read.parquet(f"{path}/user_factors"), spark.read.parquet(f"{path}/item_factors"))
 
 

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recoengine import fixtures, schemas
-from recoengine.operators import als, blocks, etl, similarity, statistics
+from recoengine.operators import als, als_split, blocks, etl, similarity, statistics
 from recoengine.operators.topn import flatten, nest
 from recoengine.session import prepare, scratch_path
 from recoengine.sources.sinks import compact, dedup_by_key
@@ -265,17 +265,44 @@ def q_als_invariants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out
 
 
+def _residuals(ratings: DataFrame, users_f: DataFrame, items_f: DataFrame) -> DataFrame:
+    # float factors leave about 1e-6 of the right-hand side
+    return als_split.residuals(ratings, users_f, items_f).withColumn("residual", F.round("residual", 3))
+
+
+def q_als_half_step(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users solved from fixed item factors: how far from the normal equations."""
+    prepare(spark)
+    ratings, items_f = fixtures.ratings(spark, sf_dir), fixtures.item_factors(spark, sf_dir)
+    return _residuals(ratings, als_split.solve_users(ratings, items_f), items_f)
+
+
+def q_als_residuals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """MLlib's fit: its last half-step must solve the users' normal equations."""
+    prepare(spark)
+    return _residuals(fixtures.ratings(spark, sf_dir), *_als_factors(spark, sf_dir))
+
+
+def q_als_split_residuals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same of the fit that splits hot users and items."""
+    prepare(spark)
+    ratings = fixtures.ratings(spark, sf_dir)
+    return _residuals(ratings, *als_split.fit(ratings))
+
+
 def q_grid_invariants(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One best cell of a full grid, and it has the least RMSE."""
+    """One cell of the grid fitted again alone: its stored RMSE against the RMSE
+    joined from its saved factors (``gap``, in thousandths), and how far that fit
+    is from the normal equations."""
     prepare(spark)
-    path = scratch_path(spark, "grid")
-    als.grid_search(fixtures.ratings(spark, sf_dir)).write.parquet(path)
-    grid = spark.read.parquet(path)
-    best = als.best_params(grid).select("grid_pos", F.col("rmse").alias("best"))
-    return grid.join(F.broadcast(best.withColumnRenamed("grid_pos", "best_pos"))).agg(
-        F.count(F.lit(1)).alias("cells"), F.countDistinct("rank", "reg").alias("settings"),
-        F.count_if(F.col("grid_pos") == F.col("best_pos")).alias("best_cells"),
-        F.count_if(F.col("rmse") < F.col("best")).alias("better"))
+    ratings = fixtures.ratings(spark, sf_dir)
+    rank, reg = als.GRID_RANKS[0], als.GRID_REGS[0]
+    cell = als.grid_search(ratings, ranks=[rank], regs=[reg]).select("rank", "reg", "rmse")
+    users_f, items_f = als.save_factors(als.train(ratings, rank=rank, reg=reg), scratch_path(spark, "als-cell"))
+    joined = als.rmse(ratings, als.predict_from_factors(users_f, items_f, ratings.select("uid", "mid"), rank=rank))
+    off = als_split.residuals(ratings, users_f, items_f, reg).agg(F.round(F.max("residual"), 3).alias("residual"))
+    return cell.join(joined.withColumnRenamed("rmse", "again")).join(off).select(
+        "rank", "reg", F.round(F.abs(F.col("rmse") - F.col("again")) * 1000).cast("int").alias("gap"), "n", "residual")
 
 
 def q_rmse_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -413,6 +440,9 @@ def queries() -> dict[str, Query]:
         "als_predict_pairs": q_als_predict_pairs,
         "predict_pairs": q_predict_pairs,
         "training_rmse": q_training_rmse,
+        "als_half_step": q_als_half_step,
+        "als_residuals": q_als_residuals,
+        "als_split_residuals": q_als_split_residuals,
         "als_invariants": q_als_invariants,
         "grid_invariants": q_grid_invariants,
         "rmse_join": q_rmse_join,

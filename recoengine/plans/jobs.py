@@ -16,7 +16,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from recoengine import schemas
-from recoengine.operators import als, etl, similarity, statistics
+from recoengine.operators import als, als_split, etl, similarity, statistics
 from recoengine.operators.topn import nest
 from recoengine.session import prepare
 from recoengine.sources import sinks, tables, text
@@ -97,11 +97,14 @@ def statistics_job(spark: SparkSession, in_dir: str, out_dir: str,
 def offline_job(spark: SparkSession, in_dir: str, out_dir: str, rank: int = als.RANK,
                 iterations: int = als.ITERATIONS, reg: float = als.REG, seed: int = 42,
                 n: int = als.TOP_N_USER, threshold: float = similarity.SIM_THRESHOLD,
-                exclude_seen: bool = False) -> dict[str, str]:
+                exclude_seen: bool = False, split_hot: bool = False) -> dict[str, str]:
+    """``split_hot``: fit with ``als_split``, which no hot user or item overloads."""
     prepare(spark)
     ratings, movies = read_inputs(spark, in_dir)
-    model = als.train(ratings, rank=rank, iterations=iterations, reg=reg, seed=seed)
-    users_f, items_f = als.save_factors(model, _p(out_dir, FACTORS))
+    if split_hot:
+        users_f, items_f = als.save_tables(*als_split.fit(ratings, rank, iterations, reg, seed), _p(out_dir, FACTORS))
+    else:
+        users_f, items_f = als.save_factors(als.train(ratings, rank=rank, iterations=iterations, reg=reg, seed=seed), _p(out_dir, FACTORS))
     flat = als.recommend_from_factors(users_f, items_f, ratings, movies, n, exclude_seen,
                                       trained_on_ratings=True)
     tables.write_table(nest(flat, ["uid"], "rank", "mid", "r"), _p(out_dir, USER_RECS))

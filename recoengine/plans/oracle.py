@@ -135,7 +135,14 @@ p AS (SELECT r.uid, r.mid, r.score, list_dot_product(u.v, i.v) AS prediction
 SELECT round(sqrt(avg((a.score - p.prediction) * (a.score - p.prediction))), 6) AS rmse, count(*) AS n
 FROM p a JOIN p ON a.uid = p.uid AND a.mid = p.mid"""
     q["als_invariants"] = "SELECT unnest([" + ", ".join(f"'{n}'" for n in INVARIANTS) + "]) AS name, 0::BIGINT AS n"
-    q["grid_invariants"] = "SELECT 6::BIGINT AS cells, 6::BIGINT AS settings, 1::BIGINT AS best_cells, 0::BIGINT AS better"
+    q["als_half_step"] = _with(RATINGS, IFACT) + (
+        "SELECT uid, count(*) AS n, 0.0::DOUBLE AS residual FROM ratings JOIN ifact ON mid = id GROUP BY uid")
+    q["als_residuals"] = _with(RATINGS) + "SELECT uid, count(*) AS n, 0.0::DOUBLE AS residual FROM ratings GROUP BY uid"
+    q["als_split_residuals"] = q["als_residuals"]
+    # a rating matched k times counts k times
+    q["grid_invariants"] = _with(RATINGS) + """,
+pairs AS (SELECT count(*) AS k FROM ratings GROUP BY uid, mid)
+SELECT 40 AS rank, 0.1::DOUBLE AS reg, 0 AS gap, sum(k * k)::BIGINT AS n, 0.0::DOUBLE AS residual FROM pairs"""
     q["factor_top10"] = _factor_top10(False)
     q["factor_top10_unseen"] = _factor_top10(True)
     q["rmse_join"] = _with(RATINGS) + """,
