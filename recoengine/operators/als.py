@@ -122,11 +122,18 @@ def recommend_from_factors(users_f: DataFrame, items_f: DataFrame, ratings: Data
     ``trained_on_ratings`` the factors come from a fit on ``ratings``, so
     every factor user is a rating user and the pass over ratings that
     finds them is skipped."""
+    users, items, seen = rating_users_and_items(users_f, items_f, ratings, movies, exclude_seen, trained_on_ratings)
+    return blocks.top_n_products(users, items, n, seen=seen, positive_only=True)
+
+
+def rating_users_and_items(users_f: DataFrame, items_f: DataFrame, ratings: DataFrame, movies: DataFrame, exclude_seen: bool,
+                           trained_on_ratings: bool = False) -> tuple[DataFrame, DataFrame, DataFrame | None]:
+    """Factors of the rating users and of the Movie table's items, and the rated
+    pairs if they are to be left out."""
     users = users_f if trained_on_ratings else users_f.join(
         ratings.select(F.col("uid").cast("int").alias("id")).distinct(), "id", "left_semi")
     items = items_f.join(movies.select(F.col("mid").cast("int").alias("id")), "id", "left_semi")
-    seen = ratings.select("uid", "mid") if exclude_seen else None
-    return blocks.top_n_products(users, items, n, seen=seen, positive_only=True)
+    return users, items, ratings.select("uid", "mid") if exclude_seen else None
 
 
 def recommend_flat(model: ALSModel, ratings: DataFrame, movies: DataFrame, n: int = TOP_N_USER,

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recoengine import fixtures, schemas
-from recoengine.operators import als, als_split, blocks, etl, similarity, statistics
+from recoengine.operators import als, als_split, blocks, etl, pruned, similarity, statistics
 from recoengine.operators.topn import flatten, nest
 from recoengine.session import prepare, scratch_path
 from recoengine.sources.sinks import compact, dedup_by_key
@@ -174,6 +174,27 @@ def q_factor_top10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _factor_top10(spark, sf_dir, exclude_seen=False)
 
 
+def q_item_similarity_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return _rounded(pruned.similar_pairs(fixtures.similarity_factors(spark, sf_dir), fixtures.SIMILAR_ABOVE)[0])
+
+
+def _factor_top10_pruned(spark: SparkSession, sf_dir: str, exclude_seen: bool) -> DataFrame:
+    prepare(spark)
+    ratings, movies = fixtures.ratings(spark, sf_dir), fixtures.movies(spark, sf_dir)
+    users, items, seen = als.rating_users_and_items(fixtures.user_factors(spark, sf_dir), fixtures.item_factors(spark, sf_dir),
+                                                    ratings, movies, exclude_seen)
+    return _rounded(pruned.top_n_products(users, items, 10, seen=seen)[0])
+
+
+def q_factor_top10_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _factor_top10_pruned(spark, sf_dir, exclude_seen=False)
+
+
+def q_factor_top10_unseen_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _factor_top10_pruned(spark, sf_dir, exclude_seen=True)
+
+
 def q_factor_top10_unseen(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _factor_top10(spark, sf_dir, exclude_seen=True)
 
@@ -434,6 +455,9 @@ def queries() -> dict[str, Query]:
         "stored_genre_lists": q_stored_genre_lists,
         "factor_top10": q_factor_top10,
         "factor_top10_unseen": q_factor_top10_unseen,
+        "item_similarity_pruned": q_item_similarity_pruned,
+        "factor_top10_pruned": q_factor_top10_pruned,
+        "factor_top10_unseen_pruned": q_factor_top10_unseen_pruned,
         "als_recommend": q_als_recommend,
         "als_recommend_unseen": q_als_recommend_unseen,
         "als_item_similarity": q_als_item_similarity,

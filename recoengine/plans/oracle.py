@@ -145,6 +145,8 @@ pairs AS (SELECT count(*) AS k FROM ratings GROUP BY uid, mid)
 SELECT 40 AS rank, 0.1::DOUBLE AS reg, 0 AS gap, sum(k * k)::BIGINT AS n, 0.0::DOUBLE AS residual FROM pairs"""
     q["factor_top10"] = _factor_top10(False)
     q["factor_top10_unseen"] = _factor_top10(True)
+    q["item_similarity_pruned"] = q["item_similarity"]
+    q["factor_top10_pruned"], q["factor_top10_unseen_pruned"] = q["factor_top10"], q["factor_top10_unseen"]
     q["rmse_join"] = _with(RATINGS) + """,
 avgs AS (SELECT mid, avg(score) AS prediction FROM ratings GROUP BY mid),
 pred AS (SELECT r.uid, r.mid, a.prediction FROM ratings r JOIN avgs a ON r.mid = a.mid)
