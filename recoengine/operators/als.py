@@ -21,7 +21,7 @@ from recoengine.functions.scalar import dot
 from recoengine.operators import blocks
 from recoengine.operators.similarity import SIM_THRESHOLD, item_similarity
 from recoengine.operators.topn import nest
-from recoengine.session import prepare
+from recoengine.session import prepare, scratch_path
 
 # ALS setting (rank, iterations, lambda), list length per
 # user, and the parameter grid (ranks x lambdas).
@@ -237,6 +237,45 @@ def grid_search(ratings: DataFrame, ranks: Sequence[int] = GRID_RANKS, regs: Seq
     return spark.createDataFrame(sorted(rows), "grid_pos int, rank int, reg double, rmse double")
 
 
+def last_out(ratings: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(train, test) by time: each user's newest rating (greatest timestamp, then
+    mid, then score) is the test row, if the user has others. ``ratings`` is
+    numbered and stored first, so that of equal rows one goes; the newest row is a
+    maximum, combined before the shuffle."""
+    spark = prepare(ratings.sparkSession)
+    path = scratch_path(spark, "last-out")
+    ratings.withColumn("_row", F.monotonically_increasing_id()).write.parquet(path)
+    rows = spark.read.parquet(path)
+    newest = rows.groupBy("uid").agg(F.max(F.struct("timestamp", "mid", "score", "_row"))["_row"].alias("_row"), F.count(F.lit(1)).alias("_n"))
+    newest = newest.where("_n > 1").select("_row")
+    return rows.join(newest, "_row", "left_anti").drop("_row"), rows.join(newest, "_row", "left_semi").drop("_row")
+
+
+def halving_search(ratings: DataFrame, ranks: Sequence[int] = GRID_RANKS, regs: Sequence[float] = GRID_REGS,
+                   iterations: int = ITERATIONS, seed: int = 42) -> DataFrame:
+    """(round, grid_pos, rank, reg, iterations, rmse, kept): successive halving of
+    the grid on the ``last_out`` split. Every setting is fitted with few iterations,
+    the better half goes on with more, until one is left at ``iterations``. Only one
+    number a fit returns to the driver."""
+    train_rows, test = last_out(ratings)
+    alive = list(enumerate(product(ranks, regs)))
+    rounds = max(1, (len(alive) - 1).bit_length() + 1)
+    out = []
+    for k in range(rounds):
+        budget = max(1, round(iterations * (k + 1) / rounds))
+        scored = []
+        for pos, (rank, reg) in alive:
+            model = train(train_rows, rank=rank, iterations=budget, reg=reg, seed=seed)
+            found = model_rmse(model, test).first()["rmse"]
+            model.userFactors.unpersist()
+            model.itemFactors.unpersist()
+            scored.append((float("inf") if found is None else float(found), pos, int(rank), float(reg)))
+        kept = {pos for _, pos, *_ in sorted(scored)[:max(1, (len(scored) + 1) // 2)]}
+        out += [(k, pos, rank, reg, budget, rmse_, pos in kept) for rmse_, pos, rank, reg in scored]
+        alive = [a for a in alive if a[0] in kept]
+    return ratings.sparkSession.createDataFrame(out, "round int, grid_pos int, rank int, reg double, iterations int, rmse double, kept boolean")
+
+
 def best_params(grid: DataFrame) -> DataFrame:
     """Smallest RMSE (first grid position on ties), one row."""
     return grid.orderBy(F.asc_nulls_last("rmse"), F.asc("grid_pos")).limit(1)

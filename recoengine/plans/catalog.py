@@ -18,8 +18,9 @@ from recoengine.operators import als, als_split, blocks, etl, pruned, similarity
 from recoengine.operators.topn import flatten, nest
 from recoengine.session import prepare, scratch_path
 from recoengine.sources.sinks import compact, dedup_by_key
-from recoengine.sources.tables import read_table, write_table
+from recoengine.sources.tables import lookup, read_table, write_table
 from recoengine.sources.text import load_movies, load_ratings, load_tags, to_lines
+from recoengine.streaming import recent_state
 from recoengine.streaming import recommender as rec
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -112,6 +113,26 @@ def q_write_read_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, path, schemas.RATING)
 
 
+def q_ratings_of_top_movie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All ratings of the most rated movie, looked up by movie in the stored table."""
+    prepare(spark)
+    path = scratch_path(spark, "rating-table")
+    write_table(fixtures.ratings(spark, sf_dir), path, bucket_by=("uid", 8), zorder_by=["uid", "mid"], bloom_on=["mid"])
+    top = statistics.rate_more(read_table(spark, path, schemas.RATING), sort=False).orderBy(F.desc("count"), F.asc("mid")).first()
+    return lookup(spark, path, schemas.RATING, mid=None if top is None else top["mid"])
+
+
+def q_tags_of_user_and_movie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tags of the movie with the most tags by the user with the most tags."""
+    prepare(spark)
+    path = scratch_path(spark, "tag-table")
+    write_table(fixtures.tags(spark, sf_dir), path, zorder_by=["uid", "mid"], bloom_on=["uid", "mid"])
+    tags = read_table(spark, path, schemas.TAG)
+    key = {c: tags.groupBy(c).count().orderBy(F.desc("count"), F.asc(c)).first() for c in ("uid", "mid")}
+    found = [lookup(spark, path, schemas.TAG, **{c: None if r is None else r[c]}) for c, r in key.items()]
+    return found[0].unionByName(found[1])
+
+
 # ----------------------------------------------------- factor products ---
 
 def _rounded(df: DataFrame, col: str = "r", digits: int = 4) -> DataFrame:
@@ -138,6 +159,24 @@ def q_item_similarity_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("item").alias("mid"), F.col("rank").cast("int").alias("rank"), F.col("mid").alias("sim_mid"), "r"))
 
 
+def _stored_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored per-item lists in chunks, read back."""
+    sims, path = scratch_path(spark, "item-sim"), scratch_path(spark, "item-chunks")
+    write_table(_similarity(spark, sf_dir), sims)
+    write_table(similarity.chunked_lists(spark.read.parquet(sims)), path, sort_by=["mid", "chunk"])
+    return spark.read.parquet(path)
+
+
+def q_item_similarity_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return _rounded(similarity.flatten_chunks(_stored_chunks(spark, sf_dir)))
+
+
+def q_item_similarity_chunks_exploded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return _rounded(similarity.explode_lists(_stored_chunks(spark, sf_dir)))
+
+
 def q_item_similarity_exploded(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stored lists back to the long form that the stream reads."""
     prepare(spark)
@@ -252,6 +291,15 @@ def q_training_rmse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return als.rmse_of_scored(_factor_predictions(spark, sf_dir)).select(F.round("rmse", 6).alias("rmse"), "n")
 
 
+def q_holdout_rmse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each user's newest rating against the factors' prediction, and the split's sizes."""
+    prepare(spark)
+    train, test = als.last_out(fixtures.ratings(spark, sf_dir))
+    scored = als.predict_from_factors(fixtures.user_factors(spark, sf_dir), fixtures.item_factors(spark, sf_dir), test.select("uid", "mid", "score"))
+    sizes = train.agg(F.count(F.lit(1)).alias("train")).join(test.agg(F.count(F.lit(1)).alias("test")))
+    return sizes.join(als.rmse_of_scored(scored)).select("train", "test", F.col("n").alias("scored"), F.round("rmse", 6).alias("rmse"))
+
+
 def q_als_invariants(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What holds for the lists of any fitted model: (name, n) with n the number
     of rows against it."""
@@ -365,6 +413,20 @@ def _stream_tables(spark: SparkSession, sf_dir: str, store: bool = False):
     return spark.read.parquet(sim_path), rated, recent
 
 
+def q_stream_recent_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Recent lists kept as stream state, over several micro-batches and a restart."""
+    prepare(spark)
+    inbox, out, ckpt = (scratch_path(spark, x) for x in ("recent-in", "recent-out", "recent-ckpt"))
+    lines = to_lines(fixtures.recent_log(spark, sf_dir), ["uid", "mid", "score", "timestamp"], "|")
+    n_files = max(4, spark.sparkContext.defaultParallelism)
+    for part in lines.randomSplit([0.5, 0.5], seed=7):
+        part.repartition(n_files).write.mode("append").text(inbox)
+        stream = rec.decode_ratings(rec.rating_stream(spark, inbox, maxFilesPerTrigger=(n_files + 1) // 2), mode="failfast")
+        recent_state.start_recent(stream, out, ckpt, trigger={"availableNow": True}).awaitTermination()
+    res = recent_state.read_recent(spark, out)
+    return spark.createDataFrame([], "uid int, pos int, mid int, score double") if res is None else res
+
+
 def _stream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fixtures.stream_input(spark, sf_dir).select("uid", "mid", "score", "timestamp")
 
@@ -419,7 +481,7 @@ def q_stream_recommend(spark: SparkSession, sf_dir: str) -> DataFrame:
         .repartition(n_files).write.mode("overwrite").text(inbox)
     # two or more micro-batches; a user's events may fall into any of them
     stream = rec.rating_stream(spark, inbox, maxFilesPerTrigger=(n_files + 1) // 2)
-    q = rec.start(stream, item_sim.drop("rank"), rated, recent, out, ckpt, trigger={"availableNow": True},
+    q = rec.start(stream, item_sim, rated, recent, out, ckpt, trigger={"availableNow": True},
                   decode="failfast", threshold=fixtures.SIMILAR_ABOVE)
     q.awaitTermination()
     compact(spark, out, version_cols=rec.RESULT_VERSION)
@@ -451,6 +513,10 @@ def queries() -> dict[str, Query]:
         "item_similarity": q_item_similarity,
         "item_similarity_lists": q_item_similarity_lists,
         "item_similarity_exploded": q_item_similarity_exploded,
+        "item_similarity_chunks": q_item_similarity_chunks,
+        "item_similarity_chunks_exploded": q_item_similarity_chunks_exploded,
+        "ratings_of_top_movie": q_ratings_of_top_movie,
+        "tags_of_user_and_movie": q_tags_of_user_and_movie,
         "stored_user_lists": q_stored_user_lists,
         "stored_genre_lists": q_stored_genre_lists,
         "factor_top10": q_factor_top10,
@@ -464,6 +530,7 @@ def queries() -> dict[str, Query]:
         "als_predict_pairs": q_als_predict_pairs,
         "predict_pairs": q_predict_pairs,
         "training_rmse": q_training_rmse,
+        "holdout_rmse": q_holdout_rmse,
         "als_half_step": q_als_half_step,
         "als_residuals": q_als_residuals,
         "als_split_residuals": q_als_split_residuals,
@@ -474,6 +541,7 @@ def queries() -> dict[str, Query]:
         "decode_ratings": q_decode_ratings,
         "recent_ratings": q_recent_ratings,
         "parse_recent_list": q_parse_recent_list,
+        "stream_recent_ratings": q_stream_recent_ratings,
         "stream_candidates": q_stream_candidates,
         "stream_scores": q_stream_scores,
         "stream_recommend": q_stream_recommend,

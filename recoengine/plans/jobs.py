@@ -14,13 +14,15 @@ from __future__ import annotations
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from recoengine import schemas
 from recoengine.operators import als, als_split, etl, similarity, statistics
 from recoengine.operators.topn import nest
-from recoengine.session import prepare
+from recoengine.session import prepare, release, scratch_path
 from recoengine.sources import sinks, tables, text
 from recoengine.streaming import recommender as rec
+from recoengine.streaming.snapshots import Snapshots
 
 # Stored table (collection) names.
 MOVIE = "Movie"
@@ -36,6 +38,9 @@ ITEM_RECS = "AcquaintanceMovieRecommends"
 STREAM_RECS = "StreamingMovieRecommends"
 RECENT = "RecentRatings"
 FACTORS = "Factors"
+ITEM_SIM = "ItemSimilarity"  # ranked long form, in versions that a stream takes up
+# Micro-batches between compactions of the stream's results.
+COMPACT_EVERY = 100
 # Suffix of the tables of lines and messages that could not be read.
 BAD = "_bad"
 
@@ -62,9 +67,9 @@ def load_job(spark: SparkSession, movies_path: str, ratings_path: str, tags_path
     tags = parts[TAG].persist(StorageLevel.MEMORY_AND_DISK)
     try:
         tables.write_table(movies, out[MOVIE], sort_by="mid")
-        tables.write_table(parts[RATING], out[RATING], sort_by=["uid", "mid"],
-                           bucket_by=("uid", tables.uid_buckets(spark)))
-        tables.write_table(tags, out[TAG], sort_by=["uid", "mid"])
+        # looked up by user and by movie
+        tables.write_table(parts[RATING], out[RATING], bucket_by=("uid", tables.uid_buckets(spark)), zorder_by=["uid", "mid"], bloom_on=["mid"])
+        tables.write_table(tags, out[TAG], zorder_by=["uid", "mid"], bloom_on=["uid", "mid"])
         sinks.write_search_docs(etl.search_documents(movies, tags), out[SEARCH_DOCS], key="mid")
     finally:
         movies.unpersist()
@@ -108,16 +113,32 @@ def offline_job(spark: SparkSession, in_dir: str, out_dir: str, rank: int = als.
     flat = als.recommend_from_factors(users_f, items_f, ratings, movies, n, exclude_seen,
                                       trained_on_ratings=True)
     tables.write_table(nest(flat, ["uid"], "rank", "mid", "r"), _p(out_dir, USER_RECS))
-    sim_long = similarity.item_similarity(items_f, threshold)
-    tables.write_table(similarity.item_similarity_lists(sim_long), _p(out_dir, ITEM_RECS), sort_by="mid")
-    return {x: _p(out_dir, x) for x in (USER_RECS, ITEM_RECS, FACTORS)}
+    publish_similarity(spark, similarity.item_similarity(items_f, threshold), out_dir)
+    return {x: _p(out_dir, x) for x in (USER_RECS, ITEM_RECS, ITEM_SIM, FACTORS)}
+
+
+def publish_similarity(spark: SparkSession, item_sim: DataFrame, out_dir: str) -> int:
+    """Write a new version of the similarity table, which a running stream takes
+    up with its next batch, and the stored lists (in chunks) from it."""
+    snapshots = Snapshots(spark, _p(out_dir, ITEM_SIM))
+    path = scratch_path(spark, "item-sim")
+    tables.write_table(item_sim, path)
+    version = snapshots.publish(similarity.ranked_entries(spark.read.parquet(path)))
+    tables.write_table(similarity.chunked_lists(spark.read.parquet(path)), _p(out_dir, ITEM_RECS), sort_by=["mid", "chunk"])
+    release(spark, path)
+    return version
 
 
 def parameter_job(spark: SparkSession, in_dir: str, ranks=als.GRID_RANKS, regs=als.GRID_REGS,
-                  iterations: int = als.ITERATIONS, seed: int = 42, holdout: float = 0.0) -> DataFrame:
-    """Returns the best (grid_pos, rank, reg, rmse) row as a DataFrame."""
+                  iterations: int = als.ITERATIONS, seed: int = 42, holdout: float = 0.0, halving: bool = False) -> DataFrame:
+    """Returns the best (grid_pos, rank, reg, rmse) row as a DataFrame. ``halving``:
+    successive halving, scored on each user's newest rating."""
     prepare(spark)
     ratings, _ = read_inputs(spark, in_dir)
+    if halving:
+        search = als.halving_search(ratings, ranks, regs, iterations, seed)
+        last = search.agg({"round": "max"}).first()[0]
+        return als.best_params(search.where(F.col("round") == last).select("grid_pos", "rank", "reg", "rmse"))
     grid = als.grid_search(ratings, ranks, regs, iterations, seed, holdout)
     return als.best_params(grid)
 
@@ -137,17 +158,19 @@ def recent_job(spark: SparkSession, in_dir: str, out_dir: str,
 def streaming_job(spark: SparkSession, in_dir: str, sim_dir: str, stream_path: str, out_dir: str,
                   checkpoint: str, recent_dir: str | None = None, trigger: dict | None = None,
                   stream_format: str = "text", mode: str = "failfast", refresh_recent: bool = False,
-                  **stream_options):
+                  compact_every: int = COMPACT_EVERY, **stream_options):
     """Start the real-time recommender over the stored Rating table, the
-    similarity lists and the recent-ratings table (built by ``recent_job``
+    similarity table (its newest version at each batch) and the recent-ratings table (built by ``recent_job``
     into ``recent_dir``, default ``in_dir``, when it is absent, incomplete or
     ``refresh_recent`` is set). Per batch only the batch users' buckets of
     Rating and RecentRatings are read. ``mode``: a malformed message fails its
-    batch (``failfast``), is dropped (``drop``) or stored (``quarantine``)."""
+    batch (``failfast``), is dropped (``drop``) or stored (``quarantine``). The
+    results are compacted beside the stream every ``compact_every`` batches."""
     prepare(spark)
     ratings, _ = read_inputs(spark, in_dir)
-    item_sim = similarity.explode_lists(
-        tables.read_table(spark, _p(sim_dir, ITEM_RECS), schemas.ITEM_RECS))
+    item_sim = Snapshots(spark, _p(sim_dir, ITEM_SIM))
+    if item_sim.latest() is None:  # lists stored without versions
+        item_sim = similarity.explode_lists(tables.read_table(spark, _p(sim_dir, ITEM_RECS), schemas.ITEM_RECS))
     rdir = recent_dir or in_dir
     if refresh_recent or not sinks.committed(spark, _p(rdir, RECENT)):
         recent_job(spark, in_dir, rdir)
@@ -156,4 +179,4 @@ def streaming_job(spark: SparkSession, in_dir: str, sim_dir: str, stream_path: s
     rated = ratings.select("uid", "mid", *([bucket[0]] if bucket else []))
     messages = rec.rating_stream(spark, stream_path, stream_format, **stream_options)
     return rec.start(messages, item_sim, rated, recent, _p(out_dir, STREAM_RECS), checkpoint, trigger,
-                     decode=mode, bad_path=_p(out_dir, STREAM_RECS + BAD))
+                     compact_every=compact_every, decode=mode, bad_path=_p(out_dir, STREAM_RECS + BAD))

@@ -145,6 +145,18 @@ pairs AS (SELECT count(*) AS k FROM ratings GROUP BY uid, mid)
 SELECT 40 AS rank, 0.1::DOUBLE AS reg, 0 AS gap, sum(k * k)::BIGINT AS n, 0.0::DOUBLE AS residual FROM pairs"""
     q["factor_top10"] = _factor_top10(False)
     q["factor_top10_unseen"] = _factor_top10(True)
+    q["item_similarity_chunks"], q["item_similarity_chunks_exploded"] = q["item_similarity_lists"], q["item_similarity"]
+    q["ratings_of_top_movie"] = _with(RATINGS) + (
+        "SELECT * FROM ratings WHERE mid = (SELECT mid FROM ratings GROUP BY mid ORDER BY count(*) DESC, mid LIMIT 1)")
+    q["tags_of_user_and_movie"] = _with(TAGS) + (
+        "SELECT * FROM tags WHERE uid = (SELECT uid FROM tags GROUP BY uid ORDER BY count(*) DESC, uid LIMIT 1) UNION ALL "
+        "SELECT * FROM tags WHERE mid = (SELECT mid FROM tags GROUP BY mid ORDER BY count(*) DESC, mid LIMIT 1)")
+    q["holdout_rmse"] = _with(RATINGS, IFACT, UFACT) + """,
+placed AS (SELECT *, row_number() OVER (PARTITION BY uid ORDER BY "timestamp" DESC, mid DESC, score DESC) AS place,
+                  count(*) OVER (PARTITION BY uid) AS n FROM ratings),
+scored AS (SELECT score - list_dot_product(u.v, i.v) AS e FROM placed JOIN ufact u ON u.id = uid JOIN ifact i ON i.id = mid WHERE place = 1 AND n > 1)
+SELECT count(*) FILTER (WHERE place > 1 OR n = 1) AS train, count(*) FILTER (WHERE place = 1 AND n > 1) AS test,
+       (SELECT count(*) FROM scored) AS scored, (SELECT round(sqrt(avg(e * e)), 6) FROM scored) AS rmse FROM placed"""
     q["item_similarity_pruned"] = q["item_similarity"]
     q["factor_top10_pruned"], q["factor_top10_unseen_pruned"] = q["factor_top10"], q["factor_top10_unseen"]
     q["rmse_join"] = _with(RATINGS) + """,
@@ -155,6 +167,10 @@ FROM ratings a JOIN pred p ON a.uid = p.uid AND a.mid = p.mid"""
     q["decode_ratings"] = _with(REVENTS) + 'SELECT uid, mid, score, "timestamp" FROM revents'
     q["recent_ratings"] = _with(REVENTS, RECENT) + "SELECT uid, pos, mid, score FROM recent"
     q["parse_recent_list"] = q["recent_ratings"]
+    q["stream_recent_ratings"] = _with(REVENTS) + """
+SELECT uid, pos, mid, score FROM (
+  SELECT uid, mid, score, (row_number() OVER (PARTITION BY uid ORDER BY "timestamp" DESC, mid DESC, score DESC) - 1)::INTEGER AS pos
+  FROM revents WHERE event_type = 'click') WHERE pos <= 20"""
     q["stream_candidates"] = _with(*STREAM) + "SELECT uid, rank, mid, round(r, 4) AS r FROM cands"
     q["stream_scores"] = _with(*STREAM) + "SELECT uid, mid, round(r, 4) AS r FROM scored"
     q["stream_recommend"] = _with(*STREAM) + """,
