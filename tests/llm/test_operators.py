@@ -338,6 +338,29 @@ def test_mix_bounds_and_targets(edge):
     assert abs(sum({r.source: r.target for r in got}.values()) - 1.5 * total) < 1e-6 * total
 
 
+def test_mix_order_follows_inclusion_and_ends_near_the_target(spark):
+    rng = random.Random(8)
+    data = [(i, " ".join(["w"] * (1 + int(rng.paretovariate(1.2)) % 400)), "abc"[i % 3]) for i in range(900)]
+    data += [(1000 + i, " ".join(["w"] * n), "small") for i, n in enumerate([900, 500, 420, 77, 60])]
+    path = scratch_path(spark, "mix")
+    spark.createDataFrame(data, "doc_id long, text string, source string").repartition(3).write.parquet(path)
+    got = mixing.mix(spark.read.parquet(path)).collect()
+    unit = {r.doc_id: r.u for r in spark.range(1005).select(F.col("id").alias("doc_id"), mixing.uniform(F.col("id"), mixing.SEED).alias("u")).collect()}
+    unlike = 0
+    for source in [*"abc", "small"]:
+        mine = [r for r in got if r.source == source]
+        least = min(r.copies for r in mine)
+        gap = mine[0].target - sum(r.taken for r in mine)
+        left = [r.size for r in mine if r.copies == least]
+        assert not left or max(r.copies for r in mine) == least or abs(gap) <= min(left) / 2
+        drawn = [r for r in mine if r.copies > least]
+        unlike += any(unit[a.doc_id] > unit[b.doc_id] for a in drawn for b in mine if b.copies == least)
+        if source != "small":
+            mean = [sum(r.size for r in x) / len(x) for x in (drawn, [r for r in mine if r.copies == least])]
+            assert mean[0] > mean[1]  # long documents are likelier
+    assert unlike >= 3
+
+
 def test_mixed_rows_repeat_documents(edge):
     got = mixing.mixed_rows(edge)
     assert got.columns == edge.columns
