@@ -31,7 +31,7 @@ from recoengine.llm.windows import merged_runs, packed_with_spans, repeated_span
 WINDOW = 35
 GRAM = 8
 #: Anchors of a minimiser over which it is split by window.
-HOT = 8192
+HOT = 65_536
 BUCKET_ROWS = 8192
 
 
