@@ -77,8 +77,9 @@ def test_grid_query_runs_all_iterations(spark, sf_dir, monkeypatch):
         bound = inspect.signature(real).bind(*args, **kw)
         bound.apply_defaults()
         seen.append(bound.arguments["iterations"])
-        return real(args[0], ranks=(2, 3), regs=(0.1,), iterations=1)
+        return real(*args, **kw)
 
     monkeypatch.setattr(als, "grid_search", search)
-    assert catalog.q_grid_invariants(spark, sf_dir).first().cells == 2
+    found = catalog.q_grid_invariants(spark, sf_dir).first()
+    assert (found["rank"], found.gap, found.residual) == (als.GRID_RANKS[0], 0, 0.0)
     assert seen == [als.ITERATIONS]
