@@ -149,7 +149,7 @@ def similar_pairs(classes: DataFrame, cosine: float = COSINE, tables: int | None
                 yield pa.RecordBatch.from_arrays([picked.column("id"), picked.column("label"), pa.array(np.full(len(row), dim, dtype=np.int32)),
                                                   pa.array(where, pa.int32()), pa.array(code, pa.int64())], ["id", "label", "dim", "t", "code"])
 
-    ddl = "id long, label int, dim int, t int, code long"
+    ddl = f"id long, label {classes.schema['label'].dataType.simpleString()}, dim int, t int, code long"
     posted = classes.mapInArrow(partial(post, lookups=False), ddl).withColumnRenamed("id", "b")
     looked = classes.mapInArrow(partial(post, lookups=True), ddl).withColumnRenamed("id", "a")
     meet = looked.join(posted, ["label", "dim", "t", "code"]).where("a != b")
@@ -173,7 +173,7 @@ def near_duplicates(rows: DataFrame, cosine: float = COSINE, id_col: str = "vec_
     v = F.col("vector")
     usable = (F.col("label").isNotNull() & v.isNotNull() & (F.size(v) > 0) & F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
               & F.exists(v, lambda x: x != 0))
-    rows = rows.select(F.col(id_col).cast("long").alias("vec_id"), F.col(label_col).cast("int").alias("label"),
+    rows = rows.select(F.col(id_col).cast("long").alias("vec_id"), F.col(label_col).alias("label"),
                        F.col(vector_col).alias("vector"))
     rows = rows.withColumn("usable", F.coalesce(usable, F.lit(False)))
     good = rows.where("usable").groupBy("label", "vector").agg(F.count(F.lit(1)).alias("n"), F.min("vec_id").alias("first_id"))

@@ -1,4 +1,5 @@
 import hashlib
+import math
 import random
 import zlib
 from collections import Counter
@@ -402,6 +403,122 @@ def test_shards_hold_every_row_once(spark, edge):
         sorted(((r.doc_id, r.text, r.shard, r.slot) for r in got), key=repr)
 
 
+def test_shards_of_rows_with_clashing_columns_and_many_buckets(spark, edge, monkeypatch):
+    monkeypatch.setattr(sharding, "GROUP", 2)
+    path = scratch_path(spark, "shards")
+    clash = edge.withColumns({"shard": F.lit("x"), "slot": F.lit("y")})
+    sharding.shard(clash, path, shards=3, bucket_bytes=600)
+    got = sharding.read_shards(spark, path, clash.schema).collect()
+    assert len(got) == len(edge_rows()) and {r.shard for r in got} == {0, 1, 2}
+    for s in range(3):
+        assert sorted(r.slot for r in got if r.shard == s) == list(range(sum(r.shard == s for r in got)))
+
+
+def test_labels_of_any_type(spark):
+    rows = [(1, [1.0, 0.0], 5_000_000_000), (2, [1.0, 0.001], 5_000_000_000), (3, [1.0, 0.0], 5_000_000_001), (4, [1.0, 0.0], None)]
+    path = scratch_path(spark, "labels")
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>, label long").write.parquet(path)
+    for kind in ("long", "string", "decimal(20,0)"):
+        data = spark.read.parquet(path).withColumn("label", F.col("label").cast(kind))
+        got = {r.vec_id: (r.n_links, r.component_id) for r in embeddings.near_duplicates(data).collect()}
+        assert got == {1: (1, 1), 2: (1, 1), 3: (0, 3), 4: (0, 4)}
+
+
+def plain_language(texts, model_rows):
+    """Counts, scripts, word scores and the path, letter by letter."""
+    def mixed(x):
+        return int(windows.mix(np.array([x & (1 << 64) - 1], dtype=np.uint64))[0]) % language.BUCKETS
+
+    def script(c):
+        return next((k for k, ranges in enumerate(language.SCRIPTS.values()) if any(a <= c <= b for a, b in ranges)), language.OTHER)
+
+    def words(text):
+        low = (text or "").lower()
+        low = low if len(low) == len(text or "") else text or ""
+        code = [0] + [ord(c) if c.isalpha() else 0 for c in low] + [0]
+        out, run = [], []
+        for i, c in enumerate(code):
+            if c:
+                a, d = code[i - 1], code[i + 1]
+                run.append((script(c), [mixed(c), mixed(a << 21 | c | 1 << 60), mixed((a << 42) ^ (c << 21) ^ d ^ 1 << 63)]))
+            elif run:
+                out.append(run)
+                run = []
+        return out
+
+    langs = sorted({lang for _, lang in model_rows})
+    grams = {x: Counter() for x in langs}
+    scripts = {x: Counter() for x in langs}
+    for text, lang in model_rows:
+        for w in words(text):
+            for s, g in w:
+                grams[lang].update(g)
+                scripts[lang][s] += 1
+    def bucket_score(x, g):
+        return math.log((grams[x][g] + 0.5) / (sum(grams[x].values()) + 0.5 * language.BUCKETS))
+    own = {x: {s for s, n in scripts[x].items() if n >= max(1, language.SCRIPT_SHARE * sum(scripts[x].values()))} for x in langs}
+    out = []
+    for text in texts:
+        ws = words(text)
+        if not ws or not langs:
+            out.append("und")
+            continue
+        table = []
+        for w in ws:
+            raw = {x: sum(bucket_score(x, g) for _, gs in w for g in gs) / 3 for x in langs}
+            can = [x for x in langs if w[0][0] in own[x]] or langs
+            best = max(raw[x] for x in can)
+            table.append({x: raw[x] if x in can else min(raw[x], best - language.PENALTY) for x in langs})
+        value, back = dict(table[0]), []
+        for row in table[1:]:
+            came = {x: max(langs, key=lambda y: value[y] - (language.PENALTY if y != x else 0)) for x in langs}
+            back.append(came)
+            value = {x: value[came[x]] - (language.PENALTY if came[x] != x else 0) + row[x] for x in langs}
+        path = [max(langs, key=lambda x: value[x])]
+        for came in reversed(back):
+            path.append(came[path[-1]])
+        letters = Counter()
+        for x, w in zip(reversed(path), ws):
+            letters[x] += len(w)
+        out.append(max(langs, key=lambda x: letters[x]))
+    return out
+
+
+def test_language_equals_the_plain_version(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").orderBy("doc_id")
+    rows_ = [r for r in docs.collect() if r.text and len(r.text) < 600][:60]
+    learn = [(r.text, r.lang) for r in rows_ if r.lang and zlib.crc32(str(r.doc_id).encode()) % 3 != 1]
+    model = language.train(spark.createDataFrame(learn, "text string, lang string"))
+    mixed = [r.text for r in rows_] + [rows_[0].text + " Привет мир " + rows_[5].text, "漢字 only", "Hola", "", "123 ..."]
+    path = scratch_path(spark, "languages")
+    spark.createDataFrame(list(enumerate(mixed)), "doc_id long, text string").write.parquet(path)
+    got = [r.lang_pred for r in language.label(spark.read.parquet(path), model).orderBy("doc_id").collect()]
+    assert got == plain_language(mixed, learn)
+
+
+def test_flat_trees_equal_a_plain_walk_and_judge_unseen_rows(spark, sf_dir):
+    stats = quality.statistics(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where("quality is not null")
+    own = F.crc32(F.col("doc_id").cast("string")) % 3 == 0
+    trees = quality.train(stats, labels.where(~own))
+    rest = stats.join(labels.where(own).select("doc_id", "quality"), "doc_id").toPandas()
+    s = {c: rest[c].to_numpy() for c in quality.STATISTICS}
+    x = quality.features(s)
+    for i in range(len(x)):
+        total = trees.base
+        for node in trees.roots:
+            while trees.left[node] != node:
+                node = trees.left[node] if x[i, trees.feature[node]] <= trees.threshold[node] else trees.right[node]
+            total += trees.value[node]
+        assert trees.score(x[i:i + 1])[0] == pytest.approx(1 / (1 + math.exp(-total)))
+    failed, score, kept = quality.verdict(s, trees, quality.THRESHOLD)
+    for i in range(len(x)):
+        plain = s["n_words"][i] < 50 or 100 * s["n_repeat_words"][i] > 50 * s["n_words"][i]
+        assert failed[i] == plain and kept[i] == (not plain and score[i] >= 0.5)
+    right = ((score >= 0.5) == (rest["quality"] == 1)).mean()
+    assert len(rest) > 15 and right >= 0.8  # held-out accuracy
+
+
 @pytest.mark.parametrize("same_text", [False, True])
 def test_rows_of_one_id_are_spread_over_buckets(spark, monkeypatch, same_text):
     real, sizes = sharding._deal, spark.sparkContext.accumulator(0)
