@@ -236,5 +236,7 @@ def similar_pairs(factors: DataFrame, threshold: float, *, stripe_rows: int = DE
     right = f.withColumn("_t", F.explode(F.sequence(F.lit(0), F.col("_s")))) \
         .select((F.col("_t") * s + F.col("_s")).alias("tile"), F.col("id").alias("id_b"),
                 F.col("features").alias("features_b"))
+    tiles = s * (s + 1) // 2  # few and heavy, as in top_n_products
+    left, right = left.repartition(tiles, "tile"), right.repartition(tiles, "tile")
     return left.groupBy("tile").cogroup(right.groupBy("tile")).applyInPandas(
         _similar_kernel(float(threshold), s), "mid int, sim_mid int, r double")

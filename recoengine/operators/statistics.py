@@ -88,19 +88,19 @@ def genre_top_n(movies: DataFrame, avg_scores: DataFrame, genres: Sequence[str]
 POPULAR_SQL = """
 SELECT mid, count(*) AS count
 FROM {ratings}
-GROUP BY ALL
-ORDER BY 2 DESC, 1"""
+GROUP BY mid
+ORDER BY count DESC, mid"""
 
 MONTHLY_SQL = """
 SELECT mid, count(*) AS count, changeDate(timestamp) AS yearmonth
 FROM {ratings}
-GROUP BY ALL
-ORDER BY 3 DESC, 2 DESC, 1"""
+GROUP BY mid, yearmonth
+ORDER BY yearmonth DESC, count DESC, mid"""
 
 MEAN_SQL = """
-SELECT mid, sum(score) / count(score) AS avg
+SELECT mid, avg(score) AS avg
 FROM {ratings}
-GROUP BY ALL"""
+GROUP BY mid"""
 
 MONTH_SQL = "SELECT mid, uid, score, changeDate(timestamp) AS yearmonth FROM {ratings}"
 

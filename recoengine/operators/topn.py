@@ -41,3 +41,15 @@ def flatten(df: DataFrame, keys: Sequence[str], list_col: str = "recs",
     e = df.select(*keys, F.posexplode(list_col).alias("_pos", "_rec"))
     return e.select(*keys, (F.col("_pos") + 1).alias(rank_col),
                     F.col("_rec.mid").alias("mid"), F.col("_rec.r").alias("r"))
+
+
+def with_place(ordered: DataFrame, path: str, place_col: str = "place") -> DataFrame:
+    """The rows of an ordered frame with their place in it, from 1 on. The frame
+    is written to ``path`` once with each row's partition and number; what stands
+    before a partition is summed from one row a partition."""
+    ordered.withColumn("_pos", F.monotonically_increasing_id()).write.parquet(path)
+    rows = ordered.sparkSession.read.parquet(path).withColumn("_part", F.shiftright("_pos", 33))
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    before = rows.groupBy("_part").agg(F.count(F.lit(1)).alias("_n")).select("_part", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    number = F.col("_pos").bitwiseAND(F.lit((1 << 33) - 1)) + 1
+    return rows.join(before, "_part").select(*ordered.columns, (F.col("_before") + number).alias(place_col))

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from recoengine import fixtures, schemas
 from recoengine.operators import als, als_split, blocks, etl, pruned, similarity, statistics
-from recoengine.operators.topn import flatten, nest
+from recoengine.operators.topn import flatten, nest, with_place
 from recoengine.session import prepare, scratch_path
 from recoengine.sources.sinks import compact, dedup_by_key
 from recoengine.sources.tables import lookup, read_table, write_table
@@ -36,6 +36,17 @@ def q_rate_more_recently(spark: SparkSession, sf_dir: str) -> DataFrame:
     return statistics.rate_more_recently(fixtures.ratings(spark, sf_dir))
 
 
+def q_rate_more_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The order that the statistic comes in."""
+    prepare(spark)
+    return with_place(statistics.rate_more(fixtures.ratings(spark, sf_dir)), scratch_path(spark, "ordered"))
+
+
+def q_rate_more_recently_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return with_place(statistics.rate_more_recently(fixtures.ratings(spark, sf_dir)), scratch_path(spark, "ordered"))
+
+
 def q_change_date_sql_udf(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The monthly projection written as SQL text through the SQL function
     ``changeDate``."""
@@ -498,6 +509,8 @@ def queries() -> dict[str, Query]:
     return {
         "rate_more": q_rate_more,
         "rate_more_recently": q_rate_more_recently,
+        "rate_more_order": q_rate_more_order,
+        "rate_more_recently_order": q_rate_more_recently_order,
         "change_date_sql_udf": q_change_date_sql_udf,
         "average_scores": q_average_scores,
         "genre_top10": q_genre_top10,

@@ -96,6 +96,11 @@ def oracle_sql() -> dict[str, str]:
     q["rate_more_recently"] = _with(RATINGS) + (
         "SELECT mid, count(1) AS \"count\", strftime(make_timestamp(\"timestamp\" * 1000000), '%Y%m') AS yearmonth "
         "FROM ratings GROUP BY mid, yearmonth")
+    q["rate_more_order"] = _with(RATINGS) + (
+        'SELECT mid, count(1) AS "count", row_number() OVER (ORDER BY count(1) DESC, mid) AS place FROM ratings GROUP BY mid')
+    q["rate_more_recently_order"] = _with(RATINGS) + """,
+m AS (SELECT mid, count(1) AS "count", strftime(make_timestamp("timestamp" * 1000000), '%Y%m') AS yearmonth FROM ratings GROUP BY mid, yearmonth)
+SELECT *, row_number() OVER (ORDER BY yearmonth DESC, "count" DESC, mid) AS place FROM m"""
     q["change_date_sql_udf"] = _with(RATINGS) + (
         "SELECT mid, uid, score, strftime(make_timestamp(\"timestamp\" * 1000000), '%Y%m') AS yearmonth FROM ratings")
     q["average_scores"] = _with(RATINGS) + "SELECT mid, avg(score) AS avg FROM ratings GROUP BY mid"
