@@ -414,6 +414,26 @@ def test_shards_of_rows_with_clashing_columns_and_many_buckets(spark, edge, monk
         assert sorted(r.slot for r in got if r.shard == s) == list(range(sum(r.shard == s for r in got)))
 
 
+@pytest.mark.parametrize("dense,block,wide", [(64, 2048, 64), (0, 7, 10**9), (3, 5, 12), (10**9, 5, 1)])
+def test_dense_groups_are_counted_like_single_pairs(spark, dense, block, wide, monkeypatch):
+    monkeypatch.setattr(embeddings, "WIDE_LEAST", wide)
+    monkeypatch.setattr(embeddings, "WIDE", 1e-9)
+    rng = np.random.default_rng(4)
+    centre = rng.normal(size=(4, 16))
+    x = centre[rng.integers(0, 4, 160)] + rng.choice([0.01, 0.06, 0.2], 160)[:, None] * rng.normal(size=(160, 16))
+    x = np.vstack([x, x[:5], rng.normal(size=(40, 16))])
+    label = [int(i) for i in rng.integers(0, 2, len(x))]
+    path = scratch_path(spark, "dense-vectors")
+    spark.createDataFrame([(i, [float(v) for v in row], k) for i, (row, k) in enumerate(zip(x, label))], "vec_id long, embedding array<double>, label int").write.parquet(path)
+    got = {r.vec_id: (r.n_links, r.component_id) for r in embeddings.near_duplicates(spark.read.parquet(path), dense=dense, block=block).collect()}
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    near = (unit @ unit.T >= 0.98) & (np.array(label)[:, None] == np.array(label)) & ~np.eye(len(x), dtype=bool)
+    part = np.arange(len(x))
+    for _ in range(len(x)):
+        part = np.minimum(part, np.where(near, part[None, :], len(x)).min(axis=1))
+    assert got == {i: (int(near[i].sum()), int(part[i])) for i in range(len(x))}
+
+
 def test_labels_of_any_type(spark):
     rows = [(1, [1.0, 0.0], 5_000_000_000), (2, [1.0, 0.001], 5_000_000_000), (3, [1.0, 0.0], 5_000_000_001), (4, [1.0, 0.0], None)]
     path = scratch_path(spark, "labels")
