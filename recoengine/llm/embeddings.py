@@ -232,19 +232,29 @@ def _sparse_pairs(looked: DataFrame, posted: DataFrame, rows: DataFrame, cosine:
     """(a, b), a < b: links whose first meeting is under a code that few share."""
     meet = looked.withColumnRenamed("id", "x").join(posted.withColumnRenamed("id", "y"), KEY).where("x != y")
     meet = meet.groupBy(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).agg(F.min(2 * F.col("t") + (F.col("x") > F.col("y")).cast("int")).alias("met"))
-    for side in "ab":
-        meet = meet.join(rows.select(F.col("id").alias(side), F.col("vector").alias(f"v_{side}"), F.col("codes").alias(f"codes_{side}"),
-                                     F.col("cost").alias(f"cost_{side}")), side)
+
+    def beside(pairs: DataFrame, *columns: str) -> DataFrame:
+        for side in "ab":
+            pairs = pairs.join(rows.select(F.col("id").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in columns]), side)
+        return pairs
 
     def rerank(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for b in _by_length(batch, "v_a"):
+            for b in _by_length(batch, "vector_a"):
+                keep = pa.array(_near(_matrix(b.column("vector_a")), _matrix(b.column("vector_b")), cosine))
+                yield pa.RecordBatch.from_arrays([b.column(c).filter(keep) for c in ("a", "b", "met")], ["a", "b", "met"])
+
+    def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for b in _by_length(batch, "cost_a"):
                 codes = _whole(b.column("codes_a"))
                 first = _first_meeting(codes, _whole(b.column("cost_a")), _whole(b.column("codes_b")), _whole(b.column("cost_b")), _budget(cosine, codes.shape[1]))
-                keep = pa.array(_near(_matrix(b.column("v_a")), _matrix(b.column("v_b")), cosine) & (first == b.column("met").to_numpy()))
+                keep = pa.array(first == b.column("met").to_numpy())
                 yield pa.RecordBatch.from_arrays([b.column("a").filter(keep), b.column("b").filter(keep)], ["a", "b"])
 
-    return meet.mapInArrow(rerank, "a long, b long")
+    # few of those that meet are links: only those take their codes along
+    links = beside(meet, "vector").select("a", "b", "met", "vector_a", "vector_b").mapInArrow(rerank, "a long, b long, met int")
+    return beside(links, "codes", "cost").mapInArrow(settle, "a long, b long")
 
 
 def _forest(links: np.ndarray) -> list[tuple[int, int]]:
