@@ -26,7 +26,7 @@ def test_stages_do_their_whole_job(spark, sf_dir):
 
     cut = save(stages["suffix-array dedup"](spark, distinct, sf_dir), "t")
     left = {r.doc_id: r.text for r in cut.collect()}
-    for (i, t), (n, gone, _, _) in zip(kept.items(), brute.repeated_bytes(list(kept.values()), 400)):
+    for (i, t), (n, gone, _, _) in zip(kept.items(), brute.repeated_bytes(list(kept.values()), corpus_pipeline.REPEAT_BYTES)):
         assert (i in left) == (gone < n)
         if i in left:
             assert 0 <= n - gone - len(left[i].encode()) < 8 and (gone or left[i] == t)
