@@ -1,4 +1,5 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -100,3 +101,36 @@ def test_similarity_property_random_sizes(spark, n, stripe):
     got = {(r.mid, r.sim_mid, round(r.r, 9))
            for r in similarity.item_similarity(_factors(spark, mat), 0.5, stripe_rows=stripe).collect()}
     assert got == _naive_sim(mat, list(range(n)), 0.5)
+
+
+def test_a_tile_sends_its_pairs_back_in_bounded_batches(monkeypatch):
+    monkeypatch.setattr(blocks, "SCREEN_CELLS", 1)
+    x = np.random.default_rng(2).normal(size=(400, 4)).astype(np.float32) + 1
+    rows = pa.table({"second": pa.array([i % 2 == 1 for i in range(400)]), "id": pa.array(range(400), pa.int32()), "features": pa.array(list(x))})
+    got = list(blocks._similar_kernel(0.25, 2)((pa.scalar(1),), iter(rows.to_batches(max_chunksize=90))))
+    pairs = {(a, b) for t in got for a, b in zip(t.column("mid").to_pylist(), t.column("sim_mid").to_pylist())}
+    assert pairs == {(a, b) for a, b, _ in _naive_sim(x, list(range(400)), 0.25) if a % 2 != b % 2}
+    assert sum(t.num_rows for t in got) == len(pairs) and max(t.num_rows for t in got) <= 16 * 200
+
+
+@pytest.mark.parametrize("positive", [True, False])
+def test_screened_top_n_is_exact(monkeypatch, positive):
+    monkeypatch.setattr(blocks, "SCREEN_USERS", 7)
+    monkeypatch.setattr(blocks, "SCREEN_ITEMS", 11)
+    rng = np.random.default_rng(4)
+    U, I = rng.normal(size=(40, 5)) * 1e-25, rng.normal(size=(90, 5)) * np.exp(rng.normal(size=(90, 1)))
+    U[3], I[7], I[50] = 0, 0, I[20]
+    I[60:] = I[20] * (1 + 1e-9 * rng.normal(size=(30, 1)))  # closer than single precision tells apart
+    seen = np.unique(rng.integers(0, [40, 90], (500, 2)), axis=0)
+    got = {}
+    for row, col, value, pos in blocks._best(U, I, 6, positive, seen[:, 0], seen[:, 1]):
+        for a, b, p in zip(row.tolist(), col.tolist(), pos.tolist()):
+            got.setdefault(a, []).append(b)
+            assert len(got[a]) == p + 1
+    S = np.einsum("ik,jk->ij", U, I)
+    S[seen[:, 0], seen[:, 1]] = -np.inf
+    for a in range(40):
+        want = [b for b in np.lexsort((np.arange(90), -S[a])) if S[a, b] > (0 if positive else -np.inf)][:6]
+        assert np.allclose(S[a, got.get(a, [])], S[a, want], rtol=1e-12, atol=0) and len(got.get(a, [])) == len(want)
+        if a != 3:
+            assert got.get(a, []) == want or np.allclose(np.diff(np.sort(S[a, want])).min(), 0, atol=1e-30)
