@@ -83,3 +83,20 @@ def test_grid_query_runs_all_iterations(spark, sf_dir, monkeypatch):
     found = catalog.q_grid_invariants(spark, sf_dir).first()
     assert (found["rank"], found.gap, found.residual) == (als.GRID_RANKS[0], 0, 0.0)
     assert seen == [als.ITERATIONS]
+
+
+def test_model_rmse_in_cells_equals_the_transform(spark):
+    rows = [(u, m, float((u * m) % 5 + 1)) for u in range(12) for m in range(15) if (u + m) % 3]
+    ratings = spark.createDataFrame(rows + rows[:9], "uid int, mid int, score double")
+    model = als.train(ratings, rank=4, iterations=2)
+    a, b = als.model_rmse(model, ratings).first(), als.model_rmse(model, ratings, broadcast_limit=0)
+    assert "FlatMapGroupsInArrow" in b._jdf.queryExecution().analyzed().toString()
+    assert b.first().n == a.n and abs(b.first().rmse - a.rmse) < 1e-6
+
+
+def test_rmse_tasks_follow_the_rows(spark, monkeypatch):
+    monkeypatch.setattr(als, "PAIR_ROWS", 10)
+    ratings = spark.createDataFrame([(i, i % 7, 2.0) for i in range(300)], "uid int, mid int, score double")
+    out = als.rmse(ratings, ratings.select("uid", "mid", F.lit(1.0).alias("prediction")))
+    assert out._jdf.queryExecution().optimizedPlan().toString().count(", 30") >= 2  # both sides dealt over 30 tasks
+    assert out.first().n == 300 and out.first().rmse == 1.0
