@@ -134,3 +134,8 @@ def test_screened_top_n_is_exact(monkeypatch, positive):
         assert np.allclose(S[a, got.get(a, [])], S[a, want], rtol=1e-12, atol=0) and len(got.get(a, [])) == len(want)
         if a != 3:
             assert got.get(a, []) == want or np.allclose(np.diff(np.sort(S[a, want])).min(), 0, atol=1e-30)
+
+
+def test_similarity_is_one_streaming_kernel(spark):
+    plan = blocks.similar_pairs(_factors(spark, np.eye(3)), 0.5)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FlatMapGroupsInArrow") == 1 and "Cartesian" not in plan and "NestedLoop" not in plan
