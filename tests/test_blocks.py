@@ -139,3 +139,28 @@ def test_screened_top_n_is_exact(monkeypatch, positive):
 def test_similarity_is_one_streaming_kernel(spark):
     plan = blocks.similar_pairs(_factors(spark, np.eye(3)), 0.5)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FlatMapGroupsInArrow") == 1 and "Cartesian" not in plan and "NestedLoop" not in plan
+
+
+@pytest.mark.parametrize("shape", [(1, 1), (5, 13), (40, 90), (33, 64)])
+@pytest.mark.parametrize("same", [False, True])
+def test_screening_marks_what_exceeds_the_limit(monkeypatch, shape, same):
+    monkeypatch.setattr(blocks, "SCREEN_CELLS", 1)
+    monkeypatch.setattr(blocks, "SCREEN_COLS", 13)
+    rng = np.random.default_rng(6)
+    a = rng.normal(size=(shape[0], 4)).astype(np.float32)
+    b = a if same else rng.normal(size=(shape[1], 4)).astype(np.float32)
+    got = [(rows.start + i, cols.start + j) for rows, cols, rr, cc in blocks._screened(a, b, np.float32(0.5), same) for i, j in zip(rr, cc)]
+    assert len(got) == len(set(got))
+    want = {(i, j) for i in range(len(a)) for j in range(len(b)) if a[i] @ b[j] > 0.5}
+    if same:  # blocks below the diagonal are left out
+        got, want = {p for p in got if p[0] < p[1]}, {p for p in want if p[0] < p[1]}
+    assert set(got) == want
+
+
+def test_few_pairs_of_a_tile_come_back_in_one_batch():
+    x = np.random.default_rng(7).normal(size=(6000, 16)).astype(np.float32)
+    x[3000:3010] = x[:10]
+    rows = pa.table({"second": pa.array([i >= 3000 for i in range(6000)]), "id": pa.array(range(6000), pa.int32()), "features": pa.array(list(x))})
+    got = list(blocks._similar_kernel(0.99, 2)((pa.scalar(1),), iter(rows.to_batches())))
+    assert [t.num_rows for t in got] == [10, 10]  # one a direction; not one a step of the tile
+    assert set(zip(got[0].column("mid").to_pylist(), got[0].column("sim_mid").to_pylist())) == {(i, 3000 + i) for i in range(10)}
