@@ -164,3 +164,43 @@ def test_few_pairs_of_a_tile_come_back_in_one_batch():
     got = list(blocks._similar_kernel(0.99, 2)((pa.scalar(1),), iter(rows.to_batches())))
     assert [t.num_rows for t in got] == [10, 10]  # one a direction; not one a step of the tile
     assert set(zip(got[0].column("mid").to_pylist(), got[0].column("sim_mid").to_pylist())) == {(i, 3000 + i) for i in range(10)}
+
+
+def _listed(df):
+    return {r.mid: [(x.mid, x.r) for x in r.recs] for r in df.collect()}
+
+
+@pytest.mark.parametrize("whole", [1 << 20, 10])
+def test_lists_in_order_shuffle_items_and_no_pairs(spark, monkeypatch, whole):
+    monkeypatch.setattr(blocks, "WHOLE_ITEMS", whole)
+    monkeypatch.setattr(blocks, "ORDERED_PAIRS", 50)
+    monkeypatch.setattr(blocks, "MIN_STRIPE_ROWS", 40)
+    rng = np.random.default_rng(9)
+    rows = [(int(i), [float(x) for x in rng.choice([-1.0, 0.0, 0.5, 2.0], 3)]) for i in rng.integers(0, 150, 200)]  # ids and ties that repeat
+    rows += [(None, [1.0, 1.0, 1.0]), (500, None), (501, [0.0, 0.0, 0.0]), (502, [1.0, None, 1.0]), (503, [float("nan"), 1.0, 1.0])]
+    f = spark.createDataFrame(rows, "id int, features array<float>").repartition(3)
+    ordered = similarity.item_similarity(f, 0.3, ordered=True)
+    lists = similarity.item_similarity_lists(ordered, ordered=True)
+    pairs = similarity.item_similarity(f, 0.3)
+    want = _listed(similarity.item_similarity_lists(pairs))
+    assert len(want) > 100 and lists.count() == len(want) and _listed(lists) == want
+    ranked = similarity.ranked_similarity(ordered, ordered=True)
+    assert sorted(map(tuple, ranked.select("mid", "rank", "sim_mid", "r").collect())) == \
+        sorted((m, i + 1, s, r) for m, entries in want.items() for i, (s, r) in enumerate(entries))
+    if whole > 10:
+        fresh = similarity.item_similarity(_factors(spark, np.eye(3)), 0.3, ordered=True)
+        for df in (similarity.item_similarity_lists(fresh, ordered=True), similarity.ranked_similarity(fresh, ordered=True)):
+            plan = df._jdf.queryExecution().executedPlan().toString()
+            assert plan.count("Exchange") == 1 and plan.count("FlatMapGroupsInArrow") == 1 and "Window" not in plan
+
+
+@pytest.mark.parametrize("size", [1, 2, 3, 5, 100])
+def test_runs_are_packed_and_numbered_across_batches(size):
+    mids = [4] * 3 + [7] + [2] * 6 + [9] * 2
+    rows = pa.table({"mid": pa.array(mids, pa.int32()), "sim_mid": pa.array(range(12), pa.int32()), "r": pa.array([1 - i / 20 for i in range(12)])})
+    batches = [b for part in rows.to_batches(max_chunksize=size) for b in (part.slice(0, 0), part)]
+    packed = [x for b in similarity._pack(iter(batches)) for x in b.to_pylist()]
+    assert [(x["mid"], [e["mid"] for e in x["recs"]]) for x in packed] == [(4, [0, 1, 2]), (7, [3]), (2, [4, 5, 6, 7, 8, 9]), (9, [10, 11])]
+    numbered = [x for b in similarity._number(iter(batches)) for x in b.column("rank").to_pylist()]
+    assert numbered == [1, 2, 3, 1, 1, 2, 3, 4, 5, 6, 1, 2]
+    assert not list(similarity._pack(iter([]))) and not list(similarity._number(iter([])))
