@@ -204,3 +204,43 @@ def test_runs_are_packed_and_numbered_across_batches(size):
     numbered = [x for b in similarity._number(iter(batches)) for x in b.column("rank").to_pylist()]
     assert numbered == [1, 2, 3, 1, 1, 2, 3, 4, 5, 6, 1, 2]
     assert not list(similarity._pack(iter([]))) and not list(similarity._number(iter([])))
+
+
+@pytest.mark.parametrize("positive", [True, False])
+def test_items_pass_by_the_users_of_a_tile(spark, monkeypatch, positive):
+    monkeypatch.setattr(blocks, "SCREEN_USERS", 7)
+    monkeypatch.setattr(blocks, "SCREEN_ITEMS", 11)
+    rng = np.random.default_rng(12)
+    U, I = rng.normal(size=(60, 4)), rng.normal(size=(150, 4)) * np.exp(rng.normal(size=(150, 1)))
+    I[90] = I[20]  # a tie
+    mids = rng.permutation(150)
+    score = np.einsum("ik,jk->ij", U.astype(np.float32).astype(np.float64), I.astype(np.float32).astype(np.float64))
+    seen = {(int(u), int(mids[m])) for u in range(60) for m in np.argsort(-score[u])[:4]}  # the best ones
+    rows = [*_factors(spark, U).collect(), (77, None), (None, [1.0] * 4), (78, [float("nan"), 1.0, 1.0, 1.0])]
+    users = spark.createDataFrame(rows, "id int, features array<float>").repartition(3)
+    items = spark.createDataFrame([*_factors(spark, I, mids).collect(), (900, None), (901, [float("inf"), 1.0, 1.0, 1.0]), (None, [9.0] * 4)], "id int, features array<float>")
+    pairs = spark.createDataFrame([*sorted(seen), (5, None), (None, 5), (5, 9999), (9999, 5)], "uid int, mid int")
+    df = blocks.top_n_products(users, items, 5, seen=pairs, positive_only=positive, stripe_rows=5)
+    got = {}
+    for r in sorted(df.collect()):
+        got.setdefault(r.uid, []).append(r.mid)
+        assert r["rank"] == len(got[r.uid])
+    want = _naive_top(U, I, list(range(60)), mids.tolist(), 5, seen, positive)
+    assert got == want
+    # one task a stripe makes whole lists: no entry is shuffled, one partition a tile
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("FlatMapGroupsInArrow") == 1 and "Window" not in plan and df.rdd.getNumPartitions() == 4
+
+
+def test_a_row_of_an_id_that_comes_twice_has_its_own_list(spark):
+    U, I = np.eye(2) + 1, np.array([[1.0, 2.0], [3.0, 1.0], [3.0, 1.0]])
+    seen = spark.createDataFrame([(4, 8)], "uid int, mid int")
+    got = sorted((r.uid, r["rank"], r.mid) for r in blocks.top_n_products(_factors(spark, U, [4, 4]), _factors(spark, I, [7, 8, 8]), 3, seen=seen).collect())
+    assert got == [(4, 1, 7), (4, 1, 7)]
+
+
+def test_tiles_are_not_dealt_by_hash(spark):
+    x = np.random.default_rng(13).normal(size=(4000, 4))
+    for df, full in ((blocks.similar_pairs(_factors(spark, x), 0.9, stripe_rows=1000), 10), (blocks.similar_pairs_by_item(_factors(spark, x), 0.9, stripe_rows=1000), 7)):
+        sizes = [len(p) for p in df.select("mid").rdd.glom().collect()]
+        assert sum(n > 0 for n in sizes) == full
