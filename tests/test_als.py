@@ -100,3 +100,34 @@ def test_rmse_tasks_follow_the_rows(spark, monkeypatch):
     out = als.rmse(ratings, ratings.select("uid", "mid", F.lit(1.0).alias("prediction")))
     assert out._jdf.queryExecution().optimizedPlan().toString().count(", 30") >= 2  # both sides dealt over 30 tasks
     assert out.first().n == 300 and out.first().rmse == 1.0
+
+
+def test_a_large_grid_sums_the_ratings_of_a_pair_once(spark, monkeypatch):
+    rows = [(u, m, float((u + 2 * m) % 5 + 1)) for u in range(8) for m in range(8) if (u + m) % 4]
+    ratings = spark.createDataFrame(rows + rows[:5], "uid int, mid int, score double")
+    plain = [r.rmse for r in als.grid_search(ratings, ranks=(2, 3), regs=(0.1,), iterations=2).collect()]
+    real, stored, plans = als.model_rmse, [], []
+    save = als.stored_pairs
+
+    def in_cells(*args, **kw):
+        out = real(*args, broadcast_limit=0, **kw)
+        plans.append(out._jdf.queryExecution().optimizedPlan().toString())
+        return out
+
+    monkeypatch.setattr(als, "FIT_ROWS", 0)
+    monkeypatch.setattr(als, "model_rmse", in_cells)
+    monkeypatch.setattr(als, "stored_pairs", lambda df: stored.append(save(df)) or stored[-1])
+    cells = [r.rmse for r in als.grid_search(ratings, ranks=(2, 3), regs=(0.1,), iterations=2).collect()]
+    assert len(stored) == 1 and stored[0].count() == len(rows) and max(abs(a - b) for a, b in zip(plain, cells)) < 1e-6
+    # the cells return sums: nothing is grouped by pair after them
+    assert len(plans) == 2 and all("FlatMapGroupsInArrow" in p and "Aggregate [uid" not in p for p in plans)
+
+
+def test_rows_without_a_vector_have_an_empty_list(spark):
+    # nulls are gone through again for each row by Spark's Arrow writer
+    f = spark.createDataFrame([(i, [1.0, 2.0]) for i in range(4)], "id int, features array<float>")
+    sent = []
+    pairs = spark.createDataFrame([(i % 4, i % 3, 1.0) for i in range(50)], "uid int, mid int, score double")
+    out = als.predict_from_factors(f, f, pairs, broadcast_limit=0)
+    sent.append(out._jdf.queryExecution().optimizedPlan().toString())
+    assert out.count() == 50 and "null AS features" not in sent[0]
