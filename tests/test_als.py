@@ -131,3 +131,18 @@ def test_rows_without_a_vector_have_an_empty_list(spark):
     out = als.predict_from_factors(f, f, pairs, broadcast_limit=0)
     sent.append(out._jdf.queryExecution().optimizedPlan().toString())
     assert out.count() == 50 and "null AS features" not in sent[0]
+
+
+def test_a_block_of_the_fit_does_not_grow_with_the_ratings(spark, monkeypatch):
+    for n in (36_000_000, 216_000_000, 10**10):
+        nb = als.fit_blocks(n, 12)
+        assert nb % 12 == 0 and n / nb <= als.BLOCK_RATINGS
+    assert als.fit_blocks(1000, 4) == 10 and als.fit_blocks(36_000_000, 12) == 12
+    asked, real = [], als.ALS
+    monkeypatch.setattr(als, "ALS", lambda **kw: asked.append((kw["numUserBlocks"], kw["numItemBlocks"])) or real(**kw))
+    monkeypatch.setattr(als, "BLOCK_RATINGS", 20)
+    ratings = spark.createDataFrame([(u, m, float((u + m) % 5 + 1)) for u in range(20) for m in range(20)], "uid int, mid int, score double")
+    model = als.train(ratings, rank=2, iterations=1)
+    assert model.userFactors.count() == 20
+    als.grid_search(ratings, ranks=(2,), regs=(0.1,), iterations=1)
+    assert asked == [(20, 20), (20, 20)] and not ratings.select("uid").is_cached
