@@ -1,10 +1,12 @@
 """Access by movie, and lists in chunks."""
 import random
 
+import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from recoengine import schemas
-from recoengine.operators import similarity
+from recoengine.operators import blocks, similarity
 from recoengine.session import scratch_path
 from recoengine.sources import tables
 
@@ -78,3 +80,17 @@ def test_a_hot_items_list_is_ranked_in_several_tasks(spark):
     assert ranked.agg(F.countDistinct("rank"), F.max("rank")).first() == (20_000, 20_000)
     spread = ranked.withColumn("task", F.spark_partition_id()).groupBy("task").count().collect()
     assert len(spread) > 1 and max(r["count"] for r in spread) < 0.6 * 20_000
+
+
+@pytest.mark.parametrize("size", [1, 3, 7, 1000])
+def test_chunks_are_packed_as_the_pairs_come(spark, monkeypatch, size):
+    monkeypatch.setattr(blocks, "MIN_STRIPE_ROWS", 40)
+    rng = np.random.default_rng(4)
+    f = spark.createDataFrame([(int(i), [float(x) for x in v]) for i, v in zip(rng.permutation(120), rng.choice([-1.0, 0.0, 0.5, 2.0], (120, 3)))],
+                              "id int, features array<float>")
+    lists = similarity.chunked_lists(similarity.item_similarity(f, 0.3, ordered=True), size=size, ordered=True)
+    plan = lists._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Join" not in plan and "Window" not in plan  # items move, pairs don't
+    want = similarity.chunked_lists(similarity.item_similarity(f, 0.3), size=size)
+    rows = [sorted((r.mid, r.chunk, [(x.mid, round(x.r, 12)) for x in r.recs]) for r in x.collect()) for x in (lists, want)]
+    assert rows[0] == rows[1] and len(rows[0]) > 100
