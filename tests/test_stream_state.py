@@ -158,3 +158,22 @@ def test_successive_halving(spark, sf_dir):
     assert by_round[max(by_round)][0].iterations == 3
     for k in by_round:
         assert max(r.rmse for r in by_round[k] if r.kept) <= min([r.rmse for r in by_round[k] if not r.kept], default=1e9)
+
+
+def test_a_large_similarity_table_is_read_where_it_is_stored(spark, monkeypatch):
+    path = scratch_path(spark, "sims")
+    rec.ranked_similarity(_sim(spark, [(5, 20, 0.9), (20, 10, 0.8), (5, 1, 0.95)])).write.parquet(path)
+    rated, recent = spark.createDataFrame([(3, 1)], "uid int, mid int"), _recent(spark, 3, [(10, 4.0)])
+    found, cached = [], []
+    frame = type(rated)
+    persist = frame.persist
+    monkeypatch.setattr(frame, "persist", lambda self, *a: cached.append("sim_mid" in self.columns) or persist(self, *a))
+    for most in (rec.CACHED_ENTRIES, 5):
+        monkeypatch.setattr(rec, "CACHED_ENTRIES", most)
+        inbox, out, ckpt = (scratch_path(spark, x) for x in ("in", "out", "ckpt"))
+        _write(inbox, "0.txt", ["3|5|5.0|100"])
+        cached.clear()
+        rec.start(rec.rating_stream(spark, inbox), spark.read.parquet(path), rated, recent, out, ckpt, trigger={"availableNow": True}, decode="failfast").awaitTermination()
+        found.append([(r.uid, r.recs_str) for r in rec.read_results(spark, out).collect()])
+        assert any(cached) == (most > 5)
+    assert found[0] == found[1] and found[0][0][1].startswith("20:")
